@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat, line_rules, mixing, packing
+from . import chat, line_rules, mixing, packing, quality, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_mixing": mixing.op1_mixing,
         "op2_quality_rules": line_rules.op2_quality_rules,
+        "op4_toxicity": toxicity.op4_toxicity,
+        "op6_quality": quality.op6_quality,
         "op8_packing": packing.op8_packing,
         "op10_chat_format": chat.op10_chat_format,
     }
