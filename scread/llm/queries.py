@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from . import chat, line_rules, mixing, packing, quality, toxicity
+from . import ann_tree, automaton_dedup, chat, line_rules, mixing, packing, quality, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_mixing": mixing.op1_mixing,
         "op2_quality_rules": line_rules.op2_quality_rules,
+        "op3_ann": ann_tree.op3_ann,
         "op4_toxicity": toxicity.op4_toxicity,
         "op6_quality": quality.op6_quality,
         "op8_packing": packing.op8_packing,
+        "op9_substring_dedup": automaton_dedup.op9_substring_dedup,
         "op10_chat_format": chat.op10_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": line_rules.OP2_SQL, "op10_chat_format": chat.OP10_SQL}
+    return {"op2_quality_rules": line_rules.OP2_SQL, "op9_substring_dedup": automaton_dedup.OP9_SQL, "op10_chat_format": chat.OP10_SQL}
