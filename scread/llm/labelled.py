@@ -20,14 +20,14 @@ def with_label(docs: DataFrame, labels: DataFrame, label: str, folds: int, held:
 
     Only ids divide the data: a row is held out if crc32 of its id modulo ``folds`` is ``held``. Labels that
     repeat are averaged and rounded; null ones are left out. Beyond ``max_rows`` labelled ids a sample by
-    hash is taken, which bounds what training gathers.
+    hash is taken. That bounds what training gathers, and what is broadcast here: an id and a label each.
     """
     y = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).filter(crc("doc_id") % folds != held)
     y = y.groupBy(F.col("doc_id").alias("__id")).agg(F.round(F.avg(label)).cast("int").alias("y"))
     n = y.count()
     if n > max_rows:
         y = y.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < int(max_rows / n * (1 << 30)))
-    return docs.join(y, F.col("doc_id") == F.col("__id")).drop("__id").withColumn("half", (crc("doc_id") / folds).cast("long") % 2)
+    return docs.join(F.broadcast(y), F.col("doc_id") == F.col("__id")).drop("__id").withColumn("half", (crc("doc_id") / folds).cast("long") % 2)
 
 
 def isotonic(x: np.ndarray, good: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

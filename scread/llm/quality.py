@@ -171,5 +171,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", f
     return finish(stats.mapInPandas(score, "doc_id long, score double"), folds, held, threshold)
 
 
+def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held: int = 0, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``docs`` that score at least ``threshold``, all columns kept; the text's own row carries its score.
+
+    The held-out fold gives no labels here either, so its scores stay honest.
+    """
+    text = F.col("text").cast("string")
+    stats = stage(docs.select(F.col("doc_id").cast("long"), text.alias("text")).mapInArrow(_stats_rows, "doc_id long, stats array<float>"), "quality-stats")
+    model = train(stats, labels, label, folds, held)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = model(statistics(batch.column("text")))
+            yield batch.filter(pa.array(scores >= threshold))
+
+    return docs.withColumn("text", text).mapInArrow(keep, docs.withColumn("text", text).schema)
+
+
 def op6_quality(spark, sf_dir: str) -> DataFrame:
     return quality_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
