@@ -16,12 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, words
+from .common import blocks, unzipped, words, zipped
 from .passages import SPANS, covered, groups, keyed, repeated
 
 WINDOW = 20
 GRAM = 6
-HOT_ROWS = 20_000
+HOT_ROWS = 200_000
+AUTOMATON_ROWS = 5_000
 
 
 class SuffixAutomaton:
@@ -84,10 +85,14 @@ class SuffixAutomaton:
 def _decide(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for table in groups(batches, 20_000):
         found = []
-        group, automaton, seen, pending, before = None, None, {}, [], None
+        hs = table.column(0).to_numpy()
+        edges = np.flatnonzero(np.r_[True, hs[1:] != hs[:-1]])
+        crowded = {int(hs[a]) for a, n in zip(edges, np.diff(np.r_[edges, len(hs)])) if n > AUTOMATON_ROWS}
+        group, automaton, seen, pending, before, windows = None, None, {}, [], None, None
         for h, _, rk, lo, _, ctx in zip(*(c.to_pylist() for c in table.columns)):
             if h != group:
                 group, automaton, seen, pending, before = h, None, {}, [], None
+                windows = set() if h in crowded else None
             if (rk, lo) == before:  # the row repeats in the table
                 continue
             before = rk, lo
@@ -97,6 +102,13 @@ def _decide(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
                 continue
             symbols = ctx.split()
             seen[ctx] = len(symbols)
+            if windows is not None:  # an automaton of so many different places would not fit; whole windows do
+                for i in range(len(symbols) - window + 1):
+                    key = hashlib.blake2b(b" ".join(symbols[i : i + window]), digest_size=16).digest()
+                    if key in windows:
+                        found.append((rk, lo + i, lo + i))
+                    windows.add(key)
+                continue
             if pending:
                 automaton = automaton or SuffixAutomaton()
                 for p in pending:
@@ -117,7 +129,7 @@ def _decide(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int32(), pa.int32()))], names=["rk", "s", "e"])
 
 
-def _spans(docs_x: DataFrame, window: int, gram: int, hot_rows: int) -> DataFrame:
+def _spans(docs_x: DataFrame, texts: DataFrame, window: int, gram: int, hot_rows: int) -> DataFrame:
     def decide(contexts: DataFrame) -> DataFrame:
         ordered = contexts.repartition("h").sortWithinPartitions("h", "did", "rk", "lo")
 
@@ -130,14 +142,14 @@ def _spans(docs_x: DataFrame, window: int, gram: int, hot_rows: int) -> DataFram
         first = hashed.groupBy("w1", "w2").agg(F.min(F.struct("did", "rk", "p")).alias("first"))
         return hashed.join(first, ["w1", "w2"]).filter(F.struct("did", "rk", "p") != F.col("first")).select("rk", "p")
 
-    return repeated(docs_x, "word", window, gram, decide, decide_hot, hot_rows)
+    return repeated(docs_x, texts, "word", window, gram, decide, decide_hot, hot_rows)
 
 
 def _digest(batches: Iterator[pa.RecordBatch], window: int, with_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans = batch.column(2).to_pylist()
         n_words, n_removed, out = [], [], []
-        for a, b, data, offsets in blocks(batch.column(1)):
+        for a, b, data, offsets in blocks(unzipped(batch.column(1))):
             starts, ends, _, at = words(data, offsets)
             raw = data.tobytes()
             for i in range(a, b):
@@ -161,8 +173,9 @@ def _digest(batches: Iterator[pa.RecordBatch], window: int, with_text: bool) ->
 
 def _removed(docs: DataFrame, window: int, gram: int, hot_rows: int, with_text: bool) -> DataFrame:
     docs_x = keyed(docs)
-    spans = _spans(docs_x, window, gram, hot_rows)
-    joined = docs_x.join(spans, "rk", "left")
+    texts = zipped(docs_x)
+    spans = _spans(docs_x, texts, window, gram, hot_rows)
+    joined = texts.join(spans, "rk", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _digest(batches, window, with_text)
@@ -185,8 +198,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_
     A word goes if a window of ``window`` words that covers it also starts earlier: in a document with a
     smaller id, or earlier in the same one; windows are judged on the input. A null id comes first. Rows that
     repeat with equal id and text are one document with one result. Null, empty and short texts lose nothing;
-    extra columns are not read; an empty table gives no rows. Anchor groups of more than ``hot_rows`` places
-    are decided exactly by window hashes.
+    extra columns are not read; an empty table gives no rows. Anchor groups of more than ``AUTOMATON_ROWS``
+    places, whose automata would not fit a task, are decided exactly by sets of whole windows, and those of more
+    than ``hot_rows`` by a distributed aggregation of window hashes.
     """
     out = _removed(docs, window, gram, hot_rows, False)
     doc_id = F.when(F.col("did") != -(1 << 63), F.col("did"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import string_parts
+from .common import string_parts, unzipped, zipped
 from .passages import SPANS, covered, groups, keyed, repeated
 
 LENGTH = 200
@@ -122,7 +122,7 @@ def _cuts(group: np.ndarray) -> list[tuple[int, int]]:
 
 def _digest(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = string_parts(batch.column(1))
+        data, offsets = string_parts(unzipped(batch.column(1)))
         rows = []
         for i, spans in enumerate(batch.column(2).to_pylist()):
             x = data[offsets[i] : offsets[i + 1]]
@@ -155,12 +155,13 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
         return hashed.join(twice.select("w1", "w2"), ["w1", "w2"]).select("rk", "p")
 
     docs_x = keyed(docs)
-    spans = repeated(docs_x, "byte", length, gram, decide, decide_hot, hot_rows)
+    texts = zipped(docs_x)
+    spans = repeated(docs_x, texts, "byte", length, gram, decide, decide_hot, hot_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _digest(batches, length)
 
-    joined = docs_x.join(spans, "rk", "left").select("did", "text", "spans")
+    joined = texts.join(spans, "rk", "left").select("did", "text", "spans")
     out = joined.mapInArrow(run, "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.select(F.when(F.col("did") != -(1 << 63), F.col("did")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        column = pa.array([squeeze.compress(t) for t in texts], pa.binary())
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", column)
+
+
+def zipped(df: DataFrame) -> DataFrame:
+    """``df`` with its non-null ``text`` compressed row by row, for texts that go through a shuffle; see ``unzipped``."""
+    schema = df.withColumn("text", F.col("text").cast("binary")).schema
+    return df.mapInArrow(_zipped, schema)
+
+
+def unzipped(column: pa.Array) -> pa.Array:
+    expand = zstandard.ZstdDecompressor()
+    return pa.array([expand.decompress(z) for z in column.to_pylist()], pa.binary())
+
+
 def n_words(text) -> F.Column:
     """Number of words of a text column, long; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

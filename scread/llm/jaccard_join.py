@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, grams, mix64, stage, words
+from .common import blocks, grams, mix64, stage, unzipped, words, zipped
 from .components import connected
 from .passages import groups
 
@@ -187,7 +187,7 @@ def _verified_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         edges = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
         for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
             sid = table.column(1).to_numpy()[lo:hi]
-            sets = list(token_sets(table.column(2).combine_chunks().slice(lo, hi - lo), none))
+            sets = list(token_sets(unzipped(table.column(2).combine_chunks().slice(lo, hi - lo)), none))
             sizes = np.array([len(s) for s in sets])
             points = np.stack([group_counts(s) for s in sets]).astype(np.int32)
 
@@ -257,7 +257,7 @@ def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_doc
     other = F.when(F.col("chunks") > 1, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0)))
     members = members.withColumn("chunk", chunk).select("node", "rk", "component", "chunk", F.explode(other).alias("other"))
     task = F.xxhash64("component", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("task")
-    texts = docs_x.select("rk", "text")
+    texts = zipped(docs_x.select("rk", "text"))
     shipped = members.select("rk", F.col("node").alias("sid"), task).join(texts, "rk").select("task", "sid", "text")
     links = shipped.repartition("task").sortWithinPartitions("task", "sid").mapInArrow(_verified_edges, "a long, b long")
     links = connected(links, "jaccard-links")

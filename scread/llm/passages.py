@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, grams, mix64, sliding_min, stage, words
+from .common import blocks, grams, mix64, sliding_min, stage, unzipped, words
 
 SPANS = "rk long, s int, e int"
 
@@ -83,19 +83,25 @@ def _sketch(batches: Iterator[pa.RecordBatch], unit: str, length: int, k: int) -
                 continue
             cuts = pa.array(np.r_[0, np.cumsum(n[rows])].astype(np.int32))
             base = bounds[doc]
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (keys[at].view(np.int64), (first - base).astype(np.int32), (last - base).astype(np.int32), (at - first).astype(np.int16))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows + a)), *lists], names=["rk", "h", "lo", "hi", "off"])
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (keys[at].view(np.int64), (first - base) << 24 | (last - first) << 12 | (at - first))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows + a)), *lists], names=["rk", "h", "x"])
+
+
+def _unpacked(hits: pa.StructArray) -> tuple[np.ndarray, ...]:
+    h, x = (hits.field(i).to_numpy() for i in range(2))
+    lo = x >> 24
+    return h, lo, lo + (x >> 12 & 0xFFF), x & 0xFFF
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], unit: str, length: int) -> Iterator[pa.RecordBatch]:
     """The text of each hit's windows."""
     for batch in batches:
         hits = batch.column(3)
-        for a, b, data, offsets in blocks(batch.column(2)):
+        for a, b, data, offsets in blocks(unzipped(batch.column(2))):
             part = hits.slice(a, b - a)
             n = np.diff(part.offsets.to_numpy())
             flat = part.flatten()
-            h, lo, hi, off = (flat.field(i).to_numpy() for i in range(4))
+            h, lo, hi, off = _unpacked(flat)
             doc = np.repeat(np.arange(b - a), n)
             if unit == "byte":
                 begin, end = offsets[doc] + lo, offsets[doc] + hi + length
@@ -106,7 +112,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], unit: str, length: int) -> Iter
             ctx = [raw[x:y] for x, y in zip(begin.tolist(), end.tolist())]
             row = pa.array(doc + a)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), batch.column(1).take(row), batch.column(0).take(row), pa.array(lo), pa.array(off), pa.array(ctx, pa.binary())],
+                [pa.array(h), batch.column(1).take(row), batch.column(0).take(row), pa.array(lo.astype(np.int32)), pa.array(off.astype(np.int32)), pa.array(ctx, pa.binary())],
                 names=["h", "did", "rk", "lo", "off", "ctx"],
             )
 
@@ -115,10 +121,10 @@ def _window_hashes(batches: Iterator[pa.RecordBatch], unit: str, length: int) ->
     """Hashes of each whole window of the hits."""
     for batch in batches:
         hits = batch.column(3)
-        for a, b, data, offsets in blocks(batch.column(2)):
+        for a, b, data, offsets in blocks(unzipped(batch.column(2))):
             part = hits.slice(a, b - a)
             flat = part.flatten()
-            lo, hi = (flat.field(i).to_numpy() for i in (1, 2))
+            _, lo, hi, _ = _unpacked(flat)
             doc = np.repeat(np.arange(b - a), np.diff(part.offsets.to_numpy()))
             if unit == "byte":
                 hashes, bounds = data.astype(np.uint64) + np.uint64(1), offsets
@@ -132,19 +138,21 @@ def _window_hashes(batches: Iterator[pa.RecordBatch], unit: str, length: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), batch.column(1).take(row), batch.column(0).take(row), pa.array(p.astype(np.int32))], names=["w1", "w2", "did", "rk", "p"])
 
 
-def repeated(docs_x: DataFrame, unit: str, length: int, k: int, decide: Callable, decide_hot: Callable, hot_rows: int) -> DataFrame:
+def repeated(docs_x: DataFrame, texts: DataFrame, unit: str, length: int, k: int, decide: Callable, decide_hot: Callable, hot_rows: int) -> DataFrame:
     """rk and ``spans`` (array of (s, e), inclusive window starts) of all documents with repeated windows.
 
+    ``texts`` is ``docs_x`` with zipped texts: the same frame for every join on rk, so that one shuffle serves all.
     ``decide`` maps the sorted contexts of anchor groups to spans in ``mapInArrow``; ``decide_hot`` maps a
     frame of window hashes (w1, w2, did, rk, p) to the repeated ones.
     """
-    sketch = stage(docs_x.select("rk", "text").mapInArrow(partial(_sketch, unit=unit, length=length, k=k), "rk long, h array<long>, lo array<int>, hi array<int>, off array<short>"), "passages-sketch")
+    sketch = stage(docs_x.select("rk", "text").mapInArrow(partial(_sketch, unit=unit, length=length, k=k), "rk long, h array<long>, x array<long>"), "passages-sketch")
     counts = stage(sketch.select(F.explode("h").alias("h")).groupBy("h").count().filter("count > 1"), "passages-counts")
-    each = sketch.select("rk", F.explode(F.arrays_zip("h", "lo", "hi", "off")).alias("x")).select("rk", "x.h", "x.lo", "x.hi", F.col("x.off").cast("int").alias("off"))
+    # first window, number of further ones and place of the gram in one number: 40, 12 and 12 bits
+    each = sketch.select("rk", F.explode(F.arrays_zip("h", "x")).alias("x")).select("rk", "x.h", "x.x")
 
     def hits(which) -> DataFrame:
-        found = each.join(counts.filter(which).select("h"), "h").groupBy("rk").agg(F.collect_list(F.struct("h", "lo", "hi", "off")).alias("hits"))
-        return docs_x.join(found, "rk").select("rk", "did", "text", "hits")
+        found = each.join(counts.filter(which).select("h"), "h").groupBy("rk").agg(F.collect_list(F.struct("h", "x")).alias("hits"))
+        return texts.join(found, "rk").select("rk", "did", "text", "hits")
 
     cold = hits(F.col("count") <= hot_rows).mapInArrow(partial(_contexts, unit=unit, length=length), "h long, did long, rk long, lo int, off int, ctx binary")
     spans = decide(cold)
