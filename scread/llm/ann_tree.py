@@ -3,7 +3,8 @@
 The tree is fitted on a bounded sample and broadcast; its size depends on parameters alone. Every distinct
 vector is put into a leaf. A query visits leaves in the order of a priority queue over the tree; how many
 is calibrated: visits widen until a sample of queries, answered by brute force over all rows, reaches the
-wanted recall. Leaves are cut into chunks of bounded size, so a crowded leaf is spread over tasks.
+wanted recall. Neighbouring leaves form buckets, which are scanned in blocks of bounded size, so a crowded
+leaf is spread over tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from .common import stage
 FIT_ROWS = 20_000
 BRANCH = 8
 LEAF_ROWS = 60
-CHUNK_ROWS = 2_000
+BUCKET_LEAVES = 16
+BLOCK_ROWS = 20_000
 CALIBRATION_QUERIES = 96
 RECALL = 0.98
 SALTS = 32
@@ -172,7 +174,6 @@ def _search_dim(uniq: DataFrame, asked: DataFrame, n: int, k: int, recall: float
 
     index = stage(uniq.select("key", "vec", "ids").mapInPandas(place, "key string, vec array<double>, ids array<long>, leaf long"), "ann-index")
     sizes = {r["leaf"]: (r["n"], r["rows"]) for r in index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("rows")).collect()}
-    chunks = {leaf: max(1, -(-m // CHUNK_ROWS)) for leaf, (m, _) in sizes.items()}
 
     # calibration: true neighbours of some queries, by brute force over all rows in blocks
     probe = asked.dropDuplicates(["key"]).orderBy(F.xxhash64("key")).limit(calibration).select("key", "vec").toPandas()
@@ -194,36 +195,59 @@ def _search_dim(uniq: DataFrame, asked: DataFrame, n: int, k: int, recall: float
     while needed and np.mean(np.array(needed) <= visits) < recall and visits < tree.n_leaves:
         visits *= 2
 
+    # a query goes once to each bucket of neighbouring leaves that it visits, with the list of these leaves
+    q_blocks = max(1, -(-asked.select("key").distinct().count() // BLOCK_ROWS))
+    rows_in: dict[int, int] = {}
+    for leaf, (m, _) in sizes.items():
+        rows_in[leaf // BUCKET_LEAVES] = rows_in.get(leaf // BUCKET_LEAVES, 0) + m
+    chunks = {bucket: max(1, -(-m // BLOCK_ROWS)) for bucket, m in rows_in.items()}
+
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for i, v in enumerate(_unit(batch["vec"]) if len(batch) else []):
-                seen = 0
-                for step, leaf in enumerate(tree.visits(v)):
-                    if step >= visits and seen > k:  # a query sees more rows than it returns
-                        break
-                    if leaf in sizes:
-                        seen += sizes[leaf][1]
-                        rows += [(i, leaf, c) for c in range(chunks[leaf])]
-            if rows:
-                at, leaf, chunk = (np.array(c) for c in zip(*rows))
-                yield pd.DataFrame({"key": batch["key"].to_numpy()[at], "vec": batch["vec"].to_numpy()[at], "leaf": leaf, "chunk": chunk})
-
-    routed = asked.select("key", "vec").dropDuplicates(["key"]).mapInPandas(route, "key string, vec array<double>, leaf long, chunk long")
-    spread = uniq.sparkSession.createDataFrame(pd.DataFrame({"leaf": list(chunks), "chunks": list(chunks.values())}), "leaf long, chunks long")
-    chunked = index.join(F.broadcast(spread), "leaf").withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(9)), "chunks")).drop("chunks")
+            for at in range(0, len(batch), 64):
+                part = batch.iloc[at : at + 64]
+                rows = []
+                for i, v in enumerate(_unit(part["vec"])):
+                    seen, by_bucket = 0, {}
+                    for step, leaf in enumerate(tree.visits(v)):
+                        if step >= visits and seen > k:  # a query sees more rows than it returns
+                            break
+                        if leaf in sizes:
+                            seen += sizes[leaf][1]
+                            by_bucket.setdefault(leaf // BUCKET_LEAVES, []).append(leaf)
+                    rows += [(i, bucket, c, leaves) for bucket, leaves in by_bucket.items() for c in range(chunks[bucket])]
+                i, bucket, chunk, leaves = zip(*rows)
+                i = np.array(i)
+                yield pd.DataFrame({"key": part["key"].to_numpy()[i], "vec": part["vec"].to_numpy()[i], "bucket": bucket, "chunk": chunk, "leaves": leaves})
+
+    routed = asked.select("key", "vec").dropDuplicates(["key"]).mapInPandas(route, "key string, vec array<double>, bucket long, chunk long, leaves array<long>")
+    routed = routed.withColumn("block", F.pmod(F.xxhash64("key", F.lit(11)), F.lit(q_blocks)))
+    spread = uniq.sparkSession.createDataFrame(pd.DataFrame({"bucket": list(chunks), "chunks": list(chunks.values())}), "bucket long, chunks long")
+    chunked = index.withColumn("bucket", F.floor(F.col("leaf") / BUCKET_LEAVES)).join(F.broadcast(spread), "bucket")
+    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(9)), "chunks")).drop("chunks")
+    chunked = chunked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
 
     def scan(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(rows):
-            x = np.stack([np.asarray(v, np.float64) for v in rows["vec"]])
-            qv = np.stack([np.asarray(v, np.float64) for v in queries["vec"]])
-            for at in range(0, len(qv), 256):
-                q, r, s = _top(qv[at : at + 256], x, k + 1)
-                out.append(pd.DataFrame({"key": queries["key"].to_numpy()[at + q], "score": s, "ids": rows["ids"].to_numpy()[r]}))
-        return pd.concat(out) if out else pd.DataFrame({"key": [], "score": [], "ids": []})
-
-    pairs = routed.groupBy("leaf", "chunk").cogroup(chunked.groupBy("leaf", "chunk")).applyInPandas(scan, "key string, score double, ids array<long>")
+            leaf_of = rows["leaf"].to_numpy()
+            x = np.stack(rows["vec"].to_numpy())
+            qv = np.stack(queries["vec"].to_numpy())
+            asks = np.repeat(np.arange(len(queries)), queries["leaves"].map(len))
+            asked_leaf = np.concatenate(queries["leaves"].to_numpy())
+            for leaf in np.unique(asked_leaf):
+                here, mine = np.flatnonzero(leaf_of == leaf), asks[asked_leaf == leaf]
+                for at in range(0, len(mine) if len(here) else 0, 256):
+                    q, r, s = _top(qv[mine[at : at + 256]], x[here], k + 1)
+                    out.append(pd.DataFrame({"q": mine[at + q], "score": s, "row": here[r]}))
+        if not out:
+            return pd.DataFrame({"key": [], "score": [], "ids": []})
+        best = pd.concat(out)
+        best = best[best["score"] >= best.groupby("q")["score"].transform(lambda v: v.nlargest(k + 1).iloc[-1])]
+        return pd.DataFrame({"key": queries["key"].to_numpy()[best["q"]], "score": best["score"].to_numpy(), "ids": rows["ids"].to_numpy()[best["row"]]})
+
+    on = ["bucket", "chunk", "block"]
+    pairs = routed.groupBy(*on).cogroup(chunked.groupBy(*on)).applyInPandas(scan, "key string, score double, ids array<long>")
     # the best k + 1 distinct vectors of each distinct query, then their ids for each query that asked
     order = Window.partitionBy("key").orderBy(F.desc("score"), F.element_at("ids", 1))
     few = pairs.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
