@@ -128,7 +128,8 @@ def call_cells_emptydrops(
 
     kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
     schema = f"dataset {kinds['dataset']}, cell {kinds['cell']}, umis {kinds['umis']}, genes {kinds['genes']}, p double"
-    tested = observed.groupBy("dataset").cogroup(logp.groupBy("dataset")).applyInPandas(simulate, schema)
+    profile = logp.select(F.col("dataset").alias("d"), F.col("logp").alias("logp"))
+    tested = observed.groupBy("dataset").cogroup(profile.groupBy("d")).applyInPandas(simulate, schema)
     order = Window.partitionBy("dataset").orderBy("p", "cell")
     m = tested.withColumn("i", F.row_number().over(order)).withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("dataset")))
     back = Window.partitionBy("dataset").orderBy(F.desc("i"))

@@ -58,8 +58,8 @@ def read_qc(reads: DataFrame, module: str, seq: str = "seq", qual: str = "qual",
         mean = F.floor(F.aggregate(scores, F.lit(0), lambda s, v: s + v) / F.size(scores))
         return reads.filter(F.length(qual) > 0).groupBy(mean.alias("quality")).agg(F.count(F.lit(1)).alias("reads"))
     if module == "base_content":
-        each = reads.select(F.posexplode(letters(seq)).alias("pos", "base")).groupBy("pos").agg(*[F.count_if(F.col("base") == b).alias(b) for b in "ACGTN"], F.count(F.lit(1)).alias("n"))
-        return each.select((F.col("pos") + 1).alias("position"), *[(F.col(b) / F.col("n")).alias(b) for b in "ACGTN"])
+        each = reads.select(F.posexplode(letters(seq)).alias("pos", "base")).groupBy("pos").agg(*[F.count_if(F.col("base") == b).alias(b) for b in "ACGTN"], F.count(F.lit(1)).alias("bases"))
+        return each.select((F.col("pos") + 1).alias("position"), *[(F.col(b) / F.col("bases")).alias(b) for b in "ACGTN"])
     if module == "gc":
         return reads.filter(F.length(seq) > 0).groupBy(F.round(gc(seq) * 100).cast("int").alias("gc_percent")).agg(F.count(F.lit(1)).alias("reads"))
     if module == "length":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -30,10 +32,10 @@ def collapse_umis(mols: DataFrame, mode: str = "1MM_CR") -> DataFrame:
         target = F.when(F.col("best") > F.struct("n_reads", "umi"), F.col("best.umi")).otherwise(F.col("umi"))
         return j.groupBy("cell", "gene", target.alias("umi")).agg(F.sum("n_reads").alias("n_reads"))
 
-    def components(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["n_reads", "umi"], ascending=False, ignore_index=True)
-        place = {u: i for i, u in enumerate(group["umi"])}
-        root = list(range(len(group)))
+    def components(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+        rows = sorted(rows, key=lambda r: (r[1], r[0]), reverse=True)
+        place = {u: i for i, (u, _) in enumerate(rows)}
+        root = list(range(len(rows)))
 
         def find(i: int) -> int:
             while root[i] != i:
@@ -48,14 +50,30 @@ def collapse_umis(mols: DataFrame, mode: str = "1MM_CR") -> DataFrame:
                     if j is not None:
                         a, b = find(i), find(j)
                         root[max(a, b)] = min(a, b)
-        group["root"] = [find(i) for i in range(len(group))]
-        out = group.groupby("root", sort=False).agg(cell=("cell", "first"), gene=("gene", "first"), umi=("umi", "first"), n_reads=("n_reads", "sum"))
-        return out[["cell", "gene", "umi", "n_reads"]]
-
+        total: dict[int, int] = {}
+        for i, (_, n) in enumerate(rows):
+            total[find(i)] = total.get(find(i), 0) + n
+        return [(rows[i][0], n) for i, n in total.items()]
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, []
+        for batch in batches:
+            out = []
+            for cell, gene, u, n in batch.itertuples(index=False):
+                if (cell, gene) != key:
+                    out += [(*key, *r) for r in components(held)] if held else []
+                    key, held = (cell, gene), []
+                held.append((u, n))
+            if out:
+                yield pd.DataFrame(out, columns=["cell", "gene", "umi", "n_reads"])
+        if held:
+            yield pd.DataFrame([(*key, *r) for r in components(held)], columns=["cell", "gene", "umi", "n_reads"])
+
+    # a group with one UMI has nothing to merge and stays out of Python; the others stream through it sorted
     cols = mols.select("cell", "gene", "umi", "n_reads")
-    # a group with one UMI has nothing to merge and stays out of Python
     n = cols.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("cell", "gene")))
-    return n.filter("k = 1").drop("k").unionByName(n.filter("k > 1").drop("k").groupBy("cell", "gene").applyInPandas(components, cols.schema))
+    many = n.filter("k > 1").drop("k").repartition("cell", "gene").sortWithinPartitions("cell", "gene")
+    return n.filter("k = 1").drop("k").unionByName(many.mapInPandas(merged, cols.schema))
 
 
 def filter_multigene_umis(mols: DataFrame, mode: str = "MultiGeneUMI_CR") -> DataFrame:

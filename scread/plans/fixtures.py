@@ -98,6 +98,8 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def with_fixtures(sql: str) -> str:
     """The SQL with the fixtures it names in front."""
     names = [n for n in FIXTURES if n in sql]
+    if not names:
+        return sql
     head = ", ".join(f"{n} AS ({FIXTURES[n].strip()})" for n in names)
     body = sql.strip()
     if body.upper().startswith("WITH RECURSIVE"):
