@@ -124,7 +124,7 @@ def call_cells_emptydrops(
                 sims = rng.multinomial(depth, p, min(500, simulations - at)) @ lp
                 lows += (sims[None, :] <= seen[:, None] + 1e-9).sum(1)
             out[here] = (1 + lows) / (1 + simulations)
-        return left[["dataset", "cell", "umis", "genes"]].assign(p=out)
+        return pd.DataFrame({c: left[c].to_numpy(object) for c in ("dataset", "cell", "umis", "genes")} | {"p": out})
 
     kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
     schema = f"dataset {kinds['dataset']}, cell {kinds['cell']}, umis {kinds['umis']}, genes {kinds['genes']}, p double"
