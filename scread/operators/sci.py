@@ -32,7 +32,9 @@ def _tagged(df: DataFrame, seq: Column, near: DataFrame, rows: int, out: str) ->
 
 def sample_keys(samples: DataFrame) -> DataFrame:
     """(p5, p7, rt) barcode names to sample; ranges are expanded and multiplied, a later sheet row wins."""
-    s = samples if "row_no" in samples.columns else samples.withColumn("row_no", F.monotonically_increasing_id())
+    s = samples
+    if "row_no" not in s.columns:  # a sheet is small; its rows are numbered in the order in which they are read
+        s = s.agg(F.collect_list(F.struct("*")).alias("rows")).select(F.posexplode("rows").alias("row_no", "r")).select("row_no", "r.*")
     for kind in ("p5", "p7", "rt"):
         s = s.withColumn(f"k_{kind}", F.explode(expand_indices(kind, kind)))
     return s.groupBy("k_p5", "k_p7", "k_rt").agg(F.max_by("sample", "row_no").alias("sample_name"))

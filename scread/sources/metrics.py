@@ -64,7 +64,7 @@ def _lines(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def _whole(spark: SparkSession, glob: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(glob).select(F.input_file_name().alias("path"), "value")
+    return spark.read.text(glob, wholetext=True).select(F.input_file_name().alias("path"), "value")
 
 
 def _long(df: DataFrame, software: str) -> DataFrame:

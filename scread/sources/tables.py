@@ -32,7 +32,7 @@ def read_barcodes(spark: SparkSession, path: str) -> DataFrame:
 
 def read_well_whitelist(spark: SparkSession, path: str) -> DataFrame:
     """sequence and well, upper case; lines without five fields or without either are left out, the last duplicate wins."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")).filter("line_no > 0")
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")).filter("line_no > 0")
     f = F.split("line", ",")
     rows = lines.filter(F.size(f) >= 5).select("line_no", F.upper(F.trim(f[1])).alias("sequence"), F.upper(F.trim(f[3])).alias("well"))
     return rows.filter("sequence <> '' and well <> ''").groupBy("sequence").agg(F.max_by("well", "line_no").alias("well"))
@@ -105,7 +105,7 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """line_no from 1 and value of a small text file."""
-    return spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("n", "value")).select((F.col("n") + 1).alias("line_no"), "value")
+    return spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("n", "value")).select((F.col("n") + 1).alias("line_no"), "value")
 
 
 def read_mtx(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
