@@ -61,7 +61,7 @@ def fit(lengths: list[int], counts: list[int], target: float, capacity: int = KN
     due, taken, bulk = 0.0, 0, max(0, rest - capacity)
     for i in order:
         due += lengths[i] * counts[i] * (bulk / total)
-        extra[i] = max(0, min(counts[i], int((min(due, bulk) - taken) // lengths[i])))
+        extra[i] = max(0, min(counts[i], int((min(due, bulk) - taken) / lengths[i] + 0.5), (rest - taken) // lengths[i]))
         taken += extra[i] * lengths[i]
     left = rest - taken
     while left > capacity:  # give whole documents, the longest first, until the programme's table holds the rest
