@@ -53,29 +53,28 @@ def fit(lengths: list[int], counts: list[int], target: float, capacity: int = KN
     No document is taken more than twice. The list of lengths has at most sqrt(2 * words) entries.
     """
     total = sum(n * c for n, c in zip(lengths, counts))
-    goal = int(target + 0.5)
-    whole = 1 if goal >= total else 0
-    rest = max(0, min(goal - whole * total, total))
-    extra = [0] * len(lengths)
+    most = [2 * c for c in counts]
+    goal = max(0, min(int(target + 0.5), 2 * total))
+    copies = [0] * len(lengths)
     order = sorted((i for i, n in enumerate(lengths) if n > 0), key=lambda i: -lengths[i])
-    due, taken, bulk = 0.0, 0, max(0, rest - capacity)
-    for i in order:
+    due, taken, bulk = 0.0, 0, max(0, goal - capacity)
+    for i in order:  # every length its share of the bulk, the longest first, with what rounding left over
         due += lengths[i] * counts[i] * (bulk / total)
-        extra[i] = max(0, min(counts[i], int((min(due, bulk) - taken) / lengths[i] + 0.5), (rest - taken) // lengths[i]))
-        taken += extra[i] * lengths[i]
-    left = rest - taken
+        copies[i] = max(0, min(most[i], int((min(due, bulk) - taken) / lengths[i] + 0.5), (goal - taken) // lengths[i]))
+        taken += copies[i] * lengths[i]
+    left = goal - taken
     while left > capacity:  # give whole documents, the longest first, until the programme's table holds the rest
-        i = next((i for i in order if extra[i] < counts[i] and lengths[i] <= left), None)
+        i = next((i for i in order if copies[i] < most[i] and lengths[i] <= left), None)
         if i is None:
             break
-        k = max(1, min(counts[i] - extra[i], (left - capacity) // lengths[i]))
-        extra[i] += k
+        k = max(1, min(most[i] - copies[i], (left - capacity) // lengths[i]))
+        copies[i] += k
         left -= k * lengths[i]
     room = min(left, capacity)
     if room > 0:
         mask, reach, steps = (1 << (room + 1)) - 1, 1, []
         for i in reversed(order):
-            n, c = lengths[i], min(counts[i] - extra[i], room // lengths[i])
+            n, c = lengths[i], min(most[i] - copies[i], room // lengths[i])
             k = 1
             while c > 0 and not reach >> room & 1:
                 part = min(k, c)
@@ -85,9 +84,9 @@ def fit(lengths: list[int], counts: list[int], target: float, capacity: int = KN
         at = reach.bit_length() - 1
         for before, i, part in reversed(steps):
             if not before >> at & 1:
-                extra[i] += part
+                copies[i] += part
                 at -= part * lengths[i]
-    return [whole * c + x for c, x in zip(counts, extra)]
+    return copies
 
 
 def _fit_sources(rows: pd.DataFrame) -> pd.DataFrame:
