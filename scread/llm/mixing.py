@@ -50,16 +50,32 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
 def fit(lengths: list[int], counts: list[int], target: float, capacity: int = KNAPSACK_WORDS) -> list[int]:
     """How many documents of each length to take (repeats included) so that their words come near ``target``.
 
-    No document is taken more than twice. The list of lengths has at most sqrt(2 * words) entries.
+    No document is taken more than twice. The list of lengths has at most sqrt(2 * words) entries. What can't be
+    reached from below may be nearer from above: then one document more than fits is taken and the rest refitted.
     """
-    total = sum(n * c for n, c in zip(lengths, counts))
+    goal = max(0, min(int(target + 0.5), 2 * sum(n * c for n, c in zip(lengths, counts))))
     most = [2 * c for c in counts]
-    goal = max(0, min(int(target + 0.5), 2 * total))
+    words = lambda copies: sum(n * c for n, c in zip(lengths, copies))
+    best = _fit_below(lengths, most, goal, capacity)
+    left = goal - words(best)
+    above = [i for i, n in enumerate(lengths) if n > left and best[i] < most[i]] if left else []
+    if above:
+        i = min(above, key=lambda i: lengths[i])
+        rest = _fit_below(lengths, [m - (j == i) for j, m in enumerate(most)], max(0, goal - lengths[i]), capacity)
+        rest[i] += 1
+        if abs(words(rest) - goal) < left:
+            return rest
+    return best
+
+
+def _fit_below(lengths: list[int], most: list[int], goal: int, capacity: int) -> list[int]:
+    """At most ``most`` documents of each length, their words near ``goal`` and not above it."""
+    total = sum(n * c for n, c in zip(lengths, most))
     copies = [0] * len(lengths)
     order = sorted((i for i, n in enumerate(lengths) if n > 0), key=lambda i: -lengths[i])
     due, taken, bulk = 0.0, 0, max(0, goal - capacity)
     for i in order:  # every length its share of the bulk, the longest first, with what rounding left over
-        due += lengths[i] * counts[i] * (bulk / total)
+        due += lengths[i] * most[i] * (bulk / total)
         copies[i] = max(0, min(most[i], int((min(due, bulk) - taken) / lengths[i] + 0.5), (goal - taken) // lengths[i]))
         taken += copies[i] * lengths[i]
     left = goal - taken
