@@ -23,7 +23,7 @@ from .labelled import calibrate, finish, with_label
 
 LEVEL = 19
 ORDINARY_BYTES, TOXIC_BYTES, FRAME_BYTES = 4096, 16_384, 40
-LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 3, 0.005, 2.5
+LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 3, 0.02, 4.5
 MAX_WINDOWS = 20_000
 CACHED_WINDOWS = 800_000
 LOW, HIGH = -2, 12
@@ -46,7 +46,8 @@ def train_dictionaries(windows: list[tuple[str, int, int]], n_toxic: int, n_ordi
         content = b" ".join(dict.fromkeys(samples))[-ORDINARY_BYTES:]
     content = content.rjust(2 * FRAME_BYTES, b" ")
     least = max(LEAST_DOCS, LEAST_SHARE * n_toxic)
-    toxic = [w.encode() for _, w in sorted((t * odds[w], w) for w, t, _ in windows if odds[w] > LEAST_ODDS and t >= least)]
+    least_odds = min(LEAST_ODDS, 0.6 * log(2 * n_ordinary + 2))  # few ordinary texts can't show high odds
+    toxic = [w.encode() for _, w in sorted((t * odds[w], w) for w, t, _ in windows if odds[w] > least_odds and t >= least)]
     extra = b"".join(b" " + w + b" " for w in toxic)[-TOXIC_BYTES:]
     # of some frames from the ordinary content, the one under which the two kinds of windows differ most
     best = (-1.0, content, content)
