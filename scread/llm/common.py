@@ -44,7 +44,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = hadoop
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a staged table that nothing will read again."""
+    df._staged.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(df._staged, True)
 
 
 def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

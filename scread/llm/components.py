@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, stage
 
 
 def connected(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -19,7 +19,7 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
         return e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
     e = edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    e = stage(e, name)
+    e = held = stage(e, name)
     before = None
     while True:
         n = both(e)
@@ -28,6 +28,8 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
         small = large.groupBy("b").agg(F.min("a").alias("m"))
         e = large.join(small, "b").select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b")).filter("a != b").distinct()
         e = stage(e, name)
+        discard(held)
+        held = e
         # a star forest maps to itself, and so do these figures
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003), F.count_distinct("b")).first()
         if now == before and now[0] == now[2]:

@@ -27,6 +27,7 @@ SAMPLE_DOCS = 20_000
 FREQUENT = 200_000
 SMALL = 48
 CLUSTER_DOCS = 4_000
+CLUSTER_SHINGLES = 2_000_000
 _TOP = np.uint64(1 << 63)
 
 
@@ -232,7 +233,7 @@ def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_doc
     link with nothing. A component's id is its smallest doc_id; a null id counts as larger than any other
     and gives null only if the component has no other. Rows that repeat are in one component if they have
     words. Extra columns are not read; an empty table gives no rows. No pair is dropped: clusters of more
-    than ``cluster_docs`` different sets are verified in pairs of chunks.
+    than ``cluster_docs`` different sets, or ``CLUSTER_SHINGLES`` shingles, are verified in pairs of chunks.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
@@ -251,8 +252,9 @@ def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_doc
     clusters = connected(pairs, "jaccard-clusters")
 
     # each different set of a cluster goes, as text, to the cluster's task; of a large cluster to pairs of its chunks
-    size = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(cluster_docs)).cast("int").alias("chunks"))
-    members = clusters.join(size, "component").join(classes.select(F.col("sid").alias("node"), "rk"), "node")
+    members = clusters.join(classes.select(F.col("sid").alias("node"), "rk", "n"), "node")
+    chunks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(cluster_docs)), F.ceil(F.sum("n") / F.lit(CLUSTER_SHINGLES))).cast("int")
+    members = members.join(members.groupBy("component").agg(chunks.alias("chunks")), "component")
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     other = F.when(F.col("chunks") > 1, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0)))
     members = members.withColumn("chunk", chunk).select("node", "rk", "component", "chunk", F.explode(other).alias("other"))
