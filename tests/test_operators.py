@@ -125,3 +125,37 @@ def test_sheets(spark):
     assert len(rows(sheets.check_hash_sheets(h))) == 1
     e = spark.createDataFrame([("s", "x"), ("s", None)], "sample string, fastq_cdna string")
     assert len(rows(sheets.check_endedness(e))) == 1
+
+
+def test_sample_summary(spark):
+    r = spark.createDataFrame([("A", "u1", "g1", "IIII", "II##"), ("A", "u1", "g1", "IIII", "IIII"), ("A", "u2", "g2", "IIII", "IIII"), ("B", "u1", "g1", "####", "IIII"), (None, None, None, "IIII", "IIII")], "cb string, umi string, gene string, bc_qual string, cdna_qual string")
+    mols = umi.molecules(r.filter("cb is not null").withColumnRenamed("cb", "cell"))
+    out = umi.sample_summary(r, mols, spark.createDataFrame([("A",)], "cell string")).first()
+    assert (out["reads"], out["q30_cb_umi"], out["q30_rna"], out["saturation"]) == (5, 0.8, 0.9, 0.25)
+    assert (out["cells"], out["median_umis"], out["median_genes"], out["total_genes"], out["mean_reads_per_cell"]) == (1, 2.0, 2.0, 2, 3.0)
+
+
+def test_reference_extras(spark):
+    seqs = spark.createDataFrame([("b", "AC"), ("a", "AC"), ("c", "GT")], "id string, sequence string")
+    assert rows(intervals.dedup_seqs(seqs)) == [("a", "AC"), ("c", "GT")]
+    t2g = spark.createDataFrame([("t1", "g1", "S"), ("g1-I", "g1", "U")], "transcript_id string, gene_id string, status string")
+    extra = spark.createDataFrame([("x", "TT")], "id string, sequence string")
+    s, three, two = intervals.append_extra(seqs, t2g, extra, "U")
+    assert s.count() == 4 and ("x", "x", "U") in rows(three) and ("x", "x-U") in rows(two) and ("g1-I", "g1-U") in rows(two)
+    assert intervals.join_t2g(spark.createDataFrame([("t1", 1)], "transcript_id string, n int"), t2g).count() == 1
+
+
+def test_knee_and_quantile_small(spark):
+    b = spark.createDataFrame([("d", f"b{i:03d}", 1000 - i if i < 20 else 3 if i < 60 else 1) for i in range(300)], "dataset string, barcode string, reads long")
+    kept = cells.knee_cut(b)
+    assert kept.count() == kept.first()["knee"] and kept.agg({"reads": "min"}).first()[0] >= 1
+    c = spark.createDataFrame([("d", f"c{i}", 100 - i, 50) for i in range(50)], "dataset string, cell string, umis long, genes long")
+    assert cells.quantile_threshold(c, 100).first()["threshold"] == 10
+    assert cells.filter_cells(c, (60, 90), 10).count() == 31 and cells.expressed(c).count() == 50
+
+
+def test_small_tables_api(spark):
+    a = spark.createDataFrame([(2, "x"), (1, "y"), (1, "y")], "i int, s string")
+    assert tables.first_row(a, "i", "s").first()["s"] == "y" and tables.distinct_rows(a).count() == 2
+    assert tables.gather(a, a).count() == 6 and tables.absent_values(a, "s", ["x", "z"]).first()[0] == "z"
+    assert cells.n_cells(a).first()["n_cells"] == 3
