@@ -188,25 +188,3 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     left = np.minimum.accumulate(rows, axis=1).ravel()
     right = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
     return np.minimum(right[:n], left[w - 1 : w - 1 + n])
-
-
-def anchors(keys: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Winnowing over one sequence of gram hashes: (gram hash, first, last) per anchor.
-
-    ``first`` and ``last`` are the starts of the windows of ``w`` grams whose smallest gram (leftmost
-    on ties) the anchor is. Equal windows choose equal grams at equal offsets, so equal windows meet
-    under one anchor hash, and each window has exactly one anchor.
-    """
-    if len(keys) < w:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    low = np.uint64((1 << 24) - 1)
-    out = []
-    step = (1 << 24) - w
-    for base in range(0, len(keys) - w + 1, step):
-        part = keys[base : base + step + w - 1]
-        m = sliding_min((part & ~low) | np.arange(len(part), dtype=np.uint64), w)
-        at = (m & low).astype(np.int64)
-        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        last = np.r_[first[1:] - 1, len(at) - 1]
-        out.append((part[at[first]], first + base, last + base))
-    return tuple(np.concatenate(x) for x in zip(*out))
