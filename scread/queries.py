@@ -191,10 +191,10 @@ def _well_reads(spark, d) -> DataFrame:
     return reads(spark, d).select("pair_id", F.when(F.col("pair_id") % 11 == 0, F.substring("r1_seq", 1, 20)).otherwise(F.col("r1_seq")).alias("s"))
 
 
-@query("match_min_hamming", _WELLS + "SELECT bc.pair_id, hit.distance, array_to_string(hit.matches,',') AS matches FROM bc LEFT JOIN hit ON hit.o=bc.o")
+@query("match_min_hamming", _WELLS + "SELECT bc.pair_id, coalesce(hit.distance,-1) AS distance, array_to_string(hit.matches,',') AS matches FROM bc LEFT JOIN hit ON hit.o=bc.o")
 def match_min_hamming(spark, d):
     df = _well_reads(spark, d).withColumn("bc", F.when(F.length("s") >= 32, F.substring("s", 25, 8)))
-    return match.match_min_hamming(df, "bc", _well_list(spark, d), 2).select("pair_id", F.col("distance").cast("long").alias("distance"), F.array_join("matches", ",").alias("matches"))
+    return match.match_min_hamming(df, "bc", _well_list(spark, d), 2).select("pair_id", F.coalesce(F.col("distance").cast("long"), F.lit(-1)).alias("distance"), F.array_join("matches", ",").alias("matches"))
 
 
 @query("well_demux_stats", _WELLS + """, gr AS (SELECT 'g1' AS group_name, barcode AS well FROM fx_barcodes WHERE type='rt' AND barcode BETWEEN 'P01-A01' AND 'P01-C12' UNION ALL SELECT 'g2', barcode FROM fx_barcodes WHERE type='rt' AND barcode BETWEEN 'P01-C01' AND 'P01-H12'),
@@ -268,12 +268,12 @@ def layout_table(spark, d):
 
 
 @query("sequence_functions", """SELECT pair_id, reverse(translate(r2_seq,'ACGTacgt','TGCAtgca')) AS rc, hamming(substr(r2_seq,1,16),substr(r2_seq,17,16)) AS h,
- CASE WHEN instr(r2_seq,'AAAA')>0 THEN instr(r2_seq,'AAAA')-1 END AS poly_a, contains(r1_seq,'N') AS has_n, regexp_full_match(r1_seq,'[ACGT]+') AS acgt,
+ CASE WHEN instr(r2_seq,'AAAA')>0 THEN instr(r2_seq,'AAAA')-1 ELSE -1 END AS poly_a, contains(r1_seq,'N') AS has_n, regexp_full_match(r1_seq,'[ACGT]+') AS acgt,
  round((length(r2_seq)-length(replace(replace(r2_seq,'G',''),'C','')))/length(r2_seq),6) AS gc,
  CASE WHEN r2_seq LIKE 'A%' THEN substr(r2_seq,2) WHEN r2_seq LIKE 'GT%' THEN substr(r2_seq,3) WHEN r2_seq LIKE 'TCA%' THEN substr(r2_seq,4) ELSE r2_seq END AS trimmed FROM fx_reads""")
 def sequence_functions(spark, d):
     return reads(spark, d).select(
-        "pair_id", seq.revcomp("r2_seq").alias("rc"), seq.hamming(F.substring("r2_seq", 1, 16), F.substring("r2_seq", 17, 16)).cast("long").alias("h"), seq.poly_a_start("r2_seq").cast("long").alias("poly_a"),
+        "pair_id", seq.revcomp("r2_seq").alias("rc"), seq.hamming(F.substring("r2_seq", 1, 16), F.substring("r2_seq", 17, 16)).cast("long").alias("h"), F.coalesce(seq.poly_a_start("r2_seq").cast("long"), F.lit(-1)).alias("poly_a"),
         seq.has_n("r1_seq").alias("has_n"), seq.is_acgt("r1_seq").alias("acgt"), F.round(seq.gc("r2_seq"), 6).alias("gc"), seq.trim_varbases("r2_seq", "r2_seq")[0].alias("trimmed"),
     )
 
@@ -531,7 +531,7 @@ def em_multigene(spark, d):
     return umi.em_multigene(sets)
 
 
-@query("saturation_molecules", "SELECT 1.0 AS fraction, count(*) AS reads, count(DISTINCT (l_suppkey, l_partkey%40, l_orderkey%97)) AS molecules FROM lineitem")
+@query("saturation_molecules", "SELECT CAST(1.0 AS DOUBLE) AS fraction, count(*) AS reads, count(DISTINCT (l_suppkey, l_partkey%40, l_orderkey%97)) AS molecules FROM lineitem")
 def saturation_molecules(spark, d):
     li = spark.read.parquet(f"{d}/lineitem.parquet")
     tagged = li.select(F.struct("*").alias("read_id"), F.col("l_suppkey").alias("cb"), (F.col("l_partkey") % 40).alias("gene"), (F.col("l_orderkey") % 97).alias("umi")).withColumn("read_id", F.to_json("read_id"))
