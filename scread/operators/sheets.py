@@ -9,6 +9,7 @@ from ..functions.ranges import expand_indices, index_problem
 from ..functions.seq import is_acgt
 from .tables import absent_values, union_all
 
+# Barcode types and the columns a sample sheet needs.
 TYPES = ["p5", "p7", "rt", "ligation"]
 SAMPLE_COLUMNS = ["experiment_name", "p5", "p7", "rt", "sample_name", "species", "n_expected_cells"]
 

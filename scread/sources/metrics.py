@@ -52,6 +52,7 @@ SCI_REGIONS = {
     "total_exonicAS_reads": "% exonicAS reads",
     "total_intronicAS_reads": "% intronicAS reads",
 }
+# Gene modes, the preferred one first.
 MODES = ["GeneFull_Ex50pAS", "Gene"]
 
 
@@ -119,6 +120,7 @@ def read_scirocket_qc(spark: SparkSession, glob: str) -> DataFrame:
     return _unpivot(rows, "sci-rocket", {"N reads/sample": F.col("total_reads"), "N cells": F.col("estimated_cells"), "Mean Reads per Cell": F.col("mean_reads_per_cell"), **texts}, tuple(texts))
 
 
+# The names under which totals occur.
 _SALMON = "num_processed long, num_fragments long, num_reads long, num_mapped long, num_mapped_fragments long, mapped long"
 
 
