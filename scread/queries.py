@@ -35,7 +35,8 @@ counts, alignments, features, mols = _fx("fx_counts"), _fx("fx_alignments"), _fx
 
 
 def demuxed(spark, d) -> DataFrame:
-    return sci.sci_demux(reads(spark, d), barcodes(spark, d), samples(spark, d))
+    # reads come from one small file by long expressions: dealt out once, they are evaluated once and in parallel
+    return sci.sci_demux(reads(spark, d).repartition("pair_id"), barcodes(spark, d), samples(spark, d))
 
 
 # ---- demultiplexing -------------------------------------------------------------------------------------
