@@ -14,6 +14,7 @@ from scread.llm import automaton_dedup, jaccard_join, mixing, packing, quality
 from scread.llm.common import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR_WORDS, NEAR_THRESHOLD = 5, (8, 10)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +23,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one whose id names it."""
-    found = jaccard_join.link_components(docs).filter("n_shingles > 0 and doc_id != component_id").select("doc_id").distinct()
+    """One document of each component of texts with 0.8 or more of their five-word shingles in common: the one whose id names it."""
+    linked = jaccard_join.link_components(docs, ngram=NEAR_WORDS, threshold=NEAR_THRESHOLD)
+    found = linked.filter("n_shingles > 0 and doc_id != component_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(COLUMNS)
 
 

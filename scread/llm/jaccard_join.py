@@ -22,7 +22,7 @@ from .passages import groups
 
 NGRAM = 3
 GROUPS = 64
-NUMERATOR, DENOMINATOR = 9, 10
+THRESHOLD = 9, 10  # numerator and denominator
 SAMPLE_DOCS = 20_000
 FREQUENT = 200_000
 SMALL = 48
@@ -50,9 +50,9 @@ def token_sets(texts: pa.Array, frequent: np.ndarray, ngram: int = NGRAM) -> Ite
                 yield np.zeros(0, np.uint64)
 
 
-def prefix_length(n: int) -> int:
+def prefix_length(n: int, threshold: tuple[int, int] = THRESHOLD) -> int:
     """Two sets that link share a token among this many first ones of each."""
-    return n - -(-NUMERATOR * n // DENOMINATOR) + 1 if n else 0
+    return n - -(-threshold[0] * n // threshold[1]) + 1 if n else 0
 
 
 def group_counts(tokens: np.ndarray) -> np.ndarray:
@@ -74,15 +74,15 @@ def unpacked_counts(column: pa.Array) -> np.ndarray:
     return raw[:, 1:].astype(np.int32) << raw[:, :1].astype(np.int32)
 
 
-def may_link(overlap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def may_link(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: tuple[int, int] = THRESHOLD) -> np.ndarray:
     """Whether sets of sizes a and b with this overlap, or at most this, reach the threshold."""
-    return (NUMERATOR + DENOMINATOR) * overlap >= NUMERATOR * (a + b)
+    return sum(threshold) * overlap >= threshold[0] * (a + b)
 
 
 class RTree:
     """Points packed by size into boxes of boxes; a search skips a box that no partner can be in."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, fan: int = 16):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, fan: int = 16, threshold: tuple[int, int] = THRESHOLD):
         # tiles: by set size, then by the coordinate with the largest spread
         spread = int(np.argmax(points.var(0))) if len(points) else 0
         slab = max(1, int(np.ceil(np.sqrt(len(points) / fan)))) * fan
@@ -97,36 +97,37 @@ class RTree:
             edges = np.arange(0, len(high), fan)
             high, least, most = np.maximum.reduceat(high, edges), np.minimum.reduceat(least, edges), np.maximum.reduceat(most, edges)
             self.levels.append((high, least, most))
-        self.fan = fan
+        self.fan, self.threshold = fan, threshold
 
     def search(self, point: np.ndarray, size: int) -> np.ndarray:
         """Numbers of the points that may link with this one."""
+        numerator, denominator = self.threshold
         at = np.zeros(1, np.int64) if self.levels else np.arange(len(self.points))
         for level in range(len(self.levels) - 1, -1, -1):
             high, least, most = self.levels[level]
             bound = np.minimum(high[at], point).sum(1)
             # the smallest partner in the box needs the least overlap
-            ok = may_link(bound, least[at], size) & (DENOMINATOR * most[at] >= NUMERATOR * size) & (DENOMINATOR * size >= NUMERATOR * least[at])
+            ok = may_link(bound, least[at], size, self.threshold) & (denominator * most[at] >= numerator * size) & (denominator * size >= numerator * least[at])
             at = (at[ok][:, None] * self.fan + np.arange(self.fan)).ravel()
             at = at[at < (len(self.levels[level - 1][0]) if level else len(self.points))]
-        at = at[may_link(np.minimum(self.points[at], point).sum(1), self.sizes[at], size)]
+        at = at[may_link(np.minimum(self.points[at], point).sum(1), self.sizes[at], size, self.threshold)]
         return self.order[at]
 
 
-def _sketch(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, ngram: int, threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, key, prefix, vec = [], [], [], []
-        for s in token_sets(batch.column(1), frequent):
+        for s in token_sets(batch.column(1), frequent, ngram):
             n.append(len(s))
             m = mix64(s)
             key.append(int((mix64(m.sum(keepdims=True)) ^ np.bitwise_xor.reduce(m, keepdims=True))[0]) - (1 << 63) if len(s) else 0)
-            prefix.append(s[: prefix_length(len(s))].view(np.int64))
+            prefix.append(s[: prefix_length(len(s), threshold)].view(np.int64))
             vec.append(packed_counts(group_counts(s)))
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(p) for p in prefix])].astype(np.int32)), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(key, pa.int64()), lists, pa.array(vec, pa.binary())], names=["did", "rk", "n", "sid", "prefix", "vec"])
 
 
-def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_edges(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Pairs of one token that survive the bound; of a crowded token a spanning forest of them."""
     for table in groups(batches, 50_000):
         token, sid, n = (table.column(i).to_numpy() for i in range(3))
@@ -141,15 +142,15 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         crowd = count[number]
         out = []
         for step in range(1, SMALL):
-            i = np.flatnonzero((number[step:] == number[:-step]) & (crowd[step:] <= SMALL) & (DENOMINATOR * n[:-step] >= NUMERATOR * n[step:]))
+            i = np.flatnonzero((number[step:] == number[:-step]) & (crowd[step:] <= SMALL) & (threshold[1] * n[:-step] >= threshold[0] * n[step:]))
             if not len(i) and not (number[step:] == number[:-step]).any():
                 break
             j = i + step
-            ok = may_link(np.minimum(points[i], points[j]).sum(1), n[i], n[j]) & (sid[i] != sid[j])
+            ok = may_link(np.minimum(points[i], points[j]).sum(1), n[i], n[j], threshold) & (sid[i] != sid[j])
             out.append((sid[i[ok]], sid[j[ok]]))
         for g in np.unique(number[crowd > SMALL]):
             rows = np.flatnonzero(number == g) if len(number) < 1000 else np.arange(*np.searchsorted(number, [g, g + 1]))
-            a, b = spanning(points[rows], n[rows], lambda u, vs: np.ones(len(vs), bool))
+            a, b = spanning(points[rows], n[rows], lambda u, vs: np.ones(len(vs), bool), threshold)
             out.append((sid[rows[a]], sid[rows[b]]))
         a, b = (np.concatenate(c) for c in zip(*out)) if out else (sid[:0], sid[:0])
         if len(a):
@@ -157,9 +158,12 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
 
-def spanning(points: np.ndarray, sizes: np.ndarray, verify) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the pairs that survive the tree's bound and ``verify(u, candidates)``."""
-    tree = RTree(points, sizes)
+def spanning(points: np.ndarray, sizes: np.ndarray, verify, threshold: tuple[int, int] = THRESHOLD, near=None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs that survive the bound and ``verify(u, candidates)``.
+
+    Candidates come from the tree, or from ``near(u)`` if given.
+    """
+    tree = RTree(points, sizes, threshold=threshold) if near is None else None
     waiting = np.ones(len(points), bool)
     a: list[int] = []
     b: list[int] = []
@@ -170,8 +174,10 @@ def spanning(points: np.ndarray, sizes: np.ndarray, verify) -> tuple[np.ndarray,
         queue = [root]
         while queue and waiting.any():
             u = queue.pop()
-            found = tree.search(points[u], int(sizes[u]))
+            found = tree.search(points[u], int(sizes[u])) if near is None else near(u)
             found = found[waiting[found]]
+            if near is not None:
+                found = found[may_link(np.minimum(points[found], points[u]).sum(1), sizes[found], sizes[u], threshold)]
             found = found[verify(u, found)] if len(found) else found
             waiting[found] = False
             a += [u] * len(found)
@@ -180,17 +186,31 @@ def spanning(points: np.ndarray, sizes: np.ndarray, verify) -> tuple[np.ndarray,
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
-def _verified_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each cluster (or pair of its chunks): a spanning forest of the verified pairs."""
-    none = np.zeros(0, dtype=[("token", np.uint64), ("rank", np.uint64)])
+def _verified_edges(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, ngram: int, threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Links of each cluster (or pair of its chunks): a spanning forest of the verified pairs.
+
+    The tree's bound says little about long texts, so only sets that share a token of their prefixes are compared.
+    """
     for table in groups(batches, 1):
         key = table.column(0).to_numpy()
         edges = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
         for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
             sid = table.column(1).to_numpy()[lo:hi]
-            sets = list(token_sets(unzipped(table.column(2).combine_chunks().slice(lo, hi - lo)), none))
+            sets = list(token_sets(unzipped(table.column(2).combine_chunks().slice(lo, hi - lo)), frequent, ngram))
             sizes = np.array([len(s) for s in sets])
             points = np.stack([group_counts(s) for s in sets]).astype(np.int32)
+            lengths = np.array([prefix_length(n, threshold) for n in sizes.tolist()])
+            first = np.cumsum(lengths) - lengths
+            token = np.unique(np.concatenate([s[:n] for s, n in zip(sets, lengths.tolist())]), return_inverse=True)[1]
+            holders = np.repeat(np.arange(len(sets)), lengths)[np.argsort(token, kind="stable")]
+            held = np.r_[0, np.cumsum(np.bincount(token))]
+
+            def near(u: int) -> np.ndarray:
+                mine = token[first[u] : first[u] + lengths[u]]
+                shared = np.zeros(len(sets), bool)
+                count = held[mine + 1] - held[mine]
+                shared[holders[np.arange(count.sum()) + np.repeat(held[mine] - np.cumsum(count) + count, count)]] = True
+                return np.flatnonzero(shared)
 
             def verify(u: int, vs: np.ndarray) -> np.ndarray:
                 s = sets[u]
@@ -198,14 +218,14 @@ def _verified_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 place = np.searchsorted(s, joined).clip(max=len(s) - 1)
                 ends = np.cumsum(sizes[vs])
                 overlap = np.add.reduceat((s[place] == joined).astype(np.int64), ends - sizes[vs])
-                return may_link(overlap, sizes[vs], sizes[u])
+                return may_link(overlap, sizes[vs], sizes[u], threshold)
 
-            a, b = spanning(points, sizes, verify)
+            a, b = spanning(points, sizes, verify, threshold, near)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(sid[a]), pa.array(sid[b])], names=["a", "b"])
 
 
-def _frequent(docs_x: DataFrame, sample_docs: int) -> np.ndarray:
+def _frequent(docs_x: DataFrame, sample_docs: int, ngram: int) -> np.ndarray:
     """Tokens met three times or more in a bounded sample of documents, by rising count; at most ``FREQUENT``."""
     total = docs_x.count()
     sample = docs_x.filter(F.pmod(F.xxhash64("rk", F.lit(1)), F.lit(1 << 30)) < int(min(1.0, sample_docs / max(total, 1)) * (1 << 30)))
@@ -213,7 +233,7 @@ def _frequent(docs_x: DataFrame, sample_docs: int) -> np.ndarray:
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in token_sets(batch.column(0), none):
+            for s in token_sets(batch.column(0), none, ngram):
                 yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["t"])
 
     counted = sample.select("text").mapInArrow(tokens, "t long").groupBy("t").count().filter("count >= 3")
@@ -225,11 +245,11 @@ def _frequent(docs_x: DataFrame, sample_docs: int) -> np.ndarray:
     return np.sort(out, order="token")
 
 
-def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_docs: int = CLUSTER_DOCS) -> DataFrame:
+def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_docs: int = CLUSTER_DOCS, ngram: int = NGRAM, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
 
-    Texts are sets of distinct 3-word shingles (A-Z lower-cased; a text of one or two words is one shingle);
-    sets with a Jaccard similarity of 0.9 or more link. Null, empty and wordless texts have empty sets and
+    Texts are sets of distinct shingles of ``ngram`` words (A-Z lower-cased; a shorter text is one shingle);
+    sets with a Jaccard similarity of ``threshold`` (numerator, denominator) or more link. Null, empty and wordless texts have empty sets and
     link with nothing. A component's id is its smallest doc_id; a null id counts as larger than any other
     and gives null only if the component has no other. Rows that repeat are in one component if they have
     words. Extra columns are not read; an empty table gives no rows. No pair is dropped: clusters of more
@@ -238,17 +258,23 @@ def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_doc
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     docs_x = d.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did"), "text", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text").alias("rk"))
-    frequent = _frequent(docs_x, sample_docs)
+    frequent = _frequent(docs_x, sample_docs, ngram)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sketch(batches, frequent)
+        return _sketch(batches, frequent, ngram, threshold)
+
+    def bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _bucket_edges(batches, threshold)
+
+    def verified_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _verified_edges(batches, frequent, ngram, threshold)
 
     sets = stage(docs_x.mapInArrow(sketch, "did long, rk long, n int, sid long, prefix array<long>, vec binary"), "jaccard-sets")
     full = sets.filter("n > 0")
     classes = full.groupBy("sid", "n").agg(F.min("did").alias("least"), F.min("rk").alias("rk"), F.first("prefix").alias("prefix"), F.first("vec").alias("vec"))
     classes = stage(classes, "jaccard-classes")
     tokens = classes.select(F.explode("prefix").alias("token"), "sid", "n", "vec")
-    pairs = tokens.repartition("token").sortWithinPartitions("token", "n").mapInArrow(_bucket_edges, "a long, b long")
+    pairs = tokens.repartition("token").sortWithinPartitions("token", "n").mapInArrow(bucket_edges, "a long, b long")
     clusters = connected(pairs, "jaccard-clusters")
 
     # each different set of a cluster goes, as text, to the cluster's task; of a large cluster to pairs of its chunks
@@ -261,7 +287,7 @@ def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_doc
     task = F.xxhash64("component", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("task")
     texts = zipped(docs_x.select("rk", "text"))
     shipped = members.select("rk", F.col("node").alias("sid"), task).join(texts, "rk").select("task", "sid", "text")
-    links = shipped.repartition("task").sortWithinPartitions("task", "sid").mapInArrow(_verified_edges, "a long, b long")
+    links = shipped.repartition("task").sortWithinPartitions("task", "sid").mapInArrow(verified_edges, "a long, b long")
     links = connected(links, "jaccard-links")
 
     # the smallest id of a component is that of one of its classes

@@ -1,5 +1,7 @@
 """Every stage of the pipeline on nulls, empty and long texts, repeats, extra columns and no rows."""
 
+import random
+
 import pytest
 from helpers import docs, empty, labels
 
@@ -28,6 +30,30 @@ def test_near_duplicates_keep_one_of_each_group(spark, tmp_path):
     assert kept.count(2) == 1 and kept.count(3) == 1  # wordless documents link with nothing
 
 
+def test_near_duplicates_against_brute_force(spark, tmp_path):
+    rng = random.Random(5)
+    rows = []
+    for g in range(12):
+        ws = [f"g{g}w{rng.randrange(400)}" for _ in range(rng.randrange(3, 140))]
+        for i in range(6):
+            mine = list(ws)
+            for _ in range(rng.randrange(4)):
+                mine[rng.randrange(len(mine))] = f"n{rng.randrange(9)}"
+            rows.append((100 + 10 * g + i, " ".join(mine), "en", "s1"))
+    sets = {}
+    for doc_id, text, *_ in rows:
+        ws = text.split()
+        sets[doc_id] = {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))}
+    least = {k: k for k in sets}
+    near = [(a, b) for a in sets for b in sets if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    for a, b in near:
+        x, y = sorted((least[a], least[b]))
+        least = {k: x if v == y else v for k, v in least.items()}
+    d = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(r["doc_id"] for r in p.near_duplicates(spark, d, str(tmp_path)).collect())
+    assert kept == sorted(k for k, v in least.items() if k == v)
+
+
 def test_substring_stage_keeps_other_columns(spark, tmp_path):
     passage = " ".join(f"p{i}" for i in range(30))
     d = docs(spark, [(80, "a start " + passage, "en", "s1"), (81, passage + " an end", "de", None)])
