@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -20,32 +21,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, string_parts
 
 CAPACITY = 2048
 CUT = 512
 GROUP_PIECES = 1500
 END_ID = 1
-CACHED_WORDS = 1_000_000
+SLICE_BYTES = 4_000_000
+CACHE_BYTES, ENTRY_BYTES, MET_BITS = 24_000_000, 170, 21
+MARKS = b".,;:!?#*$%&)\""
+LATIN_END = "\u0130"  # before it every letter has one lower-case letter and composes with nothing
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-class WordTokenizer:
-    """Ids of a tokenizer that never joins symbols across ASCII white space, with a bounded cache of words.
+def _byte_letters() -> dict[int, int]:
+    """The letter by which a byte-level vocabulary writes each byte: itself if it prints, else one from 256 on."""
+    printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printing]
+    return {b: 256 + i for i, b in enumerate(others)}
 
-    The words met first, which are the frequent ones, stay in the cache; once it is full, others are
-    tokenized again in each batch. Many words go through the tokenizer in one call, kept apart by a
-    special token, which no other word yields.
+
+class WordTokenizer(dict):
+    """Ids of words under a tokenizer that never joins symbols across ASCII white space, with a bounded memory.
+
+    A slice of text looks its words up here. After the slice a new word stays if an earlier slice held it too
+    and the cache's bytes are not used up; words that occur once pass by. Marks after a word's last letter or
+    digit have ids of their own, so ``word`` and ``word,`` are tokenized alike. Words of Latin letters go
+    straight to the vocabulary's merges, in lower case, and others through the whole tokenizer.
     """
 
     _made: dict = {}
 
-    def __init__(self, path: str, mark: str = "<|endoftext|>"):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache, self.mark = Tokenizer.from_file(path), {}, mark
-        self.mark_id = self.tokenizer.token_to_id(mark)
+        super().__init__()
+        self.tokenizer, self.room, self.fresh = Tokenizer.from_file(path), cache_bytes, []
+        self.merges, self.written, self.met = self.tokenizer.model.tokenize, _byte_letters(), bytearray(1 << MET_BITS)
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -54,29 +67,37 @@ class WordTokenizer:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        plain = [w for w in words if b"<|" not in w]
-        out = {w: np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in words if b"<|" in w}
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join([w.decode() for w in part])], add_special_tokens=False)[0].ids, "<u4")
-            ends, raw = np.flatnonzero(ids == self.mark_id), ids.tobytes()
-            for w, a, b in zip(part, np.r_[0, ends + 1].tolist(), np.r_[ends, len(ids)].tolist(), strict=True):
-                out[w] = raw[4 * a : 4 * b]
-        return out
+    def __missing__(self, word: bytes) -> bytes:
+        self.fresh.append(word)
+        if word.isalpha():
+            ids = array("I", [t.id for t in self.merges(word.lower().decode())]).tobytes()
+        else:
+            core = word.rstrip(MARKS)
+            if core[-1:].isalnum() and len(core) < len(word):
+                ids = self[core] + self[word[len(core) :]]
+            else:
+                text = word.decode()
+                if text.isalpha() and max(text) < LATIN_END:
+                    found = [t.id for t in self.merges(text.lower().encode().decode("latin-1").translate(self.written))]
+                else:
+                    found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+                ids = array("I", found).tobytes()
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each UTF-8 text."""
-        split = [t.split() for t in texts]
-        known = self.cache
-        missing = list({w for ws in split for w in ws if w not in known})
-        if missing:
-            new = self._new(missing)
-            if len(known) + len(new) <= CACHED_WORDS:
-                known.update(new)
+        """Ids of each UTF-8 text as unsigned 32-bit numbers in this machine's order."""
+        out = [b"".join(map(self.__getitem__, t.split())) for t in texts]
+        met, last = self.met, len(self.met) - 1
+        for word in self.fresh:
+            at = hash(word) & last
+            if met[at] and self.room > 0:
+                self.room -= ENTRY_BYTES + len(word) + len(self[word])
             else:
-                return [b"".join([known[w] if w in known else new[w] for w in ws]) for ws in split]
-        return [b"".join([known[w] for w in ws]) for ws in split]
+                del self[word]
+            met[at] = 1
+        self.fresh.clear()
+        return out
 
 
 def cuts(n: int, capacity: int = CAPACITY, cut: int = CUT) -> list[tuple[int, int]]:
@@ -93,8 +114,12 @@ def cuts(n: int, capacity: int = CAPACITY, cut: int = CUT) -> list[tuple[int, in
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, cut: int) -> Iterator[pa.RecordBatch]:
     tokenizer, end = WordTokenizer.of(path), np.array([END_ID], "<u4").tobytes()
     for batch in batches:
-        for at in range(0, len(batch), 500):
-            part = batch.slice(at, 500)
+        _, offsets = string_parts(batch.column(1))
+        at = 0
+        while at < len(batch):
+            upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+            part = batch.slice(at, upto - at)
+            at = upto
             texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
             rows: list[tuple] = []
             for i, ids in enumerate(tokenizer.encode(texts)):
@@ -171,11 +196,11 @@ def windows(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 
 
 def _pack_group(rows: pd.DataFrame, capacity: int = CAPACITY) -> pd.DataFrame:
-    rows = rows.sort_values(["doc_id", "start", "length", "ids_crc32"], kind="stable", ignore_index=True)
+    rows = rows.sort_values(["doc_id", "start", "length", "ids_crc32", "row"], kind="stable", ignore_index=True)
     window = windows(rows["length"].to_numpy(), capacity)
     rows["sequence_id"] = rows["group"] * (1 << 32) + window
     rows["offset"] = rows.groupby(window, sort=False)["length"].cumsum() - rows["length"]
-    return rows.drop(columns="group")
+    return rows.drop(columns=["group", "row"])
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, cut: int = CUT, group_pieces: int = GROUP_PIECES) -> DataFrame:
@@ -183,11 +208,12 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, cut: int = CUT, g
 
     Needs doc_id and text. Null and empty texts are one piece with the end id; repeated rows are packed
     as often as they occur; a null doc_id stays null. An empty table gives no rows. Extra columns are not
-    read. Groups are dealt by a hash of the piece, about ``group_pieces`` each, at every size.
+    read. Groups are dealt by a hash of the piece and its place in the table, about ``group_pieces`` each, at
+    every size and however often rows repeat.
     """
-    pieces = stage(tokenize(docs, path, capacity, cut), "pack-pieces")
+    pieces = stage(tokenize(docs, path, capacity, cut).withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
-    key = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "length", "doc_tokens"), F.lit(groups))
+    key = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "length", "doc_tokens", "row"), F.lit(groups))
 
     def pack_group(rows: pd.DataFrame) -> pd.DataFrame:
         return _pack_group(rows, capacity)

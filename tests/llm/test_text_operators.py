@@ -199,6 +199,9 @@ def test_packing(spark):
     for doc_id, versions in ids.items():
         mine = [p for p in out if p["doc_id"] == doc_id]
         assert sum(p["length"] for p in mine) == sum(map(len, versions))
+        if len(versions) == 1:  # the pieces tile the document
+            mine.sort(key=lambda p: p["start"])
+            assert [p["start"] for p in mine] == [0, *np.cumsum([p["length"] for p in mine])[:-1].tolist()]
         for p in mine:
             assert any(len(v) == p["doc_tokens"] and zlib.crc32(np.array(v[p["start"] : p["start"] + p["length"]], "<u4").tobytes()) == p["ids_crc32"] for v in versions)
     seqs = {}
@@ -207,6 +210,22 @@ def test_packing(spark):
     for s in seqs.values():
         s.sort()
         assert all(a + n == b for (a, n), (b, _) in zip(s, s[1:])) and s[0][0] == 0 and sum(n for _, n in s) <= 2048
+    filled = sum(p["length"] for p in out)
+    assert len(seqs) * 2048 - filled <= 0.05 * filled + 2048 * len({s >> 32 for s in seqs})  # little padding, a window a group aside
+
+
+def test_word_tokenizer_is_exact():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, mine = Tokenizer.from_file(path), packing.WordTokenizer(path, cache_bytes=2_000)
+    odd = ["don't. it's, a.b, x<|endoftext|>. <|startoftext|>", "\u0130stanbul. \u00e9. e\u0301. \u00abq\u00bb. \u00df \u0149 \u01c5. \u00aa. \u1e8b.", "5. 5., a5.! `x`. \u201cq\u201d. $$$ .,; ### a###", "\u212b. x\u200d. \u2167. \u2460. \u03a3\u0391\u03a3.", "\u4e2d\u6587. \ud55c. \u1112\u1161\u11ab", ""]
+    rng = random.Random(8)
+    odd += ["".join(rng.choice("abcE\u00e9\u00dc.,!#'5 <|>\n\t\u0301") for _ in range(200)) for _ in range(60)]
+    for _ in range(3):  # also from the cache
+        for text, ids in zip(odd, mine.encode([t.encode() for t in odd])):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
 def test_differencing_is_near_equal():
