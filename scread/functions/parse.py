@@ -21,8 +21,11 @@ def clean_float(x) -> Column:
 
 
 def to_pct(x) -> Column:
-    """A fraction as a percentage with two decimals; null becomes empty text."""
-    return F.when(_c(x).isNull(), "").otherwise(F.format_string("%.2f%%", _c(x).cast("double") * 100))
+    """A fraction as a percentage with two decimals, exact halves to even; null becomes empty text."""
+    p = _c(x).cast("double") * 100
+    # exact halves are odd eighths: those that the formatter would round up to an odd digit go down
+    down = F.pmod(p * 8, F.lit(4.0)) == 1
+    return F.when(_c(x).isNull(), "").otherwise(F.format_string("%.2f%%", p - F.when(down, 0.001).otherwise(0.0)))
 
 
 def safe_fraction(n, d) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -75,23 +75,26 @@ def knee_cut(barcodes: DataFrame, reads: str = "reads") -> DataFrame:
 
 
 def quantile_threshold(cells: DataFrame, expected: int, q: float = 0.99, ratio: int = 10) -> DataFrame:
-    """Per dataset the UMI count from which barcodes are cells."""
-    w = Window.partitionBy("dataset").orderBy(F.desc("umis"), "cell")
-    ranked = cells.withColumn("n", F.row_number().over(w)).withColumn("all", F.count(F.lit(1)).over(Window.partitionBy("dataset")))
-    at = F.least(F.col("all") - 1, F.round(F.lit(expected * (1 - q)))).cast("int")
-    return ranked.filter(F.col("n") == at + 1).select("dataset", F.greatest(F.lit(1), F.round(F.col("umis") / ratio)).cast("long").alias("threshold"))
+    """Per dataset the UMI count from which barcodes are cells; ranks come from the histogram of counts."""
+    h = cells.groupBy("dataset", "umis").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("dataset").orderBy(F.desc("umis")).rowsBetween(Window.unboundedPreceding, 0)
+    h = h.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("dataset")))
+    at = F.least(F.col("all") - 1, F.round(F.lit(expected * (1 - q)))).cast("long")
+    found = h.filter(F.col("upto") > at).groupBy("dataset").agg(F.max("umis").alias("umis"))
+    return found.select("dataset", F.greatest(F.lit(1), F.round(F.col("umis") / ratio)).cast("long").alias("threshold"))
 
 
 def call_cells_quantile(cells: DataFrame, expected: int, q: float = 0.99, ratio: int = 10) -> DataFrame:
     return cells.join(quantile_threshold(cells, expected, q, ratio), "dataset").filter(F.col("umis") >= F.col("threshold"))
 
 
-def call_cells_emptydrops(
-    counts: DataFrame, expected: int, ambient: tuple[int, int] = (45_000, 90_000), least_umis: int = 500, least_share: float = 0.01, most: int = 20_000, fdr: float = 0.01, simulations: int = 10_000, seed: int = 1
-) -> DataFrame:
-    """Cells by quantile and, of the rest, those unlike the ambient profile (Monte Carlo, Benjamini-Hochberg).
+def emptydrops_candidates(
+    counts: DataFrame, expected: int, ambient: tuple[int, int] = (45_000, 90_000), least_umis: int = 500, least_share: float = 0.01, most: int = 20_000
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(called, profile, candidates): the quantile's cells, ``logp`` of each gene in the ambient barcodes, and the tested barcodes with ``loglik``.
 
-    With fewer barcodes than the ambient range needs, the quantile's cells are returned unchanged.
+    The ambient barcodes are those of the ranks ``ambient``; counts are smoothed by one over all genes. Candidates
+    have at least ``least_umis`` and ``least_share`` of the called cells' median, at most ``most`` a dataset.
     """
     cells = cell_summary(counts)
     called = call_cells_quantile(cells, expected).select("dataset", "cell", "umis", "genes")
@@ -107,29 +110,36 @@ def call_cells_emptydrops(
     tested = tested.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= most).select("dataset", "cell", "umis", "genes")
     joined = counts.join(tested.select("dataset", "cell"), ["dataset", "cell"]).join(logp, ["dataset", "gene"])
     observed = joined.groupBy("dataset", "cell").agg(F.sum(F.col("umis") * F.col("logp")).alias("loglik"))
-    observed = tested.join(observed, ["dataset", "cell"])
-
-    def simulate(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"dataset": [], "cell": [], "umis": [], "genes": [], "p": []})
-        lp = right["logp"].to_numpy()
-        p = np.exp(lp) / np.exp(lp).sum()
-        rng, out = np.random.default_rng(seed), np.empty(len(left))
-        depths = left["umis"].to_numpy()
-        for depth in np.unique(depths):
-            lows, here = 0, depths == depth
-            seen = left["loglik"].to_numpy()[here]
-            lows = np.zeros(len(seen))
-            for at in range(0, simulations, 500):
-                sims = rng.multinomial(depth, p, min(500, simulations - at)) @ lp
-                lows += (sims[None, :] <= seen[:, None] + 1e-9).sum(1)
-            out[here] = (1 + lows) / (1 + simulations)
-        return pd.DataFrame({c: left[c].to_numpy(object) for c in ("dataset", "cell", "umis", "genes")} | {"p": out})
-
-    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
+    return called, logp, tested.join(observed, ["dataset", "cell"])
+
+
+def call_cells_emptydrops(counts: DataFrame, expected: int, fdr: float = 0.01, simulations: int = 10_000, seed: int = 1, **options) -> DataFrame:
+    """Cells by quantile and, of the rest, those unlike the ambient profile (Monte Carlo, Benjamini-Hochberg).
+
+    A task simulates one dataset and depth. With fewer barcodes than the ambient range needs, the quantile's
+    cells are returned unchanged. ``options`` are those of ``emptydrops_candidates``.
+    """
+    called, logp, observed = emptydrops_candidates(counts, expected, **options)
+
+    def simulate(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        low = np.zeros(len(left))
+        if len(left) and len(right):
+            lp = np.sort(np.asarray(right["logp"].iloc[0], float))
+            p = np.exp(lp) / np.exp(lp).sum()
+            depth, seen, upto = int(left["umis"].iloc[0]), left["loglik"].to_numpy(), np.cumsum(p)[:-1]
+            one_by_one = depth < 4 * len(p)  # fewer draws than a multinomial's binomials
+            rng, block = np.random.default_rng([seed, depth]), max(1, 1_000_000 // (depth if one_by_one else len(p)))
+            for at in range(0, simulations, block):
+                n = min(block, simulations - at)
+                drawn = lp[np.searchsorted(upto, rng.random((n, depth)), "right")].sum(1) if one_by_one else rng.multinomial(depth, p, n) @ lp
+                low += np.searchsorted(np.sort(drawn), seen + 1e-9, "right")
+        return left.drop(columns="loglik").assign(p=(1 + low) / (1 + simulations))
+
+    kinds = {f.name: f.dataType.simpleString() for f in observed.schema}
     schema = f"dataset {kinds['dataset']}, cell {kinds['cell']}, umis {kinds['umis']}, genes {kinds['genes']}, p double"
-    profile = logp.select(F.col("dataset").alias("d"), F.col("logp").alias("logp"))
-    tested = observed.groupBy("dataset").cogroup(profile.groupBy("d")).applyInPandas(simulate, schema)
+    profile = logp.groupBy("dataset").agg(F.collect_list("logp").alias("logp"))  # one number a gene
+    depths = observed.select(F.col("dataset").alias("d"), F.col("umis").alias("u")).distinct().join(profile.withColumnRenamed("dataset", "d"), "d")
+    tested = observed.groupBy("dataset", "umis").cogroup(depths.groupBy("d", "u")).applyInPandas(simulate, schema)
     order = Window.partitionBy("dataset").orderBy("p", "cell")
     m = tested.withColumn("i", F.row_number().over(order)).withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("dataset")))
     back = Window.partitionBy("dataset").orderBy(F.desc("i"))
@@ -137,12 +147,13 @@ def call_cells_emptydrops(
     return called.unionByName(passed.select("dataset", "cell", "umis", "genes"))
 
 
-def saturation_curve(tagged: DataFrame, fractions: Sequence[float], n_cells: int, map_rate: float = 1.0) -> DataFrame:
+def saturation_curve(tagged: DataFrame, fractions: Sequence[float], n_cells: int, map_rate: float = 1.0, unit: Column | None = None) -> DataFrame:
     """Saturation at sampled fractions of the reads (read_id, cb, umi, gene), in one pass.
 
     A read is in the sample of fraction f if its hash is below f, and so is a molecule if its smallest read is.
+    ``unit`` may give another column, evenly spread over [0, 1), for the hash.
     """
-    u = F.pmod(F.xxhash64("read_id"), F.lit(1 << 31)) / float(1 << 31)
+    u = F.pmod(F.xxhash64("read_id"), F.lit(1 << 31)) / float(1 << 31) if unit is None else unit
     bucket = lambda x: F.aggregate(F.lit([float(f) for f in fractions]), F.lit(0), lambda s, f: s + (x >= f).cast("int"))
     reads = tagged.select(bucket(u).alias("b"), "cb", "umi", "gene").groupBy("cb", "umi", "gene", "b").agg(F.count(F.lit(1)).alias("n"))
     low = reads.groupBy("cb", "umi", "gene").agg(F.min("b").alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("m"))

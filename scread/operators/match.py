@@ -7,12 +7,14 @@ instead. Neighbour maps are broadcast only while their checked size stays under
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import hamming, letters, phred, revcomp
 
-ALPHABET = "ACGTN"
+ALPHABET, FOREIGN = "ACGTN", "?"
 MAX_BROADCAST_ROWS = 500_000
 
 
@@ -37,17 +39,22 @@ def padded_neighbours(s: Column) -> Column:
     return F.concat(F.array(s), substitutions(s), longer, F.array(F.substring(s, F.lit(1), F.length(s) - 1)))
 
 
+def sheet_keys(sheet: DataFrame) -> DataFrame:
+    """sequence, barcode: of rows with one sequence the last, by ``row_no`` if the sheet has it, else as read."""
+    order = F.col("row_no") if "row_no" in sheet.columns else F.monotonically_increasing_id()
+    return sheet.select("sequence", "barcode", order.alias("row_no")).groupBy("sequence").agg(F.max_by("barcode", "row_no").alias("barcode"))
+
+
 def match_exact(df: DataFrame, seq: str, sheet: DataFrame, out: str) -> DataFrame:
     """Adds ``out``: (seq, name, status Correct) of the key equal to ``seq``, null without one; the last key wins."""
-    keys = sheet.groupBy("sequence").agg(F.max("barcode").alias("__name"))
-    keys = keys.select(F.col("sequence").alias("__key"), "__name")
+    keys = sheet_keys(sheet).select(F.col("sequence").alias("__key"), F.col("barcode").alias("__name"))
     hit = F.when(F.col("__name").isNotNull(), F.struct(F.col("__key").alias("seq"), F.col("__name").alias("name"), F.lit("Correct").alias("status")))
     return df.join(small(keys, sheet.count()), F.col(seq) == F.col("__key"), "left").withColumn(out, hit).drop("__key", "__name")
 
 
 def rescue_map(sheet: DataFrame) -> DataFrame:
     """``observed`` to (seq, name, status): equal to a key, or within padded distance 1 of exactly one key."""
-    keys = sheet.groupBy("sequence").agg(F.max("barcode").alias("barcode"))
+    keys = sheet_keys(sheet)
     near = keys.select("sequence", "barcode", F.explode(F.array_distinct(padded_neighbours(F.col("sequence")))).alias("observed"))
     near = near.withColumn("exact", F.col("observed") == F.col("sequence"))
     best = near.groupBy("observed").agg(
@@ -69,24 +76,38 @@ def match_rescue(df: DataFrame, seq: str, sheet: DataFrame, out: str) -> DataFra
     return df.join(small(near, rows), F.col(seq) == F.col("__seen"), "left").drop("__seen")
 
 
+def comparable(s: Column) -> Column:
+    """Upper case, and one sign for every letter outside the alphabet, which then equals no key's letter."""
+    return F.regexp_replace(F.upper(s), f"[^{ALPHABET}]", FOREIGN)
+
+
+def min_hamming_rows(whitelist: DataFrame, most: int) -> int:
+    """How many rows ``min_hamming_map`` has at most."""
+    n, length = whitelist.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("sequence")), F.lit(0))).first()
+    return n * sum(comb(length, k) * len(ALPHABET) ** k for k in range(most + 1))
+
+
 def min_hamming_map(whitelist: DataFrame, most: int) -> DataFrame:
-    """``observed`` to ``distance`` and all ``matches`` at the smallest distance of at most ``most`` (0 to 2)."""
-    key = F.col("sequence")
-    near = whitelist.select(key, F.array(key).alias("near")).distinct()
-    for _ in range(most):
-        near = near.withColumn("near", F.array_distinct(F.concat("near", F.flatten(F.transform("near", lambda s: substitutions(s))))))
-    near = near.select("sequence", F.explode("near").alias("observed"))
-    near = near.withColumn("d", hamming("observed", "sequence"))
+    """``observed`` to ``distance`` and all ``matches`` at the smallest distance of at most ``most``.
+
+    One letter of every string so far is replaced in turn, distinct strings after each turn; a letter outside
+    the alphabet counts as a mismatch, see ``comparable``.
+    """
+    near = whitelist.select("sequence", F.col("sequence").alias("observed"), F.lit(0).alias("d")).distinct()
+    letter = F.explode(F.lit([*ALPHABET, FOREIGN])).alias("c")
+    for turn in range(most):
+        place = near.filter(F.col("d") == turn).select("sequence", "observed", F.explode(F.sequence(F.lit(1), F.length("observed"))).alias("i")).select("*", letter)
+        other = F.concat(F.expr("substring(observed, 1, i - 1)"), F.col("c"), F.expr("substring(observed, i + 1)"))
+        near = near.union(place.select("sequence", other, F.lit(turn + 1))).groupBy("sequence", "observed").agg(F.min("d").alias("d"))
     least = near.groupBy("observed").agg(F.min("d").alias("distance"), F.collect_list(F.struct("d", "sequence")).alias("all"))
     ties = F.transform(F.filter("all", lambda x: x["d"] == F.col("distance")), lambda x: x["sequence"])
     return least.select("observed", "distance", F.sort_array(ties).alias("matches"))
 
 
 def match_min_hamming(df: DataFrame, seq: str, whitelist: DataFrame, most: int) -> DataFrame:
-    """Adds ``distance`` and ``matches`` (all keys at the smallest distance, equal length only)."""
+    """Adds ``distance`` and ``matches`` (all keys at the smallest distance, equal length only); case does not matter."""
     near = min_hamming_map(whitelist, most).withColumnRenamed("observed", "__seen")
-    rows = whitelist.count() * {0: 1, 1: 40, 2: 800}[most]
-    return df.join(small(near, rows), F.col(seq) == F.col("__seen"), "left").drop("__seen")
+    return df.join(small(near, min_hamming_rows(whitelist, most)), comparable(F.col(seq)) == F.col("__seen"), "left").drop("__seen")
 
 
 def correct_cb(df: DataFrame, seq: str, qual: str | None, whitelist: DataFrame, mode: str, out: str = "cb", sample: str | None = None) -> DataFrame:

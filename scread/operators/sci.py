@@ -10,6 +10,7 @@ from ..functions.seq import header_indices, poly_a_start, revcomp
 from .match import padded_neighbours, rescue_map, small
 
 KINDS = ("p5", "p7", "ligation", "rt")
+HASH_STATUS = {"n_correct": "Correct", "n_corrected": "Corrected", "n_upstream": "Corrected (Upstream)"}
 
 
 def _found(name: str) -> Column:
@@ -61,7 +62,7 @@ def sci_demux(reads: DataFrame, barcodes: DataFrame, samples: DataFrame) -> Data
     df = df.withColumn("umi", F.substring("r1_seq", umi_at + 1, F.lit(8)))
     keys = sample_keys(samples)
     df = df.join(
-        small(keys, 1),
+        small(keys, keys.count()),
         (F.col("p5.name") == F.col("k_p5")) & (F.col("p7.name") == F.col("k_p7")) & (F.col("rt.name") == F.col("k_rt")) & _found("ligation"),
         "left",
     ).drop("k_p5", "k_p7", "k_rt")
@@ -118,9 +119,11 @@ def drop_hash_reads(demuxed: DataFrame) -> DataFrame:
 
 
 def demux_totals(demuxed: DataFrame) -> DataFrame:
+    """Pairs, successes, failures and corrected barcodes of a run; with ``hash`` (see ``match_hash``) also its hash reads by status."""
     ok = F.col("sample_name").isNotNull()
     corrected = [F.count_if(ok & (F.col(f"{k}.status") == "Corrected")).alias(f"corrected_{k}") for k in KINDS]
-    return demuxed.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(ok).alias("success"), F.count_if(~ok).alias("failure"), *corrected)
+    hashed = [F.count_if(ok & (F.col("hash.status") == v)).alias(k.replace("n_", "hash_")) for k, v in HASH_STATUS.items()] if "hash" in demuxed.columns else []
+    return demuxed.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(ok).alias("success"), F.count_if(~ok).alias("failure"), *corrected, *hashed)
 
 
 def demux_by_sample(demuxed: DataFrame, samples: DataFrame) -> DataFrame:
@@ -166,8 +169,7 @@ def top_uncorrectable(demuxed: DataFrame, n: int = 50) -> DataFrame:
 def hash_metrics(hashed: DataFrame) -> DataFrame:
     """Per sample and hash: reads by status."""
     h = hashed.filter(F.col("hash.name").isNotNull() & F.col("sample_name").isNotNull())
-    status = {"n_correct": "Correct", "n_corrected": "Corrected", "n_upstream": "Corrected (Upstream)"}
-    return h.groupBy("sample_name", F.col("hash.name").alias("hash_name")).agg(*[F.count_if(F.col("hash.status") == v).alias(k) for k, v in status.items()])
+    return h.groupBy("sample_name", F.col("hash.name").alias("hash_name")).agg(*[F.count_if(F.col("hash.status") == v).alias(k) for k, v in HASH_STATUS.items()])
 
 
 def hash_cells(hashed: DataFrame) -> DataFrame:

@@ -26,11 +26,15 @@ def collapse_umis(mols: DataFrame, mode: str = "1MM_CR") -> DataFrame:
     if mode == "-":
         return mols.select("cell", "gene", "umi", "n_reads")
     if mode == "1MM_CR":
-        near = mols.select("cell", "gene", F.col("umi").alias("own"), F.explode(substitutions(F.col("umi"))).alias("umi"))
-        best = near.join(mols, ["cell", "gene", "umi"]).groupBy("cell", "gene", "own").agg(F.max(F.struct("n_reads", "umi")).alias("best"))
-        j = mols.join(best.withColumnRenamed("own", "umi"), ["cell", "gene", "umi"], "left")
-        target = F.when(F.col("best") > F.struct("n_reads", "umi"), F.col("best.umi")).otherwise(F.col("umi"))
-        return j.groupBy("cell", "gene", target.alias("umi")).agg(F.sum("n_reads").alias("n_reads"))
+        # a pair of UMIs one letter apart agrees in the string with that letter masked: both meet under it
+        masked = F.transform(F.sequence(F.lit(1), F.length("umi")), lambda i: F.concat(F.substring("umi", F.lit(1), i - 1), F.lit("*"), F.substring("umi", i + 1, F.length("umi"))))
+        alone = F.col("umi").isNull() | (F.count(F.lit(1)).over(Window.partitionBy("cell", "gene")) == 1)
+        n = mols.select("cell", "gene", "umi", "n_reads", alone.alias("alone"))
+        own = F.struct("n_reads", "umi")
+        seen = n.filter(~F.col("alone")).select("cell", "gene", own.alias("own"), F.explode(masked).alias("mask"))
+        best = seen.withColumn("best", F.max("own").over(Window.partitionBy("cell", "gene", "mask"))).groupBy("cell", "gene", "own").agg(F.max("best").alias("best"))
+        moved = best.groupBy("cell", "gene", F.col("best.umi").alias("umi")).agg(F.sum("own.n_reads").alias("n_reads"))
+        return n.filter("alone").select("cell", "gene", "umi", "n_reads").unionByName(moved)
 
     def components(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
         rows = sorted(rows, key=lambda r: (r[1], r[0]), reverse=True)

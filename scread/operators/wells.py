@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranges import expand_wells
 from ..functions.seq import has_n
-from .match import min_hamming_map, small
+from .match import comparable, min_hamming_map, min_hamming_rows, small
 
 
 def min_len(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -30,8 +30,8 @@ def assign_wells(reads: DataFrame, seq: str, whitelist: DataFrame, groups: DataF
     df = df.withColumn("n_in_bc", F.coalesce(has_n("bc"), F.lit(False)))
     near = min_hamming_map(whitelist, most)
     named = near.select("observed", "distance", "matches", F.explode("matches").alias("sequence")).join(whitelist.groupBy("sequence").agg(F.max("well").alias("well")), "sequence")
-    near = named.groupBy(F.col("observed").alias("bc")).agg(F.first("distance").alias("distance"), F.first("matches").alias("matches"), F.array_sort(F.collect_set("well")).alias("wells"))
-    df = df.join(small(near, whitelist.count() * {0: 1, 1: 40, 2: 800}[most]), "bc", "left")
+    near = named.groupBy(F.col("observed").alias("__seen")).agg(F.first("distance").alias("distance"), F.first("matches").alias("matches"), F.array_sort(F.collect_set("well")).alias("wells"))
+    df = df.join(small(near, min_hamming_rows(whitelist, most)), comparable(F.col("bc")) == F.col("__seen"), "left").drop("__seen")
     if groups is None:
         return df.withColumn("groups", F.when(F.col("matches").isNotNull(), F.array(F.lit("all"))).otherwise(F.array().cast("array<string>")))
     n = groups.count()
@@ -45,18 +45,16 @@ def assign_wells(reads: DataFrame, seq: str, whitelist: DataFrame, groups: DataF
 def well_demux_stats(assigned: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Counters of one run per group."""
     names = assigned.sparkSession.createDataFrame([("all",)], "group_name string") if groups is None else groups.select("group_name").distinct()
-    per = assigned.groupBy("groups").agg(
+    hits = [F.count_if(F.col("distance") == d).alias(f"ed{d}") for d in (0, 1, 2)]
+    run = assigned.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("too_short").alias("too_short"),
         F.count_if("n_in_bc").alias("n_in_bc"),
         F.count_if(~F.col("too_short") & F.col("matches").isNull()).alias("unmatched"),
-        *[F.count_if(F.col("distance") == d).alias(f"d{d}") for d in (0, 1, 2)],
+        F.count_if(F.col("distance").isNotNull()).alias("hits"),
     )
-    every = names.crossJoin(F.broadcast(per))  # a few groups by the few sets of groups that occur
-    mine = F.array_contains("groups", F.col("group_name"))
-    return every.groupBy("group_name").agg(
-        *[F.sum(c).alias(c) for c in ("total", "too_short", "n_in_bc", "unmatched")],
-        F.sum(F.when(~mine, F.col("d0") + F.col("d1") + F.col("d2")).otherwise(0)).alias("no_group_match"),
-        F.sum(F.when(mine, F.col("total")).otherwise(0)).alias("matched"),
-        *[F.sum(F.when(mine, F.col(f"d{d}")).otherwise(0)).alias(f"ed{d}") for d in (0, 1, 2)],
+    mine = assigned.select(F.explode("groups").alias("group_name"), "distance").groupBy("group_name").agg(F.count(F.lit(1)).alias("matched"), *hits)
+    mine = names.join(mine, "group_name", "left").fillna(0)
+    return mine.crossJoin(run).select(  # the run's counters are one row
+        "group_name", "total", "too_short", "n_in_bc", "unmatched", (F.col("hits") - F.col("ed0") - F.col("ed1") - F.col("ed2")).alias("no_group_match"), "matched", "ed0", "ed1", "ed2"
     )

@@ -83,7 +83,20 @@ SELECT cast(l_suppkey as varchar(9)) AS cell, cast(l_partkey%40 as varchar(9)) A
 FROM lineitem GROUP BY 1, 2, 3
 """
 
-FIXTURES = {"fx_barcodes": BARCODES, "fx_reads": READS, "fx_samples": SAMPLES, "fx_counts": COUNTS, "fx_alignments": ALIGNMENTS, "fx_features": FEATURES, "fx_molecules": MOLECULES}
+# one run of another tool per nation, with a number and a share to report
+RUNS = """
+SELECT concat('N',cast(n_nationkey as varchar(9))) AS sample, count(c_custkey)+1 AS n, cast((n_nationkey%20+1)/32.0 as double) AS sat
+FROM nation LEFT JOIN (SELECT c_nationkey, c_custkey FROM customer) c ON c_nationkey=n_nationkey GROUP BY n_nationkey
+"""
+
+# droplets: suppliers are cells, orders are mostly empty drops with a few molecules
+DROPLETS = """
+SELECT l_returnflag AS dataset, CASE WHEN l_orderkey%4=0 THEN concat('S',cast(l_suppkey as varchar(9))) ELSE concat('O',cast(l_orderkey as varchar(9))) END AS cell,
+  CASE WHEN l_orderkey%4=0 THEN l_suppkey%50+(l_partkey%40) ELSE l_partkey%200 END AS gene, cast(sum(l_quantity) as bigint) AS umis
+FROM lineitem GROUP BY 1, 2, 3
+"""
+
+FIXTURES = {"fx_barcodes": BARCODES, "fx_reads": READS, "fx_samples": SAMPLES, "fx_counts": COUNTS, "fx_alignments": ALIGNMENTS, "fx_features": FEATURES, "fx_molecules": MOLECULES, "fx_runs": RUNS, "fx_droplets": DROPLETS}
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

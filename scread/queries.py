@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import parse, ranges, seq
@@ -167,6 +167,11 @@ def hash_cells(spark, d):
     return sci.hash_cells(_hashed(spark, d))
 
 
+@query("hash_totals", DEMUX + _HASH_HIT + "SELECT count(*) AS pairs, count(*) FILTER (st='Correct') AS hash_correct, count(*) FILTER (st='Corrected') AS hash_corrected, count(*) FILTER (st='Up') AS hash_upstream FROM hr LEFT JOIN hh ON hh.pair_id=hr.pair_id")
+def hash_totals(spark, d):
+    return sci.demux_totals(_hashed(spark, d)).select("pairs", "hash_correct", "hash_corrected", "hash_upstream")
+
+
 @query("drop_hash_reads", DEMUX + _HASH_HIT + "SELECT hr.pair_id FROM hr LEFT JOIN hh ON hh.pair_id=hr.pair_id WHERE hh.hash_name IS NULL")
 def drop_hash_reads(spark, d):
     return sci.drop_hash_reads(_hashed(spark, d)).select("pair_id")
@@ -286,12 +291,17 @@ def parse_functions(spark, d):
     return p.select("p_partkey", parse.clean_int(F.concat(F.col("p_size"), F.lit(",000"))).alias("n"), F.round(parse.safe_fraction("p_retailprice", F.lit(7)), 4).alias("f"), parse.to_pct(F.col("p_size") / 100).alias("pct"), parse.first_truthy(F.when(F.col("p_size") % 3 == 0, 0).otherwise(F.col("p_size")), F.lit(7)).alias("first"))
 
 
-@query("expand_indices", """WITH l AS (SELECT unnest(['A','B','C','D','E','F','G','H']) AS r, 0 AS z), n AS (SELECT lpad(cast(unnest(generate_series(1,12)) as varchar),2,'0') AS c)
- SELECT sample, 'p5' AS type, concat(r,'01') AS id FROM fx_samples, l WHERE r BETWEEN CASE sample WHEN 'S_A' THEN 'A' ELSE 'E' END AND CASE sample WHEN 'S_A' THEN 'D' ELSE 'H' END
- UNION ALL SELECT sample, 'p7', concat('A',c) FROM fx_samples, n WHERE c BETWEEN CASE sample WHEN 'S_A' THEN '01' ELSE '07' END AND CASE sample WHEN 'S_A' THEN '06' ELSE '12' END
- UNION ALL SELECT sample, 'rt', concat('P01-',r,c) FROM fx_samples, l, n""")
+@query("expand_indices", """WITH p AS (SELECT p_partkey AS sample, p_partkey%5 AS a, p_partkey%5+p_size%4 AS b, p_size%12+1 AS c FROM part)
+ SELECT sample, 'p5' AS type, concat(chr(65+cast(i AS INT)),lpad(cast(c AS VARCHAR),2,'0')) AS id FROM (SELECT *, unnest(generate_series(a,b)) AS i FROM p)
+ UNION ALL SELECT sample, 'p7', concat(chr(65+cast(a AS INT)),lpad(cast(i AS VARCHAR),2,'0')) FROM (SELECT *, unnest(generate_series(1,c)) AS i FROM p)
+ UNION ALL SELECT sample, 'rt', concat('P01-',chr(65+cast(i AS INT)),lpad(cast(j AS VARCHAR),2,'0')) FROM (SELECT *, unnest(generate_series(1,c)) AS j FROM (SELECT *, unnest(generate_series(a,b)) AS i FROM p))""")
 def expand_indices(spark, d):
-    s = samples(spark, d)
+    p = spark.read.parquet(f"{d}/part.parquet")
+    a, b = F.char(F.lit(65) + F.col("p_partkey") % 5), F.char(F.lit(65) + F.col("p_partkey") % 5 + F.col("p_size") % 4)
+    c = F.lpad((F.col("p_size") % 12 + 1).cast("string"), 2, "0")
+    s = p.select(
+        F.col("p_partkey").alias("sample"), F.concat(a, c, F.lit(":"), b, c).alias("p5"), F.concat(a, F.lit("01 : "), a, c).alias("p7"), F.concat(F.lit("P01-"), a, F.lit("01:P01-"), b, c).alias("rt")
+    )
     return tables.union_all(*[s.select("sample", F.lit(k).alias("type"), F.explode(ranges.expand_indices(k, k)).alias("id")) for k in ("p5", "p7", "rt")])
 
 
@@ -369,21 +379,27 @@ def coverage_peaks(spark, d):
     return intervals.coverage_peaks(alignments(spark, d), 50, 2)
 
 
-@query("nearest_gene", _PEAKS + """, f AS (SELECT * FROM fx_features WHERE gene%20=0), c AS (SELECT pk.* FROM pk WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.contig=pk.contig AND f.strand=pk.strand AND f.f_start<=pk.f_end AND pk.f_start<=f.f_end)),
- j AS (SELECT c.*, f.gene, CASE WHEN c.strand='+' THEN c.f_start-f.f_end ELSE f.f_start-c.f_end END AS gap FROM c JOIN f ON f.contig=c.contig AND f.strand=c.strand), q AS (SELECT *, row_number() OVER (PARTITION BY contig, strand, f_start ORDER BY gap, gene) AS n FROM j WHERE gap>0)
- SELECT contig, strand, f_start, f_end, gene, gap FROM q WHERE n=1 AND gap<=10000""")
-def nearest_gene(spark, d):
-    return intervals.nearest_gene(intervals.coverage_peaks(alignments(spark, d), 50, 2), features(spark, d).filter("gene % 20 = 0"), 10_000)
-
-
-@query("coord_sort", "SELECT contig, pos, pair_id FROM fx_alignments")
+@query("coord_sort", "SELECT row_number() OVER (ORDER BY contig, pos, pair_id) AS place, contig, pos, pair_id FROM fx_alignments")
 def coord_sort(spark, d):
-    return align.coord_sort(alignments(spark, d)).select("contig", "pos", "pair_id")
-
-
-@query("collate", "SELECT cb, count(*) AS lines FROM fx_alignments GROUP BY cb")
+    """The order itself is checked: lines are numbered as the sorted frame hands them over, lines of one place by id."""
+    a = align.coord_sort(alignments(spark, d))
+    w = Window.partitionBy("part").orderBy("at")
+    n = a.select("contig", "pos", "pair_id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")).withColumn("n", F.row_number().over(w))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = n.groupBy("part").agg(F.count(F.lit(1)).alias("size")).select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))  # a row per partition
+    placed = n.join(sizes, "part").withColumn("place", F.col("n") + F.col("before"))
+    # lines of one contig and position may come in any order: the places that they take are dealt by id
+    same = Window.partitionBy("contig", "pos")
+    first = F.min("place").over(same)
+    return placed.select((first + F.row_number().over(same.orderBy("pair_id")) - 1).alias("place"), "contig", "pos", "pair_id", (F.max("place").over(same) - first + 1 == F.count(F.lit(1)).over(same)).alias("together")).filter("together").drop("together")
+
+
+@query("collate", "SELECT cb, count(*) AS lines, 1 AS runs FROM fx_alignments GROUP BY cb")
 def collate(spark, d):
-    return align.collate(alignments(spark, d)).groupBy("cb").agg(F.count(F.lit(1)).alias("lines"))
+    """Lines and unbroken runs of each barcode in the collated frame."""
+    a = align.collate(alignments(spark, d)).select("cb", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    starts = F.coalesce(F.col("cb") != F.lag("cb").over(Window.partitionBy("part").orderBy("at")), F.lit(True))
+    return a.withColumn("starts", starts).groupBy("cb").agg(F.count(F.lit(1)).alias("lines"), F.count_if("starts").alias("runs"))
 
 
 # ---- matrices -----------------------------------------------------------------------------------------------
@@ -532,27 +548,17 @@ def em_multigene(spark, d):
     return umi.em_multigene(sets)
 
 
-@query("saturation_molecules", "SELECT CAST(1.0 AS DOUBLE) AS fraction, count(*) AS reads, count(DISTINCT (l_suppkey, l_partkey%40, l_orderkey%97)) AS molecules FROM lineitem")
-def saturation_molecules(spark, d):
-    li = spark.read.parquet(f"{d}/lineitem.parquet")
-    tagged = li.select(F.struct("*").alias("read_id"), F.col("l_suppkey").alias("cb"), (F.col("l_partkey") % 40).alias("gene"), (F.col("l_orderkey") % 97).alias("umi")).withColumn("read_id", F.to_json("read_id"))
-    curve = cells.saturation_curve(tagged, [0.25, 0.5, 0.75, 1.0], 100)
-    return curve.filter("fraction = 1.0").select("fraction", "reads", "molecules")
+_CURVE = """WITH r AS (SELECT cb, contig AS gene, as_score%16 AS umi, cast(concat('0x',substr(md5(cast(pair_id AS VARCHAR)),1,7)) AS BIGINT)/268435456.0 AS u FROM fx_alignments WHERE flag&4=0), f AS (SELECT unnest(generate_series(1,10))/10.0 AS fraction),
+ c AS (SELECT fraction, count(u) AS reads, count(DISTINCT CASE WHEN u IS NOT NULL THEN (cb, gene, umi) END) AS molecules FROM f LEFT JOIN r ON u<fraction GROUP BY 1)"""
 
 
-@query("saturation_curve")
+@query("saturation_curve", _CURVE + "SELECT fraction, reads, molecules, 1-molecules/reads AS saturation, reads/150.0 AS reads_per_cell FROM c")
 def saturation_curve(spark, d):
-    """Rows only: the sample is drawn by Spark's hash."""
+    """The sample is drawn by a digest that other engines have too."""
     e = alignments(spark, d).filter(align.lacks_flags(4))
     tagged = e.select(F.col("pair_id").alias("read_id"), "cb", F.col("contig").alias("gene"), (F.col("as_score") % 16).alias("umi"))
-    return cells.saturation_curve(tagged, [x / 10 for x in range(1, 11)], 150)
-
-
-@query("call_cells_emptydrops")
-def call_cells_emptydrops(spark, d):
-    """Rows only: a seeded simulation. The ambient ranks are lowered to what the table offers."""
-    c = counts(spark, d)
-    return cells.call_cells_emptydrops(c, 20, ambient=(60, 100), least_umis=50, most=50, simulations=1000)
+    u = F.conv(F.substring(F.md5(F.col("read_id").cast("string")), 1, 7), 16, 10).cast("long") / 268435456.0
+    return cells.saturation_curve(tagged, [x / 10 for x in range(1, 11)], 150, unit=u)
 
 
 # ---- read quality, taxonomy, sheets -------------------------------------------------------------------------
@@ -573,10 +579,12 @@ def base_content(spark, d):
     return readqc.read_qc(reads(spark, d), "base_content", "r1_seq", "r1_seq")
 
 
-@query("duplication", """WITH n AS (SELECT substr(r1_seq,1,10) AS s, count(*) AS c FROM fx_reads GROUP BY 1)
+@query("duplication", """WITH n AS (SELECT r1_seq AS s, count(*) AS c FROM (SELECT r1_seq FROM fx_reads UNION ALL SELECT r1_seq FROM fx_reads WHERE pair_id%3=0) GROUP BY 1)
  SELECT CASE WHEN c>10000 THEN '>10k' WHEN c>5000 THEN '>5k' WHEN c>1000 THEN '>1k' WHEN c>500 THEN '>500' WHEN c>100 THEN '>100' WHEN c>50 THEN '>50' WHEN c>10 THEN '>10' WHEN c=10 THEN '>9' ELSE cast(c as varchar) END AS level, count(*) AS sequences, CAST(sum(c) AS BIGINT) AS reads FROM n GROUP BY 1""")
 def duplication(spark, d):
-    return readqc.read_qc(reads(spark, d).withColumn("s", F.substring("r1_seq", 1, 10)), "duplication", "s", "s")
+    """Every third read comes twice."""
+    r = reads(spark, d).select("pair_id", "r1_seq")
+    return readqc.read_qc(r.unionByName(r.filter("pair_id % 3 = 0")), "duplication", "r1_seq", "r1_seq")
 
 
 @query("clade_counts", """WITH RECURSIVE tree AS (SELECT cast(100+n_nationkey as bigint) AS taxid, cast(10+n_regionkey as bigint) AS parent FROM nation UNION ALL SELECT cast(10+r_regionkey as bigint), 1 FROM region UNION ALL SELECT 1, 1),
@@ -592,14 +600,25 @@ def clade_counts(spark, d):
     return taxonomy.clade_counts(c.select((F.col("c_nationkey") + 100).cast("long").alias("taxid")), taxonomy.ancestors(tree))
 
 
-@query("classify_reads")
+@query("classify_reads", """WITH x AS (SELECT a.pair_id, concat(substr(a.r2_seq,1,cast(31+a.pair_id%6 AS INT)),substr(b.r2_seq,1,cast(31+a.pair_id%4 AS INT))) AS s FROM fx_reads a JOIN fx_reads b ON b.pair_id=a.pair_id+1),
+ rk AS (SELECT DISTINCT taxid, least(k,reverse(translate(k,'ACGT','TGCA'))) AS k FROM (SELECT 100+pair_id*7%25 AS taxid, substr(r2_seq,i,31) AS k FROM (SELECT pair_id, r2_seq, unnest(generate_series(1,length(r2_seq)-30)) AS i FROM fx_reads))),
+ qk AS (SELECT pair_id, least(k,reverse(translate(k,'ACGT','TGCA'))) AS k FROM (SELECT pair_id, substr(s,i,31) AS k FROM (SELECT pair_id, s, unnest(generate_series(1,length(s)-30)) AS i FROM x))),
+ h AS (SELECT pair_id, taxid, count(*) AS n FROM qk JOIN (SELECT k, min(taxid) AS taxid FROM rk GROUP BY k HAVING count(*)=1) USING (k) GROUP BY 1, 2), m AS (SELECT *, max(n) OVER (PARTITION BY pair_id) AS top FROM h), b AS (SELECT pair_id, count(*) AS c, min(taxid) AS t, count(DISTINCT n_regionkey) AS r, min(n_regionkey) AS region FROM m JOIN nation ON n_nationkey=taxid-100 WHERE n=top GROUP BY 1)
+ SELECT x.pair_id AS read_id, CASE WHEN c=1 THEN t WHEN r=1 THEN 10+region WHEN c>1 THEN 1 END AS taxid FROM x LEFT JOIN b USING (pair_id)""")
 def classify_reads(spark, d):
-    """Rows only: k-mers of reads against references cut from the same reads, four taxa under two parents."""
-    rd = reads(spark, d)
-    refs = rd.filter("pair_id % 50 = 0").select((F.col("pair_id") % 4 + 10).alias("taxid"), F.col("r2_seq").alias("sequence"))
-    tree = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (10, 2), (11, 2), (12, 3), (13, 3)], "taxid long, parent long")
+    """Each read joins the starts of two neighbours; all reads are references of 25 taxa under five parents."""
+    rd, nation = reads(spark, d).select("pair_id", "r2_seq"), spark.read.parquet(f"{d}/nation.parquet")
+    refs = rd.select((F.col("pair_id") * 7 % 25 + 100).alias("taxid"), F.col("r2_seq").alias("sequence"))
+    tree = tables.union_all(
+        nation.select((F.col("n_nationkey") + 100).cast("long").alias("taxid"), (F.col("n_regionkey") + 10).cast("long").alias("parent")),
+        nation.select((F.col("n_regionkey") + 10).cast("long").alias("taxid"), F.lit(1).cast("long").alias("parent")).distinct(),
+        nation.select(F.lit(1).cast("long").alias("taxid"), F.lit(1).cast("long").alias("parent")).distinct(),
+    )
+    after = rd.select((F.col("pair_id") - 1).alias("pair_id"), F.col("r2_seq").alias("next"))
+    i = F.col("pair_id")
+    joined = rd.join(after, "pair_id").select(i.alias("read_id"), F.concat(F.substring("r2_seq", F.lit(1), (31 + i % 6).cast("int")), F.substring("next", F.lit(1), (31 + i % 4).cast("int"))).alias("seq"))
     paths = taxonomy.ancestors(tree)
-    return taxonomy.classify_reads(rd.select(F.col("pair_id").alias("read_id"), F.col("r2_seq").alias("seq")), taxonomy.kmer_taxa(refs, paths), paths)
+    return taxonomy.classify_reads(joined, taxonomy.kmer_taxa(refs, paths), paths)
 
 
 @query("check_barcodes", "SELECT 'duplicate barcode name' AS rule, concat(type,':',barcode) AS key, cast(count(*) as varchar) AS detail FROM (SELECT type, substr(barcode,1,5) AS barcode FROM fx_barcodes) GROUP BY type, barcode HAVING count(*)>1 UNION ALL SELECT 'only ACGT', concat(type,':',barcode), sequence FROM fx_barcodes WHERE NOT regexp_full_match(sequence,'[ACGT]+')")
@@ -617,3 +636,6 @@ def check_whitelist_length(spark, d):
 def check_species(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet").select(F.col("event_type").alias("species"), F.col("user_id").cast("string").alias("sample_name"))
     return sheets.check_species(e, ["click", "view"])
+
+
+from . import queries_columns, queries_files  # noqa: E402,F401  these modules register their queries here

@@ -18,6 +18,8 @@ def open_text(path: str) -> io.TextIOBase:
     """A text file, gzip or plain, by any path that Arrow's file systems or the local one know."""
     from pyarrow import fs
 
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
     if "://" in path:
         system, inner = fs.FileSystem.from_uri(path)
         raw = system.open_input_stream(inner, compression=None)

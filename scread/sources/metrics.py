@@ -138,10 +138,16 @@ def read_alevin_quant(spark: SparkSession, glob: str, sample: str) -> DataFrame:
 
 
 def read_cell_meta(spark: SparkSession, glob: str, sample: str) -> DataFrame:
-    """sample, reads, umis, genes per cell: of each, the first synonym that the table has."""
-    raw = spark.read.option("header", True).option("sep", "\t").option("comment", "#").csv(glob)
-    pick = lambda names: next((F.col(f"`{c}`").cast("double") for c in names if c in raw.columns), F.lit(None).cast("double"))
-    return raw.select(F.input_file_name().alias("path"), "*").select(_sample(sample), *[pick(names).alias(k) for k, names in CELL_META.items()])
+    """sample, reads, umis, genes per cell: of each, the first synonym that the file's own header has.
+
+    Files are grouped by their headers, so tables of several makes can be under one glob.
+    """
+    lines = spark.read.text(glob).filter("value <> '' and not startswith(value, '#')").select(F.input_file_name().alias("path"), F.monotonically_increasing_id().alias("at"), "value")
+    head = lines.groupBy("path").agg(F.min_by("value", "at").alias("head"), F.min("at").alias("first"))  # a row per file
+    cols = F.split("value", "\t")
+    body = lines.join(head, "path").filter("at <> first").withColumn("names", F.split("head", "\t"))
+    places = {k: F.coalesce(*[F.nullif(F.array_position("names", n), F.lit(0)) for n in names]).cast("int") for k, names in CELL_META.items()}
+    return body.select(_sample(sample), *[F.get(cols, at - 1).try_cast("double").alias(k) for k, at in places.items()])
 
 
 def read_parsebio_stats(spark: SparkSession, report_glob: str, agg_glob: str, sample: str) -> DataFrame:

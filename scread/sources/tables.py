@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import cigar_blocks
@@ -104,22 +104,25 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """line_no from 1 and value of a small text file."""
-    return spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("n", "value")).select((F.col("n") + 1).alias("line_no"), "value")
+    """line_no from 1 and value of a small text file; the parts of a folder count as one file in name order."""
+    lines = F.split(F.regexp_replace("value", r"\n$", ""), "\n")
+    parts = spark.read.text(path, wholetext=True).filter("value <> ''").select(F.input_file_name().alias("part"), lines.alias("lines"))
+    before = F.coalesce(F.sum(F.size("lines")).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per part
+    return parts.withColumn("before", before).select("before", F.posexplode("lines").alias("n", "value")).select((F.col("before") + F.col("n") + 1).alias("line_no"), "value")
 
 
 def read_mtx(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
     """counts (dataset, cell, gene, umis) of a MatrixMarket folder; the gene is the first column of the features.
 
-    The matrix is a splittable text scan; its head is the one line of three numbers that equals the dimensions.
+    The matrix is a splittable text scan, of one file or of a folder's parts in name order; its first line holds the dimensions.
     """
     genes = numbered_lines(spark, f"{folder}/features.tsv*").select(F.col("line_no").alias("g"), F.substring_index("value", "\t", 1).alias("gene"))
     barcodes = numbered_lines(spark, f"{folder}/barcodes.tsv*").select(F.col("line_no").alias("c"), F.trim("value").alias("cell"))
     raw = spark.read.text(f"{folder}/matrix.mtx*").filter(~F.col("value").startswith("%"))
     f = F.split(F.trim("value"), r"\s+")
     entries = raw.select(f[0].cast("long").alias("g"), f[1].cast("long").alias("c"), f[2].cast("double").alias("umis"), F.monotonically_increasing_id().alias("at"), F.input_file_name().alias("file"))
-    head = entries.groupBy("file").agg(F.min("at").alias("at"))
-    entries = entries.join(head, ["file", "at"], "left_anti")
+    head = entries.agg(F.min(F.struct("file", "at")).alias("head"))  # the first line of the first part
+    entries = entries.crossJoin(F.broadcast(head)).filter(F.struct("file", "at") != F.col("head"))
     return entries.join(genes, "g").join(barcodes, "c").select(F.lit(dataset).alias("dataset"), "cell", "gene", "umis")
 
 

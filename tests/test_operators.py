@@ -1,7 +1,8 @@
+import numpy as np
 from conftest import rows
 from pyspark.sql import functions as F
 
-from scread.operators import cells, intervals, readqc, sheets, tables, taxonomy, umi
+from scread.operators import cells, intervals, match, readqc, sheets, tables, taxonomy, umi
 
 EXON = "gene int, transcript string, contig string, strand string, f_start int, f_end int"
 
@@ -159,3 +160,58 @@ def test_small_tables_api(spark):
     assert tables.first_row(a, "i", "s").first()["s"] == "y" and tables.distinct_rows(a).count() == 2
     assert tables.gather(a, a).count() == 6 and tables.absent_values(a, "s", ["x", "z"]).first()[0] == "z"
     assert cells.n_cells(a).first()["n_cells"] == 3
+
+
+def test_emptydrops_against_plain_simulation(spark):
+    rng = np.random.default_rng(3)
+    ambient = rng.dirichlet(np.ones(30))
+    odd = rng.dirichlet(np.ones(30) * 0.2)
+    rows = []
+    for d in ("a", "b"):
+        for c in range(120):
+            p, depth = (ambient, 4000) if c < 8 else (odd, 150 + c) if c < 16 else (ambient, 60 + c % 5 * 20 if c < 60 else 20)
+            rows += [(d, f"{d}{c}", g, int(n)) for g, n in enumerate(rng.multinomial(depth, p)) if n]
+    rows += [("none", "x", 1, 5)]  # a dataset without ambient barcodes keeps its cells
+    counts = spark.createDataFrame(rows, "dataset string, cell string, gene int, umis int")
+    options = {"ambient": (70, 115), "least_umis": 50}
+    called, logp, candidates = cells.emptydrops_candidates(counts, 100, **options)
+    plain = {r["cell"] for r in called.collect()}
+    lp = {}
+    for r in logp.collect():
+        lp.setdefault(r["dataset"], {})[r["gene"]] = r["logp"]
+    want = set(plain)
+    for d in ("a", "b"):
+        mine = [r for r in candidates.collect() if r["dataset"] == d]
+        v = np.array([lp[d][g] for g in sorted(lp[d])])
+        p = np.exp(v) / np.exp(v).sum()
+        ps = []
+        for r in mine:
+            ll = sum(n * lp[d][g] for dd, c, g, n in rows if c == r["cell"])
+            assert abs(ll - r["loglik"]) < 1e-6
+            ps.append((1 + (rng.multinomial(r["umis"], p, 2000) @ v <= ll).sum()) / 2001)
+        q, low = np.empty(len(ps)), 1.0
+        for i in np.argsort(ps)[::-1]:
+            low = min(low, ps[i] * len(ps) / sum(x <= ps[i] for x in ps))
+            q[i] = low
+        want |= {r["cell"] for r, x in zip(mine, q) if x <= 0.05}
+    got = {r["cell"] for r in cells.call_cells_emptydrops(counts, 100, fdr=0.05, simulations=2000, **options).collect()}
+    # two independent simulations: a verdict at the limit may differ
+    assert len(got ^ want) <= 2 and {f"{d}{c}" for d in "ab" for c in range(8, 16)} <= got and len(got) < 2 * 60
+    few = cells.call_cells_emptydrops(counts, 100, ambient=(5_000, 9_000))
+    assert {r["cell"] for r in few.collect()} == plain
+
+
+def test_min_hamming_takes_case_and_foreign_letters(spark):
+    keys = spark.createDataFrame([("ACGTACGT",), ("TTTTACGT",)], "sequence string")
+    seen = ["acgtacgt", "ACG.ACGT", "ACGRACG.", "AC..AC.T", "TTTTACGN", None, "ACGT"]
+    df = spark.createDataFrame([(s,) for s in seen], "s string")
+    out = {r["s"]: (r["distance"], r["matches"]) for r in match.match_min_hamming(df, "s", keys, 2).collect()}
+    assert out["acgtacgt"] == (0, ["ACGTACGT"]) and out["ACG.ACGT"] == (1, ["ACGTACGT"]) and out["ACGRACG."] == (2, ["ACGTACGT"])
+    assert out["TTTTACGN"] == (1, ["TTTTACGT"]) and out["AC..AC.T"][0] is None and out[None][0] is None and out["ACGT"][0] is None
+
+
+def test_last_key_of_a_sheet_wins(spark):
+    sheet = spark.createDataFrame([("AC", "z", 1), ("AC", "a", 2), ("GT", "b", 3)], "sequence string, barcode string, row_no int").coalesce(1)
+    df = spark.createDataFrame([("AC",), ("GT",), ("TT",)], "s string")
+    for keys in (sheet, sheet.drop("row_no")):
+        assert {r["s"]: r["hit"] and r["hit"]["name"] for r in match.match_exact(df, "s", keys, "hit").collect()} == {"AC": "a", "GT": "b", "TT": None}
