@@ -23,10 +23,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with 0.8 or more of their five-word shingles in common: the one whose id names it."""
-    linked = jaccard_join.link_components(docs, ngram=NEAR_WORDS, threshold=NEAR_THRESHOLD)
-    found = linked.filter("n_shingles > 0 and doc_id != component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(COLUMNS)
+    """One row of each component of texts with 0.8 or more of their five-word shingles in common: that of the smallest id.
+
+    Null and wordless texts link with nothing and stay. A null id comes after all others. Of rows that repeat one
+    stays; of one id's different texts each stays unless another row of its own component does. An empty table
+    gives no rows.
+    """
+    return jaccard_join.one_of_each(docs.select(COLUMNS), ngram=NEAR_WORDS, threshold=NEAR_THRESHOLD)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

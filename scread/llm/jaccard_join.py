@@ -3,8 +3,9 @@
 A set's shingles are hashed into groups; the counts of the groups are a point. The overlap of two sets is at
 most the sum of the smaller coordinates, and for a box of points at most the sum of minima with its upper
 corner, so an R-tree skips boxes that cannot hold a partner. Equal sets are one point. Points meet only
-under a shared token of their prefixes (rarest tokens first), without which the wanted overlap is impossible;
-what survives the bound forms clusters, and inside a cluster surviving pairs are verified on the sets.
+under a shared token of their prefixes (rarest tokens first), without which the wanted overlap is impossible,
+and tokens that the same sets share are one bucket; what survives the bound forms clusters, and inside a
+cluster surviving pairs are verified on the sets.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, grams, mix64, stage, unzipped, words, zipped
@@ -21,13 +22,16 @@ from .components import connected
 from .passages import groups
 
 NGRAM = 3
-GROUPS = 64
+GROUPS = 256
 THRESHOLD = 9, 10  # numerator and denominator
 SAMPLE_DOCS = 20_000
 FREQUENT = 200_000
-SMALL = 48
+BUCKET_SETS = 3_000
 CLUSTER_DOCS = 4_000
 CLUSTER_SHINGLES = 2_000_000
+QUERY_BLOCK, PAIR_BLOCK = 128, 1 << 13
+BROADCAST_ROWS = 200_000
+NO_ID = (1 << 63) - 1
 _TOP = np.uint64(1 << 63)
 
 
@@ -80,90 +84,98 @@ def may_link(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: tuple
 
 
 class RTree:
-    """Points packed by size into boxes of boxes; a search skips a box that no partner can be in."""
+    """Points packed by size into boxes of boxes; a search skips a box that no partner can be in.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, fan: int = 16, threshold: tuple[int, int] = THRESHOLD):
-        # tiles: by set size, then by the coordinate with the largest spread
+    ``group`` divides the points: only points of a query's own group are found.
+    """
+
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, fan: int = 16, threshold: tuple[int, int] = THRESHOLD, group: np.ndarray | None = None):
+        group = np.zeros(len(points), np.int64) if group is None else group
+        # tiles: by group and set size, then by the coordinate with the largest spread
         spread = int(np.argmax(points.var(0))) if len(points) else 0
         slab = max(1, int(np.ceil(np.sqrt(len(points) / fan)))) * fan
-        by_size = np.argsort(sizes, kind="stable")
         tile = np.empty(len(points), np.int64)
-        tile[by_size] = np.arange(len(points)) // slab
-        self.order = np.lexsort((points[:, spread], tile))
-        self.points, self.sizes = points[self.order], sizes[self.order]
-        self.levels = []
-        high, least, most = self.points, self.sizes, self.sizes
-        while len(high) > 1:
+        tile[np.lexsort((sizes, group))] = np.arange(len(points)) // slab
+        self.order = np.lexsort((points[:, spread], tile, group))
+        self.levels = [tuple(x[self.order] for x in (points, sizes, sizes, group, group))]
+        while len(self.levels[-1][0]) > 1:
+            high, least, most, first, last = self.levels[-1]
             edges = np.arange(0, len(high), fan)
-            high, least, most = np.maximum.reduceat(high, edges), np.minimum.reduceat(least, edges), np.maximum.reduceat(most, edges)
-            self.levels.append((high, least, most))
+            joined = ((np.maximum, high), (np.minimum, least), (np.maximum, most), (np.minimum, first), (np.maximum, last))
+            self.levels.append(tuple(f.reduceat(x, edges) for f, x in joined))
         self.fan, self.threshold = fan, threshold
 
+    def search_many(self, points: np.ndarray, sizes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, point) numbers of all pairs that may link."""
+        numerator, denominator = self.threshold
+        q = np.repeat(np.arange(len(points)), len(self.levels[-1][0]))
+        at = np.tile(np.arange(len(self.levels[-1][0])), len(points))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            high, least, most, first, last = self.levels[depth]
+            n, g = sizes[q], group[q]
+            near = np.flatnonzero((first[at] <= g) & (g <= last[at]) & (denominator * most[at] >= numerator * n) & (denominator * n >= numerator * least[at]))
+            q, at, ok = q[near], at[near], np.zeros(len(near), bool)
+            for i in range(0, len(near), PAIR_BLOCK):
+                part = slice(i, i + PAIR_BLOCK)
+                # the smallest partner in the box needs the least overlap
+                ok[part] = may_link(np.minimum(high[at[part]], points[q[part]]).sum(1), least[at[part]], sizes[q[part]], self.threshold)
+            q, at = q[ok], at[ok]
+            if depth:
+                q, at = np.repeat(q, self.fan), (at[:, None] * self.fan + np.arange(self.fan)).ravel()
+                inside = at < len(self.levels[depth - 1][0])
+                q, at = q[inside], at[inside]
+        return q, self.order[at]
+
     def search(self, point: np.ndarray, size: int) -> np.ndarray:
         """Numbers of the points that may link with this one."""
-        numerator, denominator = self.threshold
-        at = np.zeros(1, np.int64) if self.levels else np.arange(len(self.points))
-        for level in range(len(self.levels) - 1, -1, -1):
-            high, least, most = self.levels[level]
-            bound = np.minimum(high[at], point).sum(1)
-            # the smallest partner in the box needs the least overlap
-            ok = may_link(bound, least[at], size, self.threshold) & (denominator * most[at] >= numerator * size) & (denominator * size >= numerator * least[at])
-            at = (at[ok][:, None] * self.fan + np.arange(self.fan)).ravel()
-            at = at[at < (len(self.levels[level - 1][0]) if level else len(self.points))]
-        at = at[may_link(np.minimum(self.points[at], point).sum(1), self.sizes[at], size, self.threshold)]
-        return self.order[at]
+        return self.search_many(point[None], np.array([size]), np.zeros(1, np.int64))[1]
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, ngram: int, threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, key, prefix, vec = [], [], [], []
+        n, keys, prefix, vec = [], [], [], []
         for s in token_sets(batch.column(1), frequent, ngram):
             n.append(len(s))
             m = mix64(s)
-            key.append(int((mix64(m.sum(keepdims=True)) ^ np.bitwise_xor.reduce(m, keepdims=True))[0]) - (1 << 63) if len(s) else 0)
+            keys.append((m.sum(), np.bitwise_xor.reduce(m)))
             prefix.append(s[: prefix_length(len(s), threshold)].view(np.int64))
             vec.append(packed_counts(group_counts(s)))
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(p) for p in prefix])].astype(np.int32)), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(key, pa.int64()), lists, pa.array(vec, pa.binary())], names=["did", "rk", "n", "sid", "prefix", "vec"])
+        k = np.array(keys, np.uint64).reshape(-1, 2).view(np.int64)
+        columns = [batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), lists, pa.array(vec, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["did", "rk", "n", "k1", "k2", "prefix", "vec"])
+
+
+def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (the smallest number of each component so far) after the pairs (a, b) are linked."""
+    while len(a):
+        x, y = label[a], label[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+    return label
 
 
 def _bucket_edges(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one token that survive the bound; of a crowded token a spanning forest of them."""
-    for table in groups(batches, 50_000):
-        token, sid, n = (table.column(i).to_numpy() for i in range(3))
-        new = np.r_[True, token[1:] != token[:-1]]
-        number = np.cumsum(new) - 1
-        count = np.bincount(number)
-        shared = np.flatnonzero(count[number] > 1)
-        if not len(shared):
-            continue
-        sid, n, number = sid[shared], n[shared].astype(np.int64), number[shared]
-        points = unpacked_counts(table.column(3).combine_chunks().take(pa.array(shared)))
-        crowd = count[number]
-        out = []
-        for step in range(1, SMALL):
-            i = np.flatnonzero((number[step:] == number[:-step]) & (crowd[step:] <= SMALL) & (threshold[1] * n[:-step] >= threshold[0] * n[step:]))
-            if not len(i) and not (number[step:] == number[:-step]).any():
-                break
-            j = i + step
-            ok = may_link(np.minimum(points[i], points[j]).sum(1), n[i], n[j], threshold) & (sid[i] != sid[j])
-            out.append((sid[i[ok]], sid[j[ok]]))
-        for g in np.unique(number[crowd > SMALL]):
-            rows = np.flatnonzero(number == g) if len(number) < 1000 else np.arange(*np.searchsorted(number, [g, g + 1]))
-            a, b = spanning(points[rows], n[rows], lambda u, vs: np.ones(len(vs), bool), threshold)
-            out.append((sid[rows[a]], sid[rows[b]]))
-        a, b = (np.concatenate(c) for c in zip(*out)) if out else (sid[:0], sid[:0])
-        if len(a):
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
-
-
-def spanning(points: np.ndarray, sizes: np.ndarray, verify, threshold: tuple[int, int] = THRESHOLD, near=None) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the pairs that survive the bound and ``verify(u, candidates)``.
-
-    Candidates come from the tree, or from ``near(u)`` if given.
-    """
-    tree = RTree(points, sizes, threshold=threshold) if near is None else None
+    """Of each bucket the components of the pairs that survive the bound, as edges to their first nodes."""
+    for table in groups(batches, 20_000):
+        key, node, n = (table.column(i).to_numpy() for i in range(3))
+        n, number = n.astype(np.int64), np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
+        points = unpacked_counts(table.column(3).combine_chunks())
+        tree, label = RTree(points, n, threshold=threshold, group=number), np.arange(len(n))
+        for at in range(0, len(n), QUERY_BLOCK):
+            part = slice(at, at + QUERY_BLOCK)
+            q, r = tree.search_many(points[part], n[part], number[part])
+            label = joined(label, at + q, r)
+        other = np.flatnonzero(label != np.arange(len(n)))
+        if len(other):
+            yield pa.RecordBatch.from_arrays([pa.array(node[label[other]]), pa.array(node[other])], names=["a", "b"])
+
+
+def spanning(points: np.ndarray, sizes: np.ndarray, near, verify, threshold: tuple[int, int] = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs in ``near(u)`` that survive the bound and ``verify(u, candidates)``."""
     waiting = np.ones(len(points), bool)
     a: list[int] = []
     b: list[int] = []
@@ -174,10 +186,10 @@ def spanning(points: np.ndarray, sizes: np.ndarray, verify, threshold: tuple[int
         queue = [root]
         while queue and waiting.any():
             u = queue.pop()
-            found = tree.search(points[u], int(sizes[u])) if near is None else near(u)
+            found = near(u)
             found = found[waiting[found]]
-            if near is not None:
-                found = found[may_link(np.minimum(points[found], points[u]).sum(1), sizes[found], sizes[u], threshold)]
+            found = found[may_link(np.minimum(sizes[found], sizes[u]), sizes[found], sizes[u], threshold)]
+            found = found[may_link(np.minimum(points[found], points[u]).sum(1), sizes[found], sizes[u], threshold)]
             found = found[verify(u, found)] if len(found) else found
             waiting[found] = False
             a += [u] * len(found)
@@ -195,34 +207,38 @@ def _verified_edges(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, ngr
         key = table.column(0).to_numpy()
         edges = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
         for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            sid = table.column(1).to_numpy()[lo:hi]
+            node = table.column(1).to_numpy()[lo:hi]
             sets = list(token_sets(unzipped(table.column(2).combine_chunks().slice(lo, hi - lo)), frequent, ngram))
             sizes = np.array([len(s) for s in sets])
             points = np.stack([group_counts(s) for s in sets]).astype(np.int32)
+            # tokens as numbers of this cluster, so that a set is a mark in an array
+            flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            begin = np.r_[0, np.cumsum(sizes)]
             lengths = np.array([prefix_length(n, threshold) for n in sizes.tolist()])
-            first = np.cumsum(lengths) - lengths
-            token = np.unique(np.concatenate([s[:n] for s, n in zip(sets, lengths.tolist())]), return_inverse=True)[1]
-            holders = np.repeat(np.arange(len(sets)), lengths)[np.argsort(token, kind="stable")]
-            held = np.r_[0, np.cumsum(np.bincount(token))]
+            prefix = np.concatenate([flat[i : i + n] for i, n in zip(begin.tolist(), lengths.tolist())])
+            holders = np.repeat(np.arange(len(sets)), lengths)[np.argsort(prefix, kind="stable")]
+            held = np.r_[0, np.cumsum(np.bincount(prefix, minlength=int(flat.max()) + 1))]
+            marked = np.zeros(int(flat.max()) + 1, np.uint8)
 
             def near(u: int) -> np.ndarray:
-                mine = token[first[u] : first[u] + lengths[u]]
+                mine = flat[begin[u] : begin[u] + lengths[u]]
                 shared = np.zeros(len(sets), bool)
                 count = held[mine + 1] - held[mine]
                 shared[holders[np.arange(count.sum()) + np.repeat(held[mine] - np.cumsum(count) + count, count)]] = True
                 return np.flatnonzero(shared)
 
             def verify(u: int, vs: np.ndarray) -> np.ndarray:
-                s = sets[u]
-                joined = np.concatenate([sets[v] for v in vs])
-                place = np.searchsorted(s, joined).clip(max=len(s) - 1)
+                mine = flat[begin[u] : begin[u + 1]]
+                marked[mine] = 1
+                hits = marked[np.concatenate([flat[begin[v] : begin[v + 1]] for v in vs])]
+                marked[mine] = 0
                 ends = np.cumsum(sizes[vs])
-                overlap = np.add.reduceat((s[place] == joined).astype(np.int64), ends - sizes[vs])
+                overlap = np.add.reduceat(hits, ends - sizes[vs], dtype=np.int64)
                 return may_link(overlap, sizes[vs], sizes[u], threshold)
 
-            a, b = spanning(points, sizes, verify, threshold, near)
+            a, b = spanning(points, sizes, near, verify, threshold)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(sid[a]), pa.array(sid[b])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
 
 def _frequent(docs_x: DataFrame, sample_docs: int, ngram: int) -> np.ndarray:
@@ -245,19 +261,16 @@ def _frequent(docs_x: DataFrame, sample_docs: int, ngram: int) -> np.ndarray:
     return np.sort(out, order="token")
 
 
-def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_docs: int = CLUSTER_DOCS, ngram: int = NGRAM, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
+def _row_keys(docs: DataFrame) -> tuple:
+    """Expressions of a row's id (null after all others) and of the hash that tells apart rows of one id."""
+    doc_id = F.col("doc_id").cast("long")
+    return F.coalesce(doc_id, F.lit(NO_ID)), F.xxhash64(doc_id.isNull(), doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")))
 
-    Texts are sets of distinct shingles of ``ngram`` words (A-Z lower-cased; a shorter text is one shingle);
-    sets with a Jaccard similarity of ``threshold`` (numerator, denominator) or more link. Null, empty and wordless texts have empty sets and
-    link with nothing. A component's id is its smallest doc_id; a null id counts as larger than any other
-    and gives null only if the component has no other. Rows that repeat are in one component if they have
-    words. Extra columns are not read; an empty table gives no rows. No pair is dropped: clusters of more
-    than ``cluster_docs`` different sets, or ``CLUSTER_SHINGLES`` shingles, are verified in pairs of chunks.
-    """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    docs_x = d.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did"), "text", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text").alias("rk"))
+
+def linked_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_docs: int = CLUSTER_DOCS, ngram: int = NGRAM, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """did, rk (the row's keys), n (its set's size) and first (did, rk of its component's first row) for every row of ``docs``."""
+    did, rk = _row_keys(docs)
+    docs_x = docs.select(did.alias("did"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), rk.alias("rk"))
     frequent = _frequent(docs_x, sample_docs, ngram)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,35 +282,83 @@ def link_components(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_doc
     def verified_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _verified_edges(batches, frequent, ngram, threshold)
 
-    sets = stage(docs_x.mapInArrow(sketch, "did long, rk long, n int, sid long, prefix array<long>, vec binary"), "jaccard-sets")
-    full = sets.filter("n > 0")
-    classes = full.groupBy("sid", "n").agg(F.min("did").alias("least"), F.min("rk").alias("rk"), F.first("prefix").alias("prefix"), F.first("vec").alias("vec"))
-    classes = stage(classes, "jaccard-classes")
-    tokens = classes.select(F.explode("prefix").alias("token"), "sid", "n", "vec")
-    pairs = tokens.repartition("token").sortWithinPartitions("token", "n").mapInArrow(bucket_edges, "a long, b long")
+    sets = stage(docs_x.mapInArrow(sketch, "did long, rk long, n int, k1 long, k2 long, prefix array<long>, vec binary"), "jaccard-sets")
+    same = ["k1", "k2", "n"]
+    classes = sets.filter("n > 0").groupBy(*same).agg(F.min(F.struct("did", "rk")).alias("first"), F.first("prefix").alias("prefix"), F.first("vec").alias("vec"))
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
+
+    # tokens that the same sets hold make one bucket: its key is a hash of its holders
+    tokens = classes.select(F.explode("prefix").alias("token"), "node")
+    holders = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"h{i}") for i in (1, 2)]
+    held = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held"), *holders).filter("held > 1")
+    buckets = tokens.join(held, "token").select("h1", "h2", "held", "node").distinct()
+    # a crowded bucket is searched in pairs of chunks
+    chunks = F.ceil(F.col("held") / F.lit(BUCKET_SETS)).cast("int")
+    buckets = _in_pairs(buckets.withColumn("chunks", chunks), ["h1", "h2"]).join(classes.select("node", "n", "vec"), "node").select("task", "node", "n", "vec")
+    pairs = buckets.repartition("task").sortWithinPartitions("task", "n").mapInArrow(bucket_edges, "a long, b long")
     clusters = connected(pairs, "jaccard-clusters")
 
     # each different set of a cluster goes, as text, to the cluster's task; of a large cluster to pairs of its chunks
-    members = clusters.join(classes.select(F.col("sid").alias("node"), "rk", "n"), "node")
+    members = clusters.join(classes.select("node", "first.did", "first.rk", "n"), "node")
     chunks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(cluster_docs)), F.ceil(F.sum("n") / F.lit(CLUSTER_SHINGLES))).cast("int")
     members = members.join(members.groupBy("component").agg(chunks.alias("chunks")), "component")
+    members = stage(_in_pairs(members, ["component"]).select("did", "rk", "node", "task"), "jaccard-members")
+    texts = docs_x.select("did", "rk", "text")
+    if members.count() <= BROADCAST_ROWS:  # texts that no cluster holds then need no shuffle
+        shipped = zipped(texts.join(F.broadcast(members), ["did", "rk"]).select("task", "node", "text"))
+    else:
+        shipped = members.join(zipped(texts), ["did", "rk"]).select("task", "node", "text")
+    # rows that repeat bring a text more than once
+    shipped = shipped.repartition("task").dropDuplicates(["task", "node"]).sortWithinPartitions("task", "node")
+    links = connected(shipped.mapInArrow(verified_edges, "a long, b long"), "jaccard-links")
+
+    owner = classes.select("node", *same, "first").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = owner.select(*same, "component").join(owner.groupBy("component").agg(F.min("first").alias("first")), "component")
+    out = sets.select("did", "rk", *same).join(named.select(*same, "first"), same, "left")
+    return out.select("did", "rk", "n", F.coalesce("first", F.struct("did", "rk")).alias("first"))
+
+
+def _in_pairs(members: DataFrame, key: list[str]) -> DataFrame:
+    """``members`` (node, chunks, the key) with ``task``: one a key of one chunk, else one for each pair of its chunks."""
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     other = F.when(F.col("chunks") > 1, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0)))
-    members = members.withColumn("chunk", chunk).select("node", "rk", "component", "chunk", F.explode(other).alias("other"))
-    task = F.xxhash64("component", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("task")
-    texts = zipped(docs_x.select("rk", "text"))
-    shipped = members.select("rk", F.col("node").alias("sid"), task).join(texts, "rk").select("task", "sid", "text")
-    links = shipped.repartition("task").sortWithinPartitions("task", "sid").mapInArrow(verified_edges, "a long, b long")
-    links = connected(links, "jaccard-links")
-
-    # the smallest id of a component is that of one of its classes
-    owner = classes.select("sid", "least").join(links.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    least = owner.groupBy("component").agg(F.min("least").alias("component_did"))
-    named = owner.select("sid", "component").join(least, "component").select("sid", "component_did")
-    out = sets.select("did", "n", "sid").join(named, "sid", "left")
-    component = F.when(F.col("n") > 0, F.col("component_did")).otherwise(F.col("did"))
-    real = lambda c: F.when(c != (1 << 63) - 1, c)
-    return out.select(real(F.col("did")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real(component).alias("component_id"))
+    members = members.withColumn("chunk", chunk).withColumn("other", F.explode(other))
+    return members.withColumn("task", F.xxhash64(*key, F.least("chunk", "other"), F.greatest("chunk", "other")))
+
+
+def link_components(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
+
+    Texts are sets of distinct shingles of ``ngram`` words (A-Z lower-cased; a shorter text is one shingle);
+    sets with a Jaccard similarity of ``threshold`` (numerator, denominator) or more link. Null, empty and
+    wordless texts have empty sets and link with nothing. A component's id is its smallest doc_id; a null id
+    counts as larger than any other and gives null only if the component has no other. Rows that repeat are in
+    one component if they have words. Extra columns are not read; an empty table gives no rows. No pair is
+    dropped: buckets of more than ``BUCKET_SETS`` different sets, and clusters of more than ``cluster_docs`` or
+    of ``CLUSTER_SHINGLES`` shingles, are searched in pairs of chunks.
+    """
+    out = linked_rows(docs, **options)
+    real = lambda c: F.when(c != NO_ID, c)
+    return out.select(real(F.col("did")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real(F.col("first.did")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with exactly one row of each component: that of the smallest id, then of the smallest text hash.
+
+    A null id comes last. Rows without words link with nothing and all stay. Of rows with equal id and text
+    the first by their other columns stays. All columns are kept and rows are told apart by id and text, so
+    a text goes only if another of its component stays.
+    """
+    did, rk = _row_keys(docs)
+    rows = linked_rows(docs, **options).filter("n > 0").groupBy("did", "rk", "first").agg(F.count(F.lit(1)).alias("rows"))
+    verdict = rows.withColumn("goes", F.struct("did", "rk") != F.col("first")).filter("goes or rows > 1").select(F.col("did").alias("__did"), F.col("rk").alias("__rk"), "goes")
+    verdict = stage(verdict.withColumnRenamed("goes", "__goes"), "jaccard-verdicts")
+    if verdict.count() <= BROADCAST_ROWS:
+        verdict = F.broadcast(verdict)
+    judged = docs.join(verdict, (did == F.col("__did")) & (rk == F.col("__rk")), "left")
+    order = Window.partitionBy("__did", "__rk").orderBy(*[docs[c] for c in docs.columns])
+    twice = judged.filter("not __goes").withColumn("__nth", F.row_number().over(order)).filter("__nth = 1")
+    return judged.filter("__goes is null").select(docs.columns).unionByName(twice.select(docs.columns))
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:

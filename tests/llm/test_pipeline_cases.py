@@ -54,6 +54,14 @@ def test_near_duplicates_against_brute_force(spark, tmp_path):
     assert kept == sorted(k for k, v in least.items() if k == v)
 
 
+def test_near_duplicates_go_by_row(spark, tmp_path):
+    t, u, v = (" ".join(f"{k}{i}" for i in range(80)) for k in "tuv")
+    rows = [(1, t), (2, t), (2, u), (3, u + " plus"), (3, u + " plus"), (None, t), (None, v), (4, v), (5, ""), (5, ""), (6, None)]
+    d = spark.createDataFrame([(i, x, "en", "s1", 0) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r["doc_id"], (r["text"] or "")[:2]) for r in p.near_duplicates(spark, d, str(tmp_path)).collect()), key=str)
+    assert kept == sorted([(1, "t0"), (2, "u0"), (4, "v0"), (5, ""), (5, ""), (6, "")], key=str)
+
+
 def test_substring_stage_keeps_other_columns(spark, tmp_path):
     passage = " ".join(f"p{i}" for i in range(30))
     d = docs(spark, [(80, "a start " + passage, "en", "s1"), (81, passage + " an end", "de", None)])
