@@ -48,24 +48,21 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
 
 
 def fit(lengths: list[int], counts: list[int], target: float, capacity: int = KNAPSACK_WORDS) -> list[int]:
-    """How many documents of each length to take (repeats included) so that their words come near ``target``.
+    """How many documents of each length to take (repeats included) so that their words come nearest ``target``.
 
-    No document is taken more than twice. The list of lengths has at most sqrt(2 * words) entries. What can't be
-    reached from below may be nearer from above: then one document more than fits is taken and the rest refitted.
+    No document is taken more than twice, and one without words once. The list of lengths has at most
+    sqrt(2 * words) entries. The nearest sum from above is what the nearest sum from below leaves of the complement.
     """
-    goal = max(0, min(int(target + 0.5), 2 * sum(n * c for n, c in zip(lengths, counts))))
-    most = [2 * c for c in counts]
+    most = [2 * c if n else 0 for n, c in zip(lengths, counts)]
     words = lambda copies: sum(n * c for n, c in zip(lengths, copies))
+    total = words(most)
+    goal = max(0, min(int(target + 0.5), total))
     best = _fit_below(lengths, most, goal, capacity)
-    left = goal - words(best)
-    above = [i for i, n in enumerate(lengths) if n > left and best[i] < most[i]] if left else []
-    if above:
-        i = min(above, key=lambda i: lengths[i])
-        rest = _fit_below(lengths, [m - (j == i) for j, m in enumerate(most)], max(0, goal - lengths[i]), capacity)
-        rest[i] += 1
-        if abs(words(rest) - goal) < left:
-            return rest
-    return best
+    if words(best) < goal:
+        above = [m - c for m, c in zip(most, _fit_below(lengths, most, total - goal, capacity))]
+        if words(above) - goal < goal - words(best):
+            best = above
+    return [c if n else m for n, c, m in zip(lengths, best, counts)]
 
 
 def _fit_below(lengths: list[int], most: list[int], goal: int, capacity: int) -> list[int]:
@@ -114,7 +111,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     """Documents with ``size``, ``source_size``, ``target`` and ``copies`` (0, 1 or 2): how often the mix takes each.
 
     Needs doc_id, text and source; every row counts as a document. Null and empty texts have size 0 and
-    are never repeated; a null source is a source of its own, after all others. Rows with equal ids and
+    are taken once; a null source is a source of its own, after all others. Rows with equal ids and
     sizes are interchangeable. An empty table gives no rows. Columns beyond these three are not read.
     """
     key = F.when(F.col("source").isNull(), F.lit("z")).otherwise(F.concat(F.lit("a"), F.col("source")))
@@ -145,13 +142,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as the mix takes it; rows with equal id, source and size share."""
-    taken = mix(docs, **options).groupBy("doc_id", "source_key", "size").agg(F.ceil(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("__copies"))
-    taken = taken.filter("__copies > 0").toDF("__id", "__key", "__size", "__copies")
+    """The mix itself: rows of ``docs``, each as often as ``mix`` takes it, so the words are the same.
+
+    Rows with equal id, source and size share what ``mix`` takes of them: in whole, and what is left goes to the
+    first by a hash of their columns. Documents without words come once. All columns are kept.
+    """
+    taken = mix(docs, **options).groupBy("doc_id", "source_key", "size").agg(F.sum("copies").cast("int").alias("__all"), F.count(F.lit(1)).cast("int").alias("__rows"))
+    taken = stage(taken.filter("__all > 0").toDF("__id", "__key", "__size", "__all", "__rows"), "mix-taken")
     key = F.when(F.col("source").isNull(), F.lit("z")).otherwise(F.concat(F.lit("a"), F.col("source")))
     on = F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__key")) & (n_words(F.col("text")) == F.col("__size"))
-    joined = docs.join(taken, on)
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
+    even = docs.join(taken.filter("__all % __rows = 0"), on).withColumn("__copies", (F.col("__all") / F.col("__rows")).cast("int"))
+    order = Window.partitionBy("__id", "__key", "__size").orderBy(F.xxhash64(*[docs[c] for c in docs.columns]))
+    nth = F.row_number().over(order)
+    odd = docs.join(taken.filter("__all % __rows <> 0"), on).withColumn("__copies", (F.floor(F.col("__all") / F.col("__rows")) + (nth <= F.col("__all") % F.col("__rows")).cast("int")).cast("int"))
+    mixed = even.unionByName(odd)
+    return mixed.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
