@@ -317,3 +317,52 @@ def called_matrix(spark, d):
     path = folder(spark, "called")
     t_out.write_mtx(tables.restrict_cells(c.filter("dataset = 'A'"), called), path)
     return t_in.read_mtx(spark, path, "A").select("cell", "gene", "umis")
+
+
+# ---- whole runs -------------------------------------------------------------------------------------------------
+
+@query("demux_experiment", DEMUX + "SELECT s.sample, count(dm.pair_id) AS pairs, count(dm.pair_id) AS written FROM fx_samples s LEFT JOIN dm ON dm.sample_name=s.sample GROUP BY s.sample")
+def demux_experiment(spark, d):
+    """A run from sheets and FASTQ files to written reads and QC tables: pairs counted by the run and found in its files."""
+    from .plans import runs as whole
+
+    path, r = folder(spark, "experiment"), reads(spark, d)
+    r = r.withColumns({f"{m}_qual": F.repeat(F.lit("I"), F.length(f"{m}_seq")) for m in ("r1", "r2")}).withColumn("sample", F.lit("all"))
+    fq_out.write_fastq(r, f"{path}/in")
+    found = sorted(x["path"] for x in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").load(f"{path}/in").select("path").collect())  # a line per file
+    one, two = (next(x for x in found if f"mate={m}" in x) for m in ("R1", "R2"))
+    s = samples(spark, d)
+    # the files belong to the first sample's line; the others add their indices only
+    sheet = s.select("sample", F.when(F.col("sample") == "S_A", two).alias("fastq_cDNA"), F.when(F.col("sample") == "S_A", one).alias("fastq_BC_UMI"), "p5", "p7", "rt")
+    sheet.write.option("header", True).csv(f"{path}/sheet")
+    barcodes(spark, d).write.option("header", True).option("sep", "\t").csv(f"{path}/barcodes")
+    qc = whole.demultiplex(spark, f"{path}/sheet", f"{path}/barcodes", f"{path}/out", partitions=8)
+    written = spark.read.text(f"{path}/out/fastq").filter("mate = 'R1'").groupBy("sample").agg((F.count(F.lit(1)) / 4).cast("long").alias("written"))
+    return qc["samples"].join(written, "sample", "left").select("sample", "pairs", F.coalesce("written", F.lit(0)).alias("written"))
+
+
+@query("count_run", """WITH n AS (SELECT a.cell, a.gene, a.umi, a.n_reads, max(struct_pack(r := b.n_reads, u := b.umi)) AS best FROM fx_molecules a LEFT JOIN fx_molecules b ON a.cell=b.cell AND a.gene=b.gene AND hamming(a.umi,b.umi)=1 GROUP BY ALL),
+ t AS (SELECT cell, gene, CASE WHEN best.r IS NOT NULL AND (best.r>n_reads OR (best.r=n_reads AND best.u>umi)) THEN best.u ELSE umi END AS umi, n_reads FROM n), m AS (SELECT cell, gene, umi, sum(n_reads) AS n_reads FROM t GROUP BY 1,2,3),
+ w AS (SELECT *, max(n_reads) OVER (PARTITION BY cell, umi) AS top FROM m), k AS (SELECT *, count(*) FILTER (n_reads=top) OVER (PARTITION BY cell, umi) AS ties FROM w) SELECT cell, gene, cast(count(*) AS DOUBLE) AS umis FROM k WHERE n_reads=top AND ties=1 GROUP BY 1, 2""")
+def count_run(spark, d):
+    """Tagged reads to a written matrix, read back."""
+    from .plans import runs as whole
+
+    m = _fx("fx_molecules")(spark, d)
+    path = folder(spark, "counts")
+    whole.count(m.select("cell", "gene", "umi", F.explode(F.sequence(F.lit(1), F.col("n_reads").cast("int"))).alias("read")), 20, path, "d")
+    return t_in.read_mtx(spark, f"{path}/raw", "d").select("cell", "gene", "umis")
+
+
+@query("collated_metrics", """SELECT sample AS "Sample", software AS "Software", reads AS "N reads/sample", cells AS "N cells" FROM (SELECT sample, 'STARsolo' AS software, cast(n*1000 AS VARCHAR) AS reads, NULL AS cells FROM fx_runs UNION ALL SELECT sample, 'alevin-fry', NULL, cast(n AS VARCHAR) FROM fx_runs)""")
+def collated_metrics(spark, d):
+    from .plans import runs as whole
+
+    n, r = F.col("n"), runs(spark, d)
+    star = _per_sample(r, "collate-star", _lines(("Number of input reads |\t", n * 1000)))
+    alevin = _per_sample(r, "collate-alevin", F.concat(F.lit('{"num_quantified_cells": '), n, F.lit("}")))
+    readers = [
+        (star, lambda s, g: metrics.read_star_log_final(s, g, IN_PATH)), (alevin, lambda s, g: metrics.read_alevin_quant(s, g, IN_PATH)),
+        (f"{star}-none", lambda s, g: metrics.read_salmon_meta(s, g, IN_PATH)),
+    ]
+    return whole.collate_metrics(spark, readers, folder(spark, "collated")).select("Sample", "Software", "N reads/sample", "N cells")

@@ -93,8 +93,9 @@ def read_fastq_multi(spark: SparkSession, files: list[tuple], mates: tuple[str,
 
 
 def read_fastq_pairs(spark: SparkSession, samples: DataFrame) -> DataFrame:
-    """Pairs of all samples and lanes of a sample sheet (one row per lane): R1 holds the barcode read."""
-    rows = samples.select("sample", "fastq_bc_umi", "fastq_cdna").collect()  # a line per pair of files
+    """Pairs of all samples and lanes of a sample sheet (one row per lane): R1 holds the barcode read. Lines without files give none."""
+    named = samples.filter("fastq_bc_umi is not null and fastq_cdna is not null")
+    rows = named.select("sample", "fastq_bc_umi", "fastq_cdna").collect()  # a line per pair of files
     return read_fastq_multi(spark, [(r["sample"], str(i), r["fastq_bc_umi"], r["fastq_cdna"]) for i, r in enumerate(rows)], ("r1", "r2"))
 
 
