@@ -22,10 +22,12 @@ from .common import stage
 from .labelled import calibrate, finish, with_label
 
 LEVEL = 19
+# bounds of what is learned from the labelled sample: dictionary sizes, the share and log odds from which a window is
+# toxic, and the windows of each kind that reach the driver
 ORDINARY_BYTES, TOXIC_BYTES, FRAME_BYTES = 4096, 16_384, 40
 LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 3, 0.02, 4.5
 MAX_WINDOWS = 20_000
-CACHED_WINDOWS = 800_000
+CACHED_WINDOWS = 300_000
 LOW, HIGH = -2, 12
 EDGES = b".,;:!?|\"'()"
 THRESHOLD = 0.3
@@ -34,8 +36,9 @@ THRESHOLD = 0.3
 def train_dictionaries(windows: list[tuple[str, int, int]], n_toxic: int, n_ordinary: int) -> tuple[bytes, bytes]:
     """(ordinary, toxic) dictionary contents from (window, toxic texts with it, ordinary texts with it).
 
-    The ordinary one is chosen by zstandard's trainer. The toxic one adds the windows with high odds, the
-    best nearest the end, where they are cheapest to refer to; both end in the frame of the windows.
+    The ordinary one is chosen by zstandard's trainer, to which a window counts at most 20 times. The toxic one
+    adds the windows with high odds, the best nearest the end, where they are cheapest to refer to; both end in
+    the frame of the windows, which 200 toxic and 400 ordinary windows choose.
     """
     odds = {w: log((t + 0.5) / (n_toxic + 1)) - log((o + 0.5) / (n_ordinary + 1)) for w, t, o in windows}
     ordinary = sorted((-o, w) for w, t, o in windows if odds[w] <= 1 and o)
@@ -74,9 +77,9 @@ class Distance:
         a, b = (len(c.compress(x)) for c in self.pair)
         return min(max(a - b, LOW), HIGH) - LOW
 
-    def counts(self, text: bytes) -> np.ndarray:
-        """How many windows of a text have each difference."""
-        tokens, known = text.lower().split(), self.known
+    def counts(self, text: str) -> np.ndarray:
+        """How many windows of a text have each difference; letters are lower-cased as in training."""
+        tokens, known = text.lower().encode().split(), self.known
         for w in {w for w in tokens if w not in known}:
             if len(known) < CACHED_WINDOWS:
                 known[w] = self.window(w)
@@ -96,11 +99,15 @@ def _distance(pair: tuple[bytes, bytes]) -> Distance:
 
 
 def _windows_by_label(rows: DataFrame) -> tuple[list, list[list[int]]]:
-    """Windows with the number of texts of each label and half that hold them, and the number of such texts."""
+    """Windows with the number of texts of each label and half that hold them, and the number of such texts.
+
+    A window counts once a text for each form in which it is written there, with its outer marks. ``rows`` is the
+    bounded labelled sample; of its windows the ``MAX_WINDOWS`` with the highest count of each label are returned.
+    """
     kinds = [(y, h) for y in (1, 0) for h in (0, 1)]
     n = {(r["y"], r["half"]): r["count"] for r in rows.groupBy("y", "half").count().collect()}
     token = F.explode(F.array_distinct(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")))
-    w = rows.select("y", "half", token.alias("w")).select("y", "half", F.btrim("w", F.lit(EDGES.decode())).alias("w")).filter("w != '' and length(w) <= 64")
+    w = rows.select("y", "half", token.alias("w")).select("y", "half", F.btrim("w", F.lit(EDGES.decode())).alias("w")).filter("w != ''")
     c = w.groupBy("w").agg(*[F.count_if((F.col("y") == y) & (F.col("half") == h)).alias(f"c{y}{h}") for y, h in kinds])
     toxic = c.filter(F.col("c10") + F.col("c11") >= LEAST_DOCS).orderBy(F.desc(F.col("c10") + F.col("c11")), "w").limit(MAX_WINDOWS)
     ordinary = c.orderBy(F.desc(F.col("c00") + F.col("c01")), "w").limit(MAX_WINDOWS)
@@ -123,7 +130,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fo
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_distance(pairs[h]).counts(t) for t, h in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist())]
+            found = [_distance(pairs[h]).counts(t) for t, h in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), batch.column(1)], names=["found", "y"])
 
     measured = stage(rows.select("text", "y", "half").mapInArrow(measure, "found array<long>, y int"), "toxicity-halves")
@@ -137,7 +144,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fo
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distance = _distance(pairs[2])
         for batch in batches:
-            s = np.array([distance.counts(t) @ ratio for t in batch.column(1).cast(pa.binary()).to_pylist()], float)
+            s = np.array([distance.counts(t) @ ratio for t in batch.column(1).to_pylist()], float)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(np.interp(s, knots, values), 0.0, 1.0))], names=["doc_id", "score"])
 
     return finish(d.mapInArrow(score, "doc_id long, score double"), folds, held, threshold)
