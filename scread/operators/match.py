@@ -41,8 +41,8 @@ def padded_neighbours(s: Column) -> Column:
 
 def sheet_keys(sheet: DataFrame) -> DataFrame:
     """sequence, barcode: of rows with one sequence the last, by ``row_no`` if the sheet has it, else as read."""
-    order = F.col("row_no") if "row_no" in sheet.columns else F.monotonically_increasing_id()
-    return sheet.select("sequence", "barcode", order.alias("row_no")).groupBy("sequence").agg(F.max_by("barcode", "row_no").alias("barcode"))
+    last = F.max_by("barcode", "row_no") if "row_no" in sheet.columns else F.last("barcode")  # a sheet is one file, read in order
+    return sheet.groupBy("sequence").agg(last.alias("barcode"))
 
 
 def match_exact(df: DataFrame, seq: str, sheet: DataFrame, out: str) -> DataFrame:

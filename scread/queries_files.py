@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .operators import align, cells, intervals, sci, tables, umi
 from .plans.shared import folder
-from .queries import DEMUX, _CELLS, _fx, alignments, barcodes, counts, demuxed, features, query, reads, samples
+from .queries import DEMUX, _CELLS, _exons, _fx, alignments, barcodes, counts, demuxed, features, query, reads, samples
+from .queries_columns import _SPLICI, _genome
 from .sinks import fastq as fq_out
 from .sinks import tables as t_out
 from .sources import fastq, metrics
@@ -366,3 +367,30 @@ def collated_metrics(spark, d):
         (f"{star}-none", lambda s, g: metrics.read_salmon_meta(s, g, IN_PATH)),
     ]
     return whole.collate_metrics(spark, readers, folder(spark, "collated")).select("Sample", "Software", "N reads/sample", "N cells")
+
+
+@query("splici_files", _SPLICI + """ z AS (SELECT id, CASE strand WHEN '-' THEN reverse(translate(q,'ACGT','TGCA')) ELSE q END AS sequence FROM p),
+ t AS (SELECT DISTINCT cast(transcript AS VARCHAR) AS transcript_id, cast(gene AS VARCHAR) AS gene_id, 'S' AS status FROM ex UNION ALL SELECT id, cast(gene AS VARCHAR), 'U' FROM u)
+ SELECT 'fasta' AS kind, id AS name, sequence AS value, NULL AS status FROM z UNION ALL SELECT 't2g_3col', transcript_id, gene_id, status FROM t UNION ALL SELECT 't2g', transcript_id, CASE status WHEN 'U' THEN concat(gene_id,'-U') ELSE gene_id END, NULL FROM t""")
+def splici_files(spark, d):
+    """The spliced-and-intron reference as files: FASTA and both maps."""
+    path = folder(spark, "splici")
+    exons = _exons(spark, d).withColumn("transcript", F.col("transcript").cast("string"))
+    t_out.write_splici(*intervals.splici(exons, _genome(spark, d), 10, 5), path)
+    maps = {n: spark.read.option("sep", "\t").csv(f"{path}/{n}.tsv") for n in ("t2g_3col", "t2g")}
+    row = lambda df, kind, status: df.select(F.lit(kind).alias("kind"), df[df.columns[0]].alias("name"), df[df.columns[1]].alias("value"), status.alias("status"))
+    none = F.lit(None).cast("string")
+    return tables.union_all(row(t_in.read_fasta(spark, f"{path}/transcriptome_splici.fa"), "fasta", none), row(maps["t2g_3col"], "t2g_3col", F.col("_c2")), row(maps["t2g"], "t2g", none))
+
+
+@query("demux_stream", DEMUX + "SELECT pair_id, sample_name, CASE WHEN sample_name IS NOT NULL THEN concat(p7q,p5q,ligq,CASE WHEN length(ligq)=9 THEN 'G' ELSE '' END,rtq) END AS cell FROM dm")
+def demux_stream(spark, d):
+    """Reads that arrive as a stream of files, all that are there."""
+    from .streaming.demux import stream_demux
+
+    path, r = folder(spark, "stream"), reads(spark, d)
+    r.repartition(4).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    out = stream_demux(stream, barcodes(spark, d), samples(spark, d)).select("pair_id", "sample_name", "cell")
+    out.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+    return spark.read.parquet(f"{path}/out")
