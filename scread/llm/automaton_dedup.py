@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, unzipped, words, zipped
-from .passages import SPANS, covered, groups, keyed, repeated
+from .passages import SPANS, covered, groups, keyed, repeated, with_key
 
 WINDOW = 20
 GRAM = 6
@@ -89,16 +89,16 @@ def _decide(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
         edges = np.flatnonzero(np.r_[True, hs[1:] != hs[:-1]])
         crowded = {int(hs[a]) for a, n in zip(edges, np.diff(np.r_[edges, len(hs)])) if n > AUTOMATON_ROWS}
         group, automaton, seen, pending, before, windows = None, None, {}, [], None, None
-        for h, _, rk, lo, _, ctx in zip(*(c.to_pylist() for c in table.columns)):
+        for h, did, rk, lo, _, ctx in zip(*(c.to_pylist() for c in table.columns)):
             if h != group:
                 group, automaton, seen, pending, before = h, None, {}, [], None
                 windows = set() if h in crowded else None
-            if (rk, lo) == before:  # the row repeats in the table
+            if (did, rk, lo) == before:  # the row repeats in the table
                 continue
-            before = rk, lo
+            before = did, rk, lo
             n = seen.get(ctx)
             if n is not None:
-                found.append((rk, lo, lo + n - window))
+                found.append((did, rk, lo, lo + n - window))
                 continue
             symbols = ctx.split()
             seen[ctx] = len(symbols)
@@ -106,7 +106,7 @@ def _decide(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
                 for i in range(len(symbols) - window + 1):
                     key = hashlib.blake2b(b" ".join(symbols[i : i + window]), digest_size=16).digest()
                     if key in windows:
-                        found.append((rk, lo + i, lo + i))
+                        found.append((did, rk, lo + i, lo + i))
                     windows.add(key)
                 continue
             if pending:
@@ -120,13 +120,13 @@ def _decide(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
                     if m >= window:
                         first = i if first is None else first
                     elif first is not None:
-                        found.append((rk, lo + first - window + 1, lo + i - window))
+                        found.append((did, rk, lo + first - window + 1, lo + i - window))
                         first = None
                 if first is not None:
-                    found.append((rk, lo + first - window + 1, lo + len(symbols) - window))
+                    found.append((did, rk, lo + first - window + 1, lo + len(symbols) - window))
             pending.append(symbols)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int32(), pa.int32()))], names=["rk", "s", "e"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["did", "rk", "s", "e"])
 
 
 def _spans(docs_x: DataFrame, texts: DataFrame, window: int, gram: int, hot_rows: int) -> DataFrame:
@@ -139,8 +139,9 @@ def _spans(docs_x: DataFrame, texts: DataFrame, window: int, gram: int, hot_rows
         return ordered.mapInArrow(run, SPANS)
 
     def decide_hot(hashed: DataFrame) -> DataFrame:
-        first = hashed.groupBy("w1", "w2").agg(F.min(F.struct("did", "rk", "p")).alias("first"))
-        return hashed.join(first, ["w1", "w2"]).filter(F.struct("did", "rk", "p") != F.col("first")).select("rk", "p")
+        place = F.struct("did", "rk", "p")
+        first = hashed.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
+        return with_key(hashed, first).filter(place != F.col("first"))
 
     return repeated(docs_x, texts, "word", window, gram, decide, decide_hot, hot_rows)
 
@@ -175,7 +176,7 @@ def _removed(docs: DataFrame, window: int, gram: int, hot_rows: int, with_text:
     docs_x = keyed(docs)
     texts = zipped(docs_x)
     spans = _spans(docs_x, texts, window, gram, hot_rows)
-    joined = texts.join(spans, "rk", "left")
+    joined = texts.join(spans, ["did", "rk"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _digest(batches, window, with_text)
@@ -209,10 +210,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``docs`` with the words that ``remove_repeats`` takes out of ``text`` removed; all columns stay."""
-    kept = _removed(docs, window, gram, hot_rows, True).filter("n_removed > 0").dropDuplicates(["rk"]).select(F.col("rk").alias("__rk"), F.col("out").alias("__out"))
+    kept = _removed(docs, window, gram, hot_rows, True).filter("n_removed > 0").dropDuplicates(["did", "rk"]).select(F.col("did").alias("__did"), F.col("rk").alias("__rk"), F.col("out").alias("__out"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = F.xxhash64(F.col("doc_id").cast("long").isNull(), F.col("doc_id").cast("long"), text)
-    joined = docs.withColumn("__key", key).join(kept, F.col("__key") == F.col("__rk"), "left")
+    doc_id = F.col("doc_id").cast("long")
+    same = (F.coalesce(doc_id, F.lit(-(1 << 63))) == F.col("__did")) & (F.xxhash64(doc_id.isNull(), doc_id, text) == F.col("__rk"))
+    joined = docs.join(kept, same, "left")
     return joined.select(*[F.coalesce("__out", docs[c]).alias(c) if c == "text" else docs[c] for c in docs.columns])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import string_parts, unzipped, zipped
-from .passages import SPANS, covered, groups, keyed, repeated
+from .passages import SPANS, covered, groups, keyed, repeated, with_key
 
 LENGTH = 200
 GRAM = 32
@@ -73,11 +73,11 @@ def repeated_columns(data: np.ndarray, begin: np.ndarray, size: np.ndarray, off:
 
 def _decide(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for table in groups(batches, BATCH_ROWS):
-        h, _, rk, lo, off, same = (table.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 6))
+        h, did, rk, lo, off, same = (table.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 6))
         data, offsets = string_parts(table.column(5))
         # identical rows are one place; equal pieces of a group go through the construction once
-        ordered = np.lexsort((lo, rk, same, h))
-        key = np.stack([h, same, rk, lo])[:, ordered]
+        ordered = np.lexsort((lo, rk, did, same, h))
+        key = np.stack([h, same, did, rk, lo])[:, ordered]
         place = np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)]
         ordered, key = ordered[place], key[:, place]
         piece = np.r_[True, (key[:2, 1:] != key[:2, :-1]).any(0)]
@@ -87,10 +87,10 @@ def _decide(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         group = np.cumsum(np.r_[True, h[one][1:] != h[one][:-1]]) - 1
         pieces_of = np.bincount(group)
         begin, size = offsets[one], offsets[one + 1] - offsets[one]
-        spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        spans: list[tuple[np.ndarray, ...]] = []
         whole = copies[number] > 1
         rows = ordered[whole]
-        spans.append((rk[rows], lo[rows], lo[rows] + (offsets[rows + 1] - offsets[rows]) - length))
+        spans.append((did[rows], rk[rows], lo[rows], lo[rows] + (offsets[rows + 1] - offsets[rows]) - length))
         # only pieces that differ from the others of their group and have some are left
         todo = np.flatnonzero(pieces_of[group] > 1)
         for a, b in _cuts(group[todo]):
@@ -103,10 +103,10 @@ def _decide(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             _, e = np.nonzero(edge == -1)
             shift = off[one[part]].astype(np.int64).max() - off[one[part]].astype(np.int64)
             source = one[part][r]
-            spans.append((rk[source], lo[source] + s - shift[r], lo[source] + e - 1 - shift[r]))
+            spans.append((did[source], rk[source], lo[source] + s - shift[r], lo[source] + e - 1 - shift[r]))
         out = [np.concatenate(c) for c in zip(*spans)]
         if len(out[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1].astype(np.int32)), pa.array(out[2].astype(np.int32))], names=["rk", "s", "e"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1]), pa.array(out[2].astype(np.int32)), pa.array(out[3].astype(np.int32))], names=["did", "rk", "s", "e"])
 
 
 def _cuts(group: np.ndarray) -> list[tuple[int, int]]:
@@ -151,8 +151,9 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
         return same.repartition("h").sortWithinPartitions("h").mapInArrow(run, SPANS)
 
     def decide_hot(hashed: DataFrame) -> DataFrame:
-        twice = hashed.groupBy("w1", "w2").agg(F.min(F.struct("rk", "p")).alias("a"), F.max(F.struct("rk", "p")).alias("b")).filter("a != b")
-        return hashed.join(twice.select("w1", "w2"), ["w1", "w2"]).select("rk", "p")
+        place = F.struct("did", "rk", "p")
+        twice = hashed.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("a"), F.max(place).alias("b")).filter("a != b")
+        return with_key(hashed, twice.select("w1", "w2", "n"))
 
     docs_x = keyed(docs)
     texts = zipped(docs_x)
@@ -161,7 +162,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _digest(batches, length)
 
-    joined = texts.join(spans, "rk", "left").select("did", "text", "spans")
+    joined = texts.join(spans, ["did", "rk"], "left").select("did", "text", "spans")
     out = joined.mapInArrow(run, "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.select(F.when(F.col("did") != -(1 << 63), F.col("did")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 

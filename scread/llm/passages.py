@@ -13,16 +13,17 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, grams, mix64, sliding_min, stage, unzipped, words
 
-SPANS = "rk long, s int, e int"
+SPANS = "did long, rk long, s int, e int"
+CROWD, BROADCAST_ROWS = 20_000, 200_000
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """rk, did, text: rows with equal id and text are one document; a null id comes before all others."""
+    """rk, did, text: rows with equal id and text are one document, told apart by did and rk; a null id comes before all others."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     return d.select(
@@ -69,7 +70,7 @@ def elected(keys: np.ndarray, bounds: np.ndarray, length: int, w: int) -> tuple[
 def _sketch(batches: Iterator[pa.RecordBatch], unit: str, length: int, k: int) -> Iterator[pa.RecordBatch]:
     w = length - k + 1
     for batch in batches:
-        for a, b, data, offsets in blocks(batch.column(1)):
+        for a, b, data, offsets in blocks(batch.column(2)):
             if unit == "byte":
                 keys, bounds = byte_grams(data, k), offsets
             else:
@@ -84,7 +85,8 @@ def _sketch(batches: Iterator[pa.RecordBatch], unit: str, length: int, k: int) -
             cuts = pa.array(np.r_[0, np.cumsum(n[rows])].astype(np.int32))
             base = bounds[doc]
             lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (keys[at].view(np.int64), (first - base) << 24 | (last - first) << 12 | (at - first))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows + a)), *lists], names=["rk", "h", "x"])
+            ids = [batch.column(i).take(pa.array(rows + a)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*ids, *lists], names=["rk", "did", "h", "x"])
 
 
 def _unpacked(hits: pa.StructArray) -> tuple[np.ndarray, ...]:
@@ -139,27 +141,45 @@ def _window_hashes(batches: Iterator[pa.RecordBatch], unit: str, length: int) ->
 
 
 def repeated(docs_x: DataFrame, texts: DataFrame, unit: str, length: int, k: int, decide: Callable, decide_hot: Callable, hot_rows: int) -> DataFrame:
-    """rk and ``spans`` (array of (s, e), inclusive window starts) of all documents with repeated windows.
+    """did, rk and ``spans`` (array of (s, e), inclusive window starts) of all documents with repeated windows.
 
-    ``texts`` is ``docs_x`` with zipped texts: the same frame for every join on rk, so that one shuffle serves all.
-    ``decide`` maps the sorted contexts of anchor groups to spans in ``mapInArrow``; ``decide_hot`` maps a
+    ``texts`` is ``docs_x`` with zipped texts: the same frame for every join on its keys, so that one shuffle serves all.
+    ``decide`` maps the sorted contexts of anchor groups to spans in ``mapInArrow``; ``decide_hot`` maps a staged
     frame of window hashes (w1, w2, did, rk, p) to the repeated ones.
     """
-    sketch = stage(docs_x.select("rk", "text").mapInArrow(partial(_sketch, unit=unit, length=length, k=k), "rk long, h array<long>, x array<long>"), "passages-sketch")
+    schema = "rk long, did long, h array<long>, x array<long>"
+    sketch = stage(docs_x.select("rk", "did", "text").mapInArrow(partial(_sketch, unit=unit, length=length, k=k), schema), "passages-sketch")
     counts = stage(sketch.select(F.explode("h").alias("h")).groupBy("h").count().filter("count > 1"), "passages-counts")
     # first window, number of further ones and place of the gram in one number: 40, 12 and 12 bits
-    each = sketch.select("rk", F.explode(F.arrays_zip("h", "x")).alias("x")).select("rk", "x.h", "x.x")
+    each = sketch.select("did", "rk", F.explode(F.arrays_zip("h", "x")).alias("x")).select("did", "rk", "x.h", "x.x")
 
     def hits(which) -> DataFrame:
-        found = each.join(counts.filter(which).select("h"), "h").groupBy("rk").agg(F.collect_list(F.struct("h", "x")).alias("hits"))
-        return texts.join(found, "rk").select("rk", "did", "text", "hits")
+        found = each.join(counts.filter(which).select("h"), "h").groupBy("did", "rk").agg(F.collect_list(F.struct("h", "x")).alias("hits"))
+        return texts.join(found, ["did", "rk"]).select("rk", "did", "text", "hits")
 
     cold = hits(F.col("count") <= hot_rows).mapInArrow(partial(_contexts, unit=unit, length=length), "h long, did long, rk long, lo int, off int, ctx binary")
     spans = decide(cold)
     if counts.filter(F.col("count") > hot_rows).limit(1).count():
         hashed = hits(F.col("count") > hot_rows).mapInArrow(partial(_window_hashes, unit=unit, length=length), "w1 long, w2 long, did long, rk long, p int")
-        spans = spans.unionByName(decide_hot(hashed).select("rk", F.col("p").alias("s"), F.col("p").alias("e")))
-    return spans.groupBy("rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+        found = decide_hot(stage(hashed, "passages-windows")).select("did", "rk", "p")
+        # neighbouring windows are one span
+        run = F.col("p") - F.dense_rank().over(Window.partitionBy("did", "rk").orderBy("p"))
+        runs = found.withColumn("run", run).groupBy("did", "rk", "run").agg(F.min("p").alias("s"), F.max("p").alias("e"))
+        spans = spans.unionByName(runs.select("did", "rk", "s", "e"))
+    return spans.groupBy("did", "rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+
+
+def with_key(hashed: DataFrame, keys: DataFrame) -> DataFrame:
+    """``hashed`` joined with ``keys`` (w1, w2, n, ...) on the window. Windows that more than ``CROWD`` rows hold are few:
+    these keys are broadcast, behind a check of their number, so that no task gets all rows of one window.
+    """
+    on = ["w1", "w2"]
+    keys = stage(keys, "passages-keys")
+    crowded = keys.filter(F.col("n") > CROWD)
+    if not 0 < crowded.count() <= BROADCAST_ROWS:
+        return hashed.join(keys, on)
+    rest = hashed.join(F.broadcast(crowded.select(*on)), on, "left_anti").join(keys.filter(F.col("n") <= CROWD), on)
+    return hashed.join(F.broadcast(crowded), on).unionByName(rest)
 
 
 def groups(batches: Iterator[pa.RecordBatch], least_rows: int) -> Iterator[pa.Table]:
