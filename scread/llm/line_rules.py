@@ -14,17 +14,19 @@ from .common import n_words, stage
 
 SPACES = " \t\n\x0b\x0c\r"
 RUN = r"[\x20\x09-\x0D]+"
-MIN_DOCS = 100
-DOC_SHARE = 0.01
+MIN_DOCS = 10
+DOC_SHARE = 0.0
 LEAST_LEFT = 0.3
+LONG_WORDS = 1 << 16
 
 
 def _repeated_words(df: DataFrame) -> DataFrame:
     """Adds ``n_repeat_words`` from ``ws``: words in 3-word windows found twice or more in the text.
 
     A window's hash and place share one long, so that one primitive sort brings equal windows together;
-    the place takes as many bits as the text needs. Arrays reach the lambdas as arguments, never as outer
-    references that would be evaluated for each element.
+    the place takes as many bits as the text needs. Texts of more than ``LONG_WORDS`` words, for which too few
+    bits of the hash would be left, sort whole hashes with their places instead. Arrays reach the lambdas as
+    arguments, never as outer references that would be evaluated for each element.
     """
     hashed = F.transform("ws", lambda w: F.xxhash64(w))
     df = df.withColumn("hw", hashed)
@@ -37,14 +39,17 @@ def _repeated_words(df: DataFrame) -> DataFrame:
         F.when(F.col("n_words") > 2, F.sequence(F.lit(0).cast("long"), F.col("n_words") - 3)).otherwise(F.array().cast("array<bigint>")),
         lambda h, i: F.coalesce(F.call_function("shiftleft", h, F.col("bits")).bitwiseOR(i), F.lit(0).cast("long")),
     )
-    df = df.withColumn("sorted", F.sort_array(packed))
+    long = F.col("n_words") > LONG_WORDS
+    whole = F.sort_array(F.transform("tri", lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("p"))))
+    df = df.withColumn("sorted", F.when(~long, F.sort_array(packed))).withColumn("whole", F.when(long, whole))
     later = F.expr("slice(sorted, 2, greatest(size(sorted), 1))")
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) - 1
 
     def twins(keep: str) -> Column:
         same = lambda x, y: F.call_function("shiftright", x, F.col("bits")) == F.call_function("shiftright", y, F.col("bits"))
         pick = F.zip_with("sorted", later, lambda x, y: F.when(same(x, y), (x if keep == "x" else y).bitwiseAND(F.col("mask"))))
-        return F.filter(pick, lambda v: v.isNotNull())
+        other = F.zip_with("whole", F.expr("slice(whole, 2, greatest(size(whole), 1))"), lambda x, y: F.when(x["h"] == y["h"], (x if keep == "x" else y)["p"]))
+        return F.filter(F.when(long, other).otherwise(pick), lambda v: v.isNotNull())
 
     df = df.withColumn("mask", mask).withColumn("firsts", twins("x"))
     places = F.when(F.size("firsts") > 0, F.sort_array(F.array_union("firsts", twins("y")))).otherwise(F.array().cast("array<bigint>"))
@@ -84,31 +89,37 @@ def base_rules(docs: DataFrame) -> DataFrame:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """host, key (hash of host and normalised line), rk, words: one row per distinct line of a document."""
+    """host, key (hash of host and normalised line), doc_id, rk, words: one row per distinct line of a document."""
     d = _keyed(docs)
     plain = F.regexp_replace(F.lower("text"), r"[\x20\x09\x0B-\x0D]+", " ")
-    lines = d.select("rk", F.coalesce("source", F.lit("\0")).alias("host"), F.posexplode(F.split(plain, "\n")).alias("pos", "line"))
+    lines = d.select("doc_id", "rk", F.coalesce("source", F.lit("\0")).alias("host"), F.posexplode(F.split(plain, "\n")).alias("pos", "line"))
     lines = lines.withColumn("line", F.btrim("line", F.lit(" "))).filter("line != ''")
-    lines = lines.select("host", F.xxhash64("host", "line").alias("key"), "rk", "pos", n_words(F.col("line")).alias("words"))
+    lines = lines.select("host", F.xxhash64("host", "line").alias("key"), "doc_id", "rk", "pos", n_words(F.col("line")).alias("words"))
     # repeated rows are one document: its lines count once each
-    lines = lines.repartition("host", "key", "rk").dropDuplicates(["host", "key", "rk", "pos"])
-    return lines.groupBy("host", "key", "rk").agg(F.sum("words").alias("words"))
+    own = ["host", "key", "doc_id", "rk"]
+    lines = lines.repartition(*own).dropDuplicates([*own, "pos"])
+    return lines.groupBy(*own).agg(F.sum("words").alias("words"))
 
 
 def line_rules(docs: DataFrame, min_docs: int = MIN_DOCS, doc_share: float = DOC_SHARE, least_left: float = LEAST_LEFT) -> DataFrame:
     """Base columns, ``n_removed_words`` and ``kept`` for every row of ``docs`` (doc_id, source, text).
 
-    A host (the source; null is a host of its own) removes a line found in more than ``min_docs`` and more
-    than ``doc_share`` of its distinct documents. A document is kept if it passes the base rules and more
-    than ``least_left`` of its words are left. Null text is empty. Rows that repeat with equal id, source
-    and text are one document with one verdict. Extra columns are not read; an empty table gives no rows.
+    A host (the source; null is a host of its own) removes a line found in more than ``min_docs`` of its distinct
+    documents and, if ``doc_share`` is set, in more than that share of them. A document is kept if it passes the
+    base rules and more than ``least_left`` of its words are left. Null text is empty. Rows that repeat with equal
+    id, source and text are one document with one verdict; rows are told apart by id and a hash of the rest. Extra
+    columns are not read; an empty table gives no rows.
     """
     lines = stage(document_lines(docs), "line-rules")
-    hosts = _keyed(docs).groupBy(F.coalesce("source", F.lit("\0")).alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
     frequent = lines.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > min_docs)
-    frequent = frequent.join(hosts, "host").filter(F.col("n_docs") > doc_share * F.col("host_docs")).select("host", "key")
-    removed = lines.join(frequent, ["host", "key"]).groupBy("rk").agg(F.sum("words").alias("n_removed_words"))
-    out = base_rules(docs).join(removed, "rk", "left").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
+    if doc_share:
+        hosts = _keyed(docs).select(F.coalesce("source", F.lit("\0")).alias("host"), "doc_id", "rk").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+        frequent = frequent.join(hosts, "host").filter(F.col("n_docs") > doc_share * F.col("host_docs"))
+    removed = lines.join(frequent.select("host", "key"), ["host", "key"]).groupBy("doc_id", "rk").agg(F.sum("words").alias("n_removed_words"))
+    removed = removed.withColumnsRenamed({"doc_id": "__id", "rk": "__rk"})
+    base = base_rules(docs)
+    out = base.join(removed, (base["rk"] == F.col("__rk")) & base["doc_id"].eqNullSafe(F.col("__id")), "left").drop("__id", "__rk")
+    out = out.withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
     left = F.col("n_words") - F.col("n_removed_words") > least_left * F.col("n_words")
     return out.withColumn("kept", ~F.col("base_failed") & left).drop("rk")
 
@@ -128,8 +139,7 @@ p AS (SELECT doc_id, host, text, count(DISTINCT q) AS n_repeat_words
 l AS (SELECT doc_id, host, text, trim(x, ' ') AS line FROM (SELECT doc_id, host, text,
   unnest(string_split(regexp_replace(lower(text), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))) AS x FROM d)),
 c AS (SELECT host, line, count(DISTINCT (doc_id, text)) AS n FROM l WHERE line <> '' GROUP BY ALL),
-h AS (SELECT host, count(*) AS m FROM (SELECT coalesce(source, chr(1)) AS host FROM documents) GROUP BY 1),
-f AS (SELECT host, line FROM c JOIN h USING (host) WHERE n > 100 AND n > 0.01 * m),
+f AS (SELECT host, line FROM c WHERE n > 10),
 x AS (SELECT doc_id, host, text, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS n_removed_words
   FROM l JOIN f USING (host, line) GROUP BY ALL),
 b AS (SELECT o.doc_id, len(w.ws) AS n_words, length(array_to_string(w.ws, '')) AS word_chars,

@@ -169,6 +169,33 @@ def test_mixing(spark):
     assert sum(len(SPLIT(r["text"])) for r in mixed.collect()) == pytest.approx(sum(v[2] for v in by.values()), rel=0.05)
 
 
+def test_mixed_documents_take_what_mix_takes(spark):
+    rows = [(1, f"a b {i % 3}", "en", f"s{i % 3}") for i in range(30)] + [(2, "", "en", "s0"), (None, None, "en", "s1")]
+    d = docs(spark, rows)
+    want, got_ = {}, {}
+    for r in mixing.mix(d).collect():
+        k = r["doc_id"], r["source_key"], r["size"]
+        want[k] = want.get(k, 0) + r["copies"]
+    for r in mixing.mixed_documents(d).collect():
+        k = r["doc_id"], "z" if r["source"] is None else "a" + r["source"], len(SPLIT(r["text"]))
+        got_[k] = got_.get(k, 0) + 1
+    assert got_ == {k: v for k, v in want.items() if v} and want[2, "as0", 0] == 1
+
+
+def test_fit_goes_above_where_that_is_nearer():
+    assert mixing.fit([3], [10], 50) == [17] and mixing.fit([3], [10], 49) == [16]
+    rng = random.Random(9)
+    for _ in range(40):
+        lengths = sorted(rng.sample(range(5, 90), 4))
+        counts = [rng.randrange(1, 3) for _ in lengths]
+        goal = int(rng.uniform(0, 2 * sum(a * b for a, b in zip(lengths, counts))) + 0.5)
+        sums = {0}
+        for a, n in zip(lengths, counts):
+            sums = {s + a * k for s in sums for k in range(2 * n + 1)}
+        taken = sum(a * c for a, c in zip(lengths, mixing.fit(lengths, counts, goal)))
+        assert abs(taken - goal) == min(abs(s - goal) for s in sums)
+
+
 def test_fit_reaches_every_sum_it_can():
     rng = random.Random(4)
     for _ in range(60):
@@ -246,9 +273,13 @@ def test_line_rules(spark):
     assert (out[2]["n_words"], out[2]["base_failed"], out[7]["n_symbols"]) == (0, True, 4)
     assert (out[5]["n_words"], out[5]["base_failed"]) == (30_000, False)  # the cycle is 30287 words long
     assert line_rules.line_rules(d).count() == d.count()
+    again = d.unionByName(d).unionByName(d)  # repeated rows are one document, so no limit moves
+    assert got(line_rules.line_rules(again, min_docs=29).distinct(), "doc_id", "n_removed_words", "kept") == got(line_rules.line_rules(d, min_docs=29).distinct(), "doc_id", "n_removed_words", "kept")
 
 
-def test_repeated_words_brute_force(spark):
+@pytest.mark.parametrize("long_words", [1 << 16, 20])
+def test_repeated_words_brute_force(spark, long_words, monkeypatch):
+    monkeypatch.setattr(line_rules, "LONG_WORDS", long_words)
     d = random_docs(spark, 6)
     rows = {r["doc_id"]: r["text"] or "" for r in d.collect()}
     for r in line_rules.base_rules(d).collect():
