@@ -12,7 +12,8 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
     """``node`` and ``component`` (its smallest node) for every node of ``edges(a, b)``; loops and repeats do no harm.
 
     Each round links every larger neighbour of a node to its smallest one, then every smaller one (large and
-    small star). Rounds grow with the logarithm of the longest path; each is written to the shared folder.
+    small star). Rounds grow with the logarithm of the longest path; each is written to the shared folder. The
+    caller may ``discard`` the result when nothing will read it again.
     """
 
     def both(e: DataFrame) -> DataFrame:
@@ -36,4 +37,6 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
             break
         before = now
     nodes = e.select(F.col("b").alias("node"), F.col("a").alias("component"))
-    return nodes.union(e.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+    nodes = nodes.union(e.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+    nodes._staged = e._staged
+    return nodes

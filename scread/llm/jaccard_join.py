@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, grams, mix64, stage, unzipped, words, zipped
+from .common import blocks, discard, grams, mix64, stage, unzipped, words, zipped
 from .components import connected
 from .passages import groups
 
@@ -92,7 +92,7 @@ class RTree:
     def __init__(self, points: np.ndarray, sizes: np.ndarray, fan: int = 16, threshold: tuple[int, int] = THRESHOLD, group: np.ndarray | None = None):
         group = np.zeros(len(points), np.int64) if group is None else group
         # tiles: by group and set size, then by the coordinate with the largest spread
-        spread = int(np.argmax(points.var(0))) if len(points) else 0
+        spread = int(np.argmax(points.max(0) - points.min(0))) if len(points) else 0
         slab = max(1, int(np.ceil(np.sqrt(len(points) / fan)))) * fan
         tile = np.empty(len(points), np.int64)
         tile[np.lexsort((sizes, group))] = np.arange(len(points)) // slab
@@ -160,7 +160,7 @@ def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _bucket_edges(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Of each bucket the components of the pairs that survive the bound, as edges to their first nodes."""
-    for table in groups(batches, 20_000):
+    for table in groups(batches, 6_000):
         key, node, n = (table.column(i).to_numpy() for i in range(3))
         n, number = n.astype(np.int64), np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
         points = unpacked_counts(table.column(3).combine_chunks())
@@ -267,8 +267,8 @@ def _row_keys(docs: DataFrame) -> tuple:
     return F.coalesce(doc_id, F.lit(NO_ID)), F.xxhash64(doc_id.isNull(), doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def linked_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_docs: int = CLUSTER_DOCS, ngram: int = NGRAM, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """did, rk (the row's keys), n (its set's size) and first (did, rk of its component's first row) for every row of ``docs``."""
+def linked_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_docs: int = CLUSTER_DOCS, ngram: int = NGRAM, threshold: tuple[int, int] = THRESHOLD) -> tuple[DataFrame, list[DataFrame]]:
+    """did, rk (the row's keys), n (its set's size) and first (did, rk of its component's first row) for every row of ``docs``; and the staged tables that hold it."""
     did, rk = _row_keys(docs)
     docs_x = docs.select(did.alias("did"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), rk.alias("rk"))
     frequent = _frequent(docs_x, sample_docs, ngram)
@@ -303,6 +303,7 @@ def linked_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_docs: i
     chunks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(cluster_docs)), F.ceil(F.sum("n") / F.lit(CLUSTER_SHINGLES))).cast("int")
     members = members.join(members.groupBy("component").agg(chunks.alias("chunks")), "component")
     members = stage(_in_pairs(members, ["component"]).select("did", "rk", "node", "task"), "jaccard-members")
+    discard(clusters)
     texts = docs_x.select("did", "rk", "text")
     if members.count() <= BROADCAST_ROWS:  # texts that no cluster holds then need no shuffle
         shipped = zipped(texts.join(F.broadcast(members), ["did", "rk"]).select("task", "node", "text"))
@@ -311,11 +312,12 @@ def linked_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, cluster_docs: i
     # rows that repeat bring a text more than once
     shipped = shipped.repartition("task").dropDuplicates(["task", "node"]).sortWithinPartitions("task", "node")
     links = connected(shipped.mapInArrow(verified_edges, "a long, b long"), "jaccard-links")
+    discard(members)
 
     owner = classes.select("node", *same, "first").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = owner.select(*same, "component").join(owner.groupBy("component").agg(F.min("first").alias("first")), "component")
     out = sets.select("did", "rk", *same).join(named.select(*same, "first"), same, "left")
-    return out.select("did", "rk", "n", F.coalesce("first", F.struct("did", "rk")).alias("first"))
+    return out.select("did", "rk", "n", F.coalesce("first", F.struct("did", "rk")).alias("first")), [sets, classes, links]
 
 
 def _in_pairs(members: DataFrame, key: list[str]) -> DataFrame:
@@ -337,7 +339,7 @@ def link_components(docs: DataFrame, **options) -> DataFrame:
     dropped: buckets of more than ``BUCKET_SETS`` different sets, and clusters of more than ``cluster_docs`` or
     of ``CLUSTER_SHINGLES`` shingles, are searched in pairs of chunks.
     """
-    out = linked_rows(docs, **options)
+    out, _ = linked_rows(docs, **options)
     real = lambda c: F.when(c != NO_ID, c)
     return out.select(real(F.col("did")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real(F.col("first.did")).alias("component_id"))
 
@@ -350,9 +352,12 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     a text goes only if another of its component stays.
     """
     did, rk = _row_keys(docs)
-    rows = linked_rows(docs, **options).filter("n > 0").groupBy("did", "rk", "first").agg(F.count(F.lit(1)).alias("rows"))
+    linked, held = linked_rows(docs, **options)
+    rows = linked.filter("n > 0").groupBy("did", "rk", "first").agg(F.count(F.lit(1)).alias("rows"))
     verdict = rows.withColumn("goes", F.struct("did", "rk") != F.col("first")).filter("goes or rows > 1").select(F.col("did").alias("__did"), F.col("rk").alias("__rk"), "goes")
     verdict = stage(verdict.withColumnRenamed("goes", "__goes"), "jaccard-verdicts")
+    for table in held:
+        discard(table)
     if verdict.count() <= BROADCAST_ROWS:
         verdict = F.broadcast(verdict)
     judged = docs.join(verdict, (did == F.col("__did")) & (rk == F.col("__rk")), "left")
