@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-FIT_ROWS = 20_000
+FIT_ROWS, MOST_FIT_ROWS, FIT_SHARE = 20_000, 60_000, 0.05
 BRANCH = 8
 LEAF_ROWS = 60
 BUCKET_LEAVES = 16
@@ -160,6 +160,7 @@ def search(vectors: DataFrame, is_query, k: int = 5, recall: float = RECALL, fit
 
 
 def _search_dim(uniq: DataFrame, asked: DataFrame, n: int, k: int, recall: float, fit_rows: int, calibration: int) -> DataFrame:
+    fit_rows = min(max(fit_rows, int(FIT_SHARE * n)), max(fit_rows, MOST_FIT_ROWS))
     share = min(1.0, fit_rows / n)
     by_hash = lambda c, part: F.pmod(F.xxhash64(c), F.lit(1 << 30)) < max(1, int(part * (1 << 30)))
     sample = uniq.filter(by_hash("key", share)).select("key", "vec").orderBy("key").limit(2 * fit_rows).toPandas()["vec"]
@@ -175,7 +176,7 @@ def _search_dim(uniq: DataFrame, asked: DataFrame, n: int, k: int, recall: float
     index = stage(uniq.select("key", "vec", "ids").mapInPandas(place, "key string, vec array<double>, ids array<long>, leaf long"), "ann-index")
     sizes = {r["leaf"]: (r["n"], r["rows"]) for r in index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("rows")).collect()}
 
-    # calibration: true neighbours of some queries, by brute force over all rows in blocks
+    # calibration: true neighbours of some queries but themselves, by brute force over all rows in blocks
     probe = asked.dropDuplicates(["key"]).orderBy(F.xxhash64("key")).limit(calibration).select("key", "vec").toPandas()
     probe_keys, probe_vecs = probe["key"].tolist(), (np.stack([np.asarray(v, np.float64) for v in probe["vec"]]) if len(probe) else np.zeros((0, 1)))
 
@@ -183,10 +184,11 @@ def _search_dim(uniq: DataFrame, asked: DataFrame, n: int, k: int, recall: float
         for batch in batches:
             if len(batch) and len(probe_vecs):
                 q, r, s = _top(probe_vecs, np.stack([np.asarray(v, np.float64) for v in batch["vec"]]), k + 1)
-                yield pd.DataFrame({"q": q, "score": s, "leaf": batch["leaf"].to_numpy()[r]})
+                other = batch["key"].to_numpy()[r] != np.array(probe_keys, object)[q]
+                yield pd.DataFrame({"q": q, "score": s, "leaf": batch["leaf"].to_numpy()[r]})[other]
 
     best = Window.partitionBy("q").orderBy(F.desc("score"), "leaf")
-    true = index.mapInPandas(truth, "q long, score double, leaf long").withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).toPandas()
+    true = index.mapInPandas(truth, "q long, score double, leaf long").withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k).toPandas()
     needed = []
     for q in range(len(probe_keys)):
         place_of = {leaf: i for i, leaf in enumerate(tree.visits(probe_vecs[q] / np.linalg.norm(probe_vecs[q])))}
@@ -196,7 +198,6 @@ def _search_dim(uniq: DataFrame, asked: DataFrame, n: int, k: int, recall: float
         visits *= 2
 
     # a query goes once to each bucket of neighbouring leaves that it visits, with the list of these leaves
-    q_blocks = max(1, -(-asked.select("key").distinct().count() // BLOCK_ROWS))
     rows_in: dict[int, int] = {}
     for leaf, (m, _) in sizes.items():
         rows_in[leaf // BUCKET_LEAVES] = rows_in.get(leaf // BUCKET_LEAVES, 0) + m
@@ -221,11 +222,15 @@ def _search_dim(uniq: DataFrame, asked: DataFrame, n: int, k: int, recall: float
                 yield pd.DataFrame({"key": part["key"].to_numpy()[i], "vec": part["vec"].to_numpy()[i], "bucket": bucket, "chunk": chunk, "leaves": leaves})
 
     routed = asked.select("key", "vec").dropDuplicates(["key"]).mapInPandas(route, "key string, vec array<double>, bucket long, chunk long, leaves array<long>")
-    routed = routed.withColumn("block", F.pmod(F.xxhash64("key", F.lit(11)), F.lit(q_blocks)))
-    spread = uniq.sparkSession.createDataFrame(pd.DataFrame({"bucket": list(chunks), "chunks": list(chunks.values())}), "bucket long, chunks long")
-    chunked = index.withColumn("bucket", F.floor(F.col("leaf") / BUCKET_LEAVES)).join(F.broadcast(spread), "bucket")
-    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(9)), "chunks")).drop("chunks")
-    chunked = chunked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
+    routed = stage(routed, "ann-routed")
+    # the queries of a bucket meet its rows in blocks; a bucket's rows are repeated as often as its queries fill blocks
+    asks = {r["bucket"]: -(-r["n"] // BLOCK_ROWS) for r in routed.filter("chunk = 0").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    dealt = pd.DataFrame({"bucket": list(asks), "chunks": [chunks[b] for b in asks], "blocks": list(asks.values())}, dtype="int64")
+    spread = F.broadcast(uniq.sparkSession.createDataFrame(dealt, "bucket long, chunks long, blocks long"))  # a row per bucket, whose number parameters bound
+    routed = routed.join(spread.drop("chunks"), "bucket").withColumn("block", F.pmod(F.xxhash64("key", F.lit(11)), "blocks")).drop("blocks")
+    chunked = index.withColumn("bucket", F.floor(F.col("leaf") / BUCKET_LEAVES)).join(spread, "bucket")
+    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(9)), "chunks"))
+    chunked = chunked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("chunks", "blocks")
 
     def scan(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
