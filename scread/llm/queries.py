@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_tree, automaton_dedup, bwt_dedup, chat, jaccard_join, line_rules, mixing, packing, quality, toxicity
+from . import ann_tree, automaton_dedup, bwt_dedup, byte_bpe, chat, jaccard_join, line_rules, mixing, packing, quality, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_packing": packing.op8_packing,
         "op9_substring_dedup": automaton_dedup.op9_substring_dedup,
         "op10_chat_format": chat.op10_chat_format,
+        "op11_byte_bpe": byte_bpe.op11_byte_bpe,
     }
 
 
