@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_tree, automaton_dedup, bwt_dedup, byte_bpe, chat, jaccard_join, line_rules, mixing, packing, quality, toxicity
+from . import ann_tree, automaton_dedup, bwt_dedup, byte_bpe, chat, hard_negatives, jaccard_join, line_rules, mixing, packing, quality, toxicity
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_substring_dedup": automaton_dedup.op9_substring_dedup,
         "op10_chat_format": chat.op10_chat_format,
         "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     }
 
 
@@ -28,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_jaccard_join": jaccard_join.OP7_SQL,
         "op9_substring_dedup": automaton_dedup.OP9_SQL,
         "op10_chat_format": chat.OP10_SQL,
+        "op12_hard_negatives": hard_negatives.OP12_SQL,
     }
