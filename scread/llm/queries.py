@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_tree, automaton_dedup, bwt_dedup, byte_bpe, chat, hard_negatives, jaccard_join, line_rules, mixing, packing, quality, toxicity
+from . import ann_tree, automaton_dedup, bwt_dedup, byte_bpe, chat, hard_negatives, jaccard_join, line_rules, mixing, packing, quality, toxicity, turn_repair
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_chat_format": chat.op10_chat_format,
         "op11_byte_bpe": byte_bpe.op11_byte_bpe,
         "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+        "op13_turn_repair": turn_repair.op13_turn_repair,
     }
 
 
