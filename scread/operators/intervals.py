@@ -122,36 +122,44 @@ def make_unique(df: DataFrame, key: str, order, out: str, suffix: str = "-I") ->
 
 
 def chunk_contigs(contigs: DataFrame, size: int = CHUNK) -> DataFrame:
-    """contig, chunk, chunk_seq: sequences in pieces of fixed length, so that no row holds a chromosome."""
-    at = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.length("sequence") / size).cast("int") - 1, F.lit(0))))
-    return contigs.select("contig", "sequence", at.alias("chunk")).select("contig", "chunk", F.substring("sequence", F.col("chunk") * size + 1, F.lit(size)).alias("chunk_seq"))
+    """contig, chunk, at (bases before), chunk_seq: sequences in pieces of fixed length, as the chunked scan gives them."""
+    n = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.length("sequence") / size).cast("int") - 1, F.lit(0))))
+    pieces = contigs.select("contig", "sequence", n.alias("chunk"))
+    return pieces.select("contig", F.col("chunk").cast("long").alias("chunk"), (F.col("chunk").cast("long") * size).alias("at"), F.substring("sequence", F.col("chunk") * size + 1, F.lit(size)).alias("chunk_seq"))
 
 
 def extract_seqs(ranges: DataFrame, chunks: DataFrame, size: int = CHUNK) -> DataFrame:
-    """id and sequence of ranges (id, contig, f_start, f_end, strand, part): parts in order, reverse strand complemented."""
-    each = ranges.withColumn("chunk", F.explode(F.sequence(F.floor((F.col("f_start") - 1) / size).cast("int"), F.floor((F.col("f_end") - 1) / size).cast("int"))))
+    """id and sequence of ranges (id, contig, f_start, f_end, strand, part): parts in order, reverse strand complemented.
+
+    ``chunks`` has contig, chunk, at and chunk_seq; a chunk may come in several rows.
+    """
+    each = ranges.withColumn("chunk", F.explode(F.sequence(F.floor((F.col("f_start") - 1) / size), F.floor((F.col("f_end") - 1) / size))))
     j = each.join(chunks, ["contig", "chunk"])
-    a = F.greatest(F.col("f_start") - F.col("chunk") * size, F.lit(1)).cast("int")
-    b = F.least(F.col("f_end") - F.col("chunk") * size, F.lit(size)).cast("int")
+    a = F.greatest(F.col("f_start") - F.col("at"), F.lit(1)).cast("int")
+    b = F.least(F.col("f_end") - F.col("at"), F.length("chunk_seq")).cast("int")
     j = j.withColumn("piece", F.substring("chunk_seq", a, b - a + 1))
-    joined = j.groupBy("id", "strand").agg(F.array_sort(F.collect_list(F.struct("part", "chunk", "piece"))).alias("p"))
+    joined = j.groupBy("id", "strand").agg(F.array_sort(F.collect_list(F.struct("part", "at", "piece"))).alias("p"))
     forward = F.array_join(F.transform("p", lambda x: x["piece"]), "")
     return joined.select("id", F.when(F.col("strand") == "-", revcomp(forward)).otherwise(forward).alias("sequence"))
 
 
 def splici(exons: DataFrame, contigs: DataFrame, read_len: int, trim: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(sequences: id, sequence; t2g: transcript_id, gene_id, status) of spliced transcripts and introns."""
+    """(sequences: id, sequence; t2g: transcript_id, gene_id, status) of spliced transcripts and introns.
+
+    ``contigs`` has contig and sequence, or is a chunked scan of chunks of ``CHUNK`` bases.
+    """
     flank = read_len - trim
     if flank < 0:
         raise ValueError("the trim is longer than the read")
-    length = contigs.select("contig", F.length("sequence").alias("__n"))
+    chunks = chunk_contigs(contigs) if "sequence" in contigs.columns else contigs
+    length = chunks.groupBy("contig").agg(F.max(F.col("at") + F.length("chunk_seq")).cast("int").alias("__n"))
     i = introns(exons, flank).join(length, "contig")
     i = i.withColumns({"f_start": F.greatest(F.col("f_start"), F.lit(1)), "f_end": F.least(F.col("f_end"), F.col("__n"))}).drop("__n")
     i = make_unique(i, "gene", ["contig", "f_start"], "id")
     order = Window.partitionBy("transcript").orderBy("f_start")
     spliced = exons.withColumn("part", F.row_number().over(order)).select(F.col("transcript").alias("id"), "contig", "f_start", "f_end", "strand", "part")
     ranges = spliced.unionByName(i.select("id", "contig", "f_start", "f_end", "strand", F.lit(1).alias("part")))
-    seqs = extract_seqs(ranges, chunk_contigs(contigs))
+    seqs = extract_seqs(ranges, chunks)
     t2g = exons.select(F.col("transcript").alias("transcript_id"), F.col("gene").cast("string").alias("gene_id")).distinct().unionByName(i.select(F.col("id").alias("transcript_id"), F.col("gene").cast("string").alias("gene_id")))
     return seqs, t2g.withColumn("status", F.when(F.col("transcript_id").rlike(r"-I\d*$"), "U").otherwise("S"))
 

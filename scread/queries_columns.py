@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from .functions import parse, ranges, seq
 from .operators import align, cells, intervals, match, readqc, sheets, tables, umi
 from .plans import layouts
+from .plans.shared import folder
 from .queries import _EXONS, _PEAKS, _exons, _fx, alignments, barcodes, counts, features, mols, query, reads, samples
+from .sinks.files import write_one_file
+from .sources import fasta
 
 droplets = _fx("fx_droplets")
 
@@ -158,9 +161,21 @@ def check_endedness(spark, d):
 _GENOME = "cg AS (SELECT CASE pair_id%2 WHEN 0 THEN 'chr1' ELSE 'chr2' END AS contig, string_agg(r2_seq, '' ORDER BY pair_id) AS s FROM fx_reads GROUP BY 1)"
 
 
-def _genome(spark, d) -> DataFrame:
-    parts = reads(spark, d).groupBy(F.when(F.col("pair_id") % 2 == 0, "chr1").otherwise("chr2").alias("contig")).agg(F.array_sort(F.collect_list(F.struct("pair_id", "r2_seq"))).alias("p"))
-    return parts.select("contig", F.array_join(F.transform("p", lambda x: x["r2_seq"]), "").alias("sequence"))
+def _genome(spark, d, size: int = intervals.CHUNK) -> DataFrame:
+    """A chunked scan of a FASTA file whose lines are the reads: no row holds a contig, neither on the way out nor back."""
+    contig = F.when(F.col("pair_id") % 2 == 0, "chr1").otherwise("chr2")
+    lines = reads(spark, d).select(contig.alias("contig"), "pair_id", F.col("r2_seq").alias("value"))
+    heads = lines.select("contig").distinct().select("contig", F.lit(-1).cast("long").alias("pair_id"), F.concat(F.lit(">"), "contig", F.lit(" of reads")).alias("value"))
+    path = f"{folder(spark, 'genome')}/genome.fa.gz"
+    write_one_file(lines.unionByName(heads).repartitionByRange("contig", "pair_id").sortWithinPartitions("contig", "pair_id"), path)
+    return fasta.read_genome(spark, path, size, split_bytes=200_000)
+
+
+@query("genome_chunks", f"WITH {_GENOME} SELECT contig, k AS chunk, 1000*k AS at, substr(s, 1000*k+1, 1000) AS chunk_seq FROM (SELECT contig, s, unnest(range(0, (length(s)+999)//1000)) AS k FROM cg)")
+def genome_chunks(spark, d):
+    """Chunks that two byte ranges share are put together."""
+    chunks = _genome(spark, d, 1000).groupBy("contig", "chunk").agg(F.array_sort(F.collect_list(F.struct("at", "chunk_seq"))).alias("p"))
+    return chunks.select("contig", "chunk", F.col("p")[0]["at"].alias("at"), F.array_join(F.transform("p", lambda x: x["chunk_seq"]), "").alias("chunk_seq"))
 
 
 @query("extract_seqs", f"WITH {_GENOME} SELECT cast(user_id AS VARCHAR) AS id, strand, CASE strand WHEN '-' THEN reverse(translate(q,'ACGT','TGCA')) ELSE q END AS sequence FROM (SELECT user_id, CASE WHEN user_id%2=0 THEN '+' ELSE '-' END AS strand, string_agg(substr(s, a, 60), '' ORDER BY event_id) AS q FROM (SELECT event_id, user_id, cast(1+(event_id*37)%3000 AS INT) AS a, CASE user_id%3 WHEN 0 THEN 'chr1' ELSE 'chr2' END AS contig FROM events) e JOIN cg USING (contig) GROUP BY user_id)")
@@ -170,7 +185,7 @@ def extract_seqs(spark, d):
         F.col("user_id").cast("string").alias("id"), F.when(F.col("user_id") % 3 == 0, "chr1").otherwise("chr2").alias("contig"), a.alias("f_start"), (a + 59).alias("f_end"),
         F.when(F.col("user_id") % 2 == 0, "+").otherwise("-").alias("strand"), F.col("event_id").alias("part"),
     )
-    out = intervals.extract_seqs(r, intervals.chunk_contigs(_genome(spark, d), 500), 500)
+    out = intervals.extract_seqs(r, _genome(spark, d, 500), 500)
     return out.select("id", F.when(F.col("id").cast("long") % 2 == 0, "+").otherwise("-").alias("strand"), "sequence")
 
 

@@ -11,6 +11,7 @@ from .queries import DEMUX, _CELLS, _exons, _fx, alignments, barcodes, counts, d
 from .queries_columns import _SPLICI, _genome
 from .sinks import fastq as fq_out
 from .sinks import tables as t_out
+from .sinks.files import write_one_file
 from .sources import fastq, metrics
 from .sources import tables as t_in
 
@@ -58,6 +59,20 @@ def fastq_round_trip(spark, d):
     return back.select("sample", "name", "comment", "r1_seq", "r2_seq", "r1_qual")
 
 
+@query("fastq_split_scan", "SELECT row_number() OVER (ORDER BY pair_id)-1 AS pair_id, name, comment, r1_seq, repeat('I', length(r1_seq)) AS r1_qual, r2_seq FROM fx_reads")
+def fastq_split_scan(spark, d):
+    """One plain and one block-compressed file, records of different lengths, read by many tasks in step."""
+    path = folder(spark, "split")
+    pairs = reads(spark, d)
+    files = []
+    for mate, end in (("r1", ""), ("r2", ".gz")):
+        line = F.concat_ws("\n", F.concat(F.lit("@"), F.concat_ws(" ", "name", "comment")), F.col(f"{mate}_seq"), F.lit("+"), F.repeat(F.lit("I"), F.length(f"{mate}_seq")))
+        files.append(f"{path}/{mate}.fastq{end}")
+        write_one_file(pairs.repartitionByRange("pair_id").sortWithinPartitions("pair_id").select(line.alias("value")), files[-1])
+    back = fastq.read_fastq_multi(spark, [("s", "l", *files)], ("r1", "r2"), split_bytes=100_000)
+    return back.select("pair_id", "name", "comment", "r1_seq", "r1_qual", "r2_seq")
+
+
 @query("segment_whitelists", """SELECT CASE type WHEN 'ligation' THEN 1 WHEN 'p5' THEN 2 WHEN 'p7' THEN 3 ELSE 4 END AS segment, CASE WHEN type='ligation' AND length(sequence)=9 THEN concat(sequence,'G') ELSE sequence END AS sequence FROM fx_barcodes""")
 def segment_whitelists(spark, d):
     path = folder(spark, "whitelists")
@@ -141,6 +156,34 @@ def gtf_round_trip(spark, d):
     return t_in.read_annotation(spark, path).select("contig", "source", "ftype", "f_start", "f_end", "strand", "gene", "transcript")
 
 
+_GFF = """SELECT 'gene' AS ftype, contig, f_start, f_end, strand, concat('g',gene) AS gene, NULL AS transcript FROM fx_features
+ UNION ALL SELECT 'mRNA', contig, f_start, f_end, strand, concat('g',gene), concat('t',gene,',',k) FROM fx_features, range(2) r(k) WHERE gene%5<>0
+ UNION ALL SELECT 'exon', contig, f_start, f_start+9, strand, concat('g',gene), concat('t',gene,',',k) FROM fx_features, range(2) r(k) WHERE gene%5<>0
+ UNION ALL SELECT 'exon', contig, f_start, f_start+9, strand, concat('g',gene), NULL FROM fx_features WHERE gene%5=0"""
+
+
+@query("gff_round_trip", _GFF)
+def gff_round_trip(spark, d):
+    """Genes, transcripts (with a comma in their names) and exons, some of them below the gene itself, as GFF3."""
+    f = features(spark, d).withColumns({"source": F.lit("x"), "g": F.concat(F.lit("g"), "gene")})
+    two = F.array(*[F.concat(F.lit("t"), "gene", F.lit(f",{k}")) for k in (0, 1)])
+    under = f.filter("gene % 5 <> 0").withColumn("transcript", F.explode(two))
+    bare = f.withColumn("transcript", F.lit(None).cast("string"))
+    short = lambda df: df.withColumns({"ftype": F.lit("exon"), "f_end": F.col("f_start") + 9})
+    every = bare.withColumn("ftype", F.lit("gene")).unionByName(under.withColumn("ftype", F.lit("mRNA"))).unionByName(short(under)).unionByName(short(bare.filter("gene % 5 = 0")))
+    path = f"{folder(spark, 'gff')}/x.gff3.gz"
+    t_out.write_gtf(every.withColumn("gene", F.col("g")), path)
+    return t_in.read_annotation(spark, path).select("ftype", "contig", "f_start", "f_end", "strand", "gene", "transcript")
+
+
+@query("gff_exon_overlap", "WITH g AS (" + _GFF + """) SELECT pair_id, gene, count(DISTINCT transcript) AS transcripts FROM fx_alignments a JOIN g ON a.contig=g.contig AND pos<=f_end AND f_start<=end_pos WHERE flag&4=0 AND ftype='exon' GROUP BY 1, 2""")
+def gff_exon_overlap(spark, d):
+    """Alignments by the genes of the exons of a GFF file."""
+    exons = gff_round_trip(spark, d).filter("ftype = 'exon'").select("contig", "f_start", "f_end", "gene", "transcript")
+    mapped = alignments(spark, d).filter(align.lacks_flags(4)).select("pair_id", "contig", "pos", "end_pos")
+    return intervals.overlap_join(mapped, exons).groupBy("pair_id", "gene").agg(F.count_distinct("transcript").alias("transcripts"))
+
+
 @query("mtx_round_trip", "SELECT dataset, cast(cell AS VARCHAR) AS cell, cast(gene AS VARCHAR) AS gene, cast(umis AS DOUBLE) AS umis FROM fx_counts")
 def mtx_round_trip(spark, d):
     path, c = folder(spark, "matrix"), counts(spark, d)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .files import FastqPairs
+
 
 def _record(name: Column, comment: Column, seq: str, qual: str) -> Column:
     head = F.when(F.coalesce(comment, F.lit("")) == "", name).otherwise(F.concat(name, F.lit(" "), comment))
@@ -12,17 +14,19 @@ def _record(name: Column, comment: Column, seq: str, qual: str) -> Column:
 
 
 def write_fastq(pairs: DataFrame, path: str, by: str = "sample", files: int = 1) -> None:
-    """``path/<by>=x/mate=R1`` and ``R2`` as gzip text; mates are in step, file by file.
+    """``path/<by>=x/mate=R1`` and ``R2`` as block-compressed gzip; mates are in step, file by file.
 
-    Both mates leave one partitioned and sorted frame. ``files`` spreads a large sample over that many file pairs.
+    One pass over one partitioned and sorted frame writes both mates. Pairs go by lane, pair_id and name. ``files``
+    spreads a large sample over that many file pairs.
     """
     part = F.pmod(F.xxhash64("pair_id"), F.lit(files))
-    df = pairs.withColumn("part", part).repartition(by, "part")
+    order = [by, "part", *(c for c in ("lane",) if c in pairs.columns), "pair_id", "name"]
     comment = F.col("comment") if "comment" in pairs.columns else F.lit("")
-    for mate in ("R1", "R2"):
-        m = mate.lower()
-        out = df.select(by, "part", "pair_id", _record(F.col("name"), comment, f"{m}_seq", f"{m}_qual").alias("value"))
-        out.sortWithinPartitions(by, "part", "pair_id").withColumn("mate", F.lit(mate)).select("value", by, "mate", "part").write.partitionBy(by, "mate", "part").mode("append").option("compression", "gzip").text(path)
+    folder = F.concat(F.lit(f"{by}="), F.coalesce(F.col(by).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")), F.lit("/mate={mate}/part="), "part")
+    df = pairs.withColumn("part", part).repartition(by, "part").sortWithinPartitions(*order)
+    out = df.select(folder.alias("folder"), *(_record(F.col("name"), comment, f"{m}_seq", f"{m}_qual").alias(m) for m in ("r1", "r2")))
+    pairs.sparkSession.dataSource.register(FastqPairs)
+    out.write.format("fastq_pair_files").mode("append").option("path", path).save()
 
 
 def discarded_log(discarded: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.tables import CANONICAL, order_metrics, stack_ragged
+from .files import write_one_file
 
 
 def write_mapping_stats(rows: list[DataFrame], path: str) -> None:
@@ -66,29 +67,52 @@ def _numbered(df: DataFrame, column: str, number: str) -> DataFrame:
     return keys.join(F.broadcast(sizes.select("__p", "__before")), "__p").select(column, (F.col("__i") + F.col("__before")).alias(number))
 
 
-def write_mtx(counts: DataFrame, path: str) -> None:
-    """matrix.mtx, features.tsv and barcodes.tsv folders: text parts to be concatenated in name order."""
+def write_mtx(counts: DataFrame, path: str, compress: bool = False) -> None:
+    """matrix.mtx, features.tsv and barcodes.tsv, a file each (with .gz, block-compressed), in coordinate order by cell, then gene."""
+    end = ".gz" if compress else ""
     genes, barcodes = _numbered(counts, "gene", "g"), _numbered(counts, "cell", "c")
-    body = counts.join(genes, "gene").join(barcodes, "cell").select("g", "c", "umis")
-    sizes = body.agg(F.count(F.lit(1)).alias("n")).crossJoin(genes.agg(F.count(F.lit(1)).alias("ng"))).crossJoin(barcodes.agg(F.count(F.lit(1)).alias("nc"))).first()
-    spark = counts.sparkSession
-    head = spark.createDataFrame([(-2, 0, "%%MatrixMarket matrix coordinate real general"), (-1, 0, f"{sizes['ng']} {sizes['nc']} {sizes['n']}")], "c long, g long, value string")
-    lines = body.select(F.col("c").cast("long").alias("c"), F.col("g").cast("long").alias("g"), F.concat_ws(" ", "g", "c", "umis").alias("value"))
-    head.unionByName(lines).repartitionByRange("c", "g").sortWithinPartitions("c", "g").select("value").write.mode("overwrite").text(f"{path}/matrix.mtx")
-    genes.repartitionByRange("g").sortWithinPartitions("g").select(F.col("gene").cast("string").alias("value")).write.mode("overwrite").text(f"{path}/features.tsv")
-    barcodes.repartitionByRange("c").sortWithinPartitions("c").select(F.col("cell").cast("string").alias("value")).write.mode("overwrite").text(f"{path}/barcodes.tsv")
+    body = counts.join(genes, "gene").join(barcodes, "cell").select(F.col("g").cast("long").alias("g"), F.col("c").cast("long").alias("c"), "umis")
+    text = lambda df, at, column: df.repartitionByRange(at).sortWithinPartitions(at).select(F.col(column).cast("string").alias("value"))
+    write_one_file(text(genes, "g", "gene"), f"{path}/features.tsv{end}")
+    write_one_file(text(barcodes, "c", "cell"), f"{path}/barcodes.tsv{end}")
+    lines = body.repartitionByRange("c", "g").sortWithinPartitions("c", "g").select(F.concat_ws(" ", "g", "c", "umis").alias("value"))
+    write_one_file(lines, f"{path}/matrix.mtx{end}", f"%%MatrixMarket matrix coordinate real general\n{genes.count()} {barcodes.count()} {{rows}}\n")
 
 
 def write_splici(seqs: DataFrame, t2g: DataFrame, path: str) -> None:
     """FASTA text and the two maps: transcript to gene, and with the splicing status."""
-    seqs.select(F.concat(F.lit(">"), "id", F.lit("\n"), "sequence").alias("value")).write.mode("overwrite").text(f"{path}/transcriptome_splici.fa")
+    write_one_file(seqs.select(F.concat(F.lit(">"), "id", F.lit("\n"), "sequence").alias("value")), f"{path}/transcriptome_splici.fa")
     t2g.select("transcript_id", "gene_id", "status").write.mode("overwrite").option("sep", "\t").csv(f"{path}/t2g_3col.tsv")
     two = F.when(F.col("status") == "U", F.concat("gene_id", F.lit("-U"))).otherwise(F.col("gene_id"))
     t2g.select("transcript_id", two.alias("gene_id")).write.mode("overwrite").option("sep", "\t").csv(f"{path}/t2g.tsv")
 
 
+def _escaped(text: Column) -> Column:
+    """A GFF attribute value; the characters that end or part values are percent escapes."""
+    for c in "%;=&,\t\n":
+        text = F.replace(text, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return text
+
+
 def write_gtf(features: DataFrame, path: str) -> None:
-    """Features (contig, source, ftype, f_start, f_end, strand, gene, transcript) as GTF text in coordinate order."""
-    attrs = F.concat(F.lit('gene_id "'), F.col("gene").cast("string"), F.lit('";'), F.when(F.col("transcript").isNotNull(), F.concat(F.lit(' transcript_id "'), F.col("transcript").cast("string"), F.lit('";'))).otherwise(""))
+    """Features (contig, source, ftype, f_start, f_end, strand, gene, transcript) as one GTF or GFF3 file (by extension) in coordinate order.
+
+    In a GFF3 file genes and transcripts (``gene`` features, and mRNA or transcript features) have IDs, other features have
+    their transcript, else their gene, as parent.
+    """
+    gene, transcript = F.col("gene").cast("string"), F.col("transcript").cast("string")
+    gff = any(path.removesuffix(".gz").endswith(x) for x in (".gff", ".gff3"))
+    if gff:
+        g, t = F.concat(F.lit("gene:"), _escaped(gene)), F.concat(F.lit("transcript:"), _escaped(transcript))
+        kind = F.col("ftype")
+        attrs = (
+            F.when(kind == "gene", F.concat(F.lit("ID="), g, F.lit(";gene_id="), _escaped(gene)))
+            .when(kind.isin("mRNA", "transcript"), F.concat(F.lit("ID="), t, F.lit(";Parent="), g, F.lit(";transcript_id="), _escaped(transcript)))
+            .when(transcript.isNotNull(), F.concat(F.lit("Parent="), t))
+            .otherwise(F.concat(F.lit("Parent="), g))
+        )
+    else:
+        attrs = F.concat(F.lit('gene_id "'), gene, F.lit('";'), F.when(transcript.isNotNull(), F.concat(F.lit(' transcript_id "'), transcript, F.lit('";'))).otherwise(""))
     line = F.concat_ws("\t", "contig", F.coalesce("source", F.lit(".")), "ftype", F.col("f_start").cast("string"), F.col("f_end").cast("string"), F.lit("."), "strand", F.lit("."), attrs)
-    features.repartitionByRange("contig", "f_start").sortWithinPartitions("contig", "f_start", "f_end").select(line.alias("value")).write.mode("overwrite").text(path)
+    ordered = features.repartitionByRange("contig", "f_start").sortWithinPartitions("contig", "f_start", F.desc("f_end"))
+    write_one_file(ordered.select(line.alias("value")), path, "##gff-version 3\n" if gff else "")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import cigar_blocks
+from ..operators.taxonomy import ancestors
 
 SAMPLES = "sample string, fastq_cDNA string, fastq_BC_UMI string, fastq_indices string, expected_cells string, p5 string, p7 string, rt string"
 
@@ -82,22 +83,56 @@ def read_alignments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_annotation(spark: SparkSession, path: str) -> DataFrame:
-    """Features of a GTF or GFF file (by extension), attributes as a map."""
+    """Features of a GTF or GFF file (by extension), attributes as a map; a GFF feature of several parents is a row for each.
+
+    Genes and transcripts of a GTF line are its own attributes. Those of a GFF line are found along its parents: the gene
+    is the root, the transcript the next below it; either is named by the gene_id or transcript_id of that
+    feature, else by its ID.
+    """
     gff = any(path.removesuffix(".gz").endswith(x) for x in (".gff", ".gff3"))
     raw = spark.read.option("sep", "\t").option("comment", "#").option("quote", "").csv(path).toDF("contig", "source", "ftype", "f_start", "f_end", "score", "strand", "frame", "attributes")
-    pattern = r"(\w+)=([^;]*)" if gff else r"(\w+) \"([^\"]*)\""
+    pattern = r"([^=;\s]+)=([^;]*)" if gff else r"(\w+) \"([^\"]*)\""
     keys, values = (F.regexp_extract_all("attributes", F.lit(pattern), F.lit(i)) for i in (1, 2))
     pairs = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("k"), v.alias("v")))
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     first = F.aggregate(pairs, empty, lambda m, x: F.when(F.map_contains_key(m, x["k"]), m).otherwise(F.map_concat(m, F.create_map(x["k"], x["v"]))))
     df = raw.withColumn("attrs", first).withColumns({"f_start": F.col("f_start").cast("int"), "f_end": F.col("f_end").cast("int")})
-    gene = F.coalesce(F.try_element_at("attrs", F.lit("gene_id")), F.try_element_at("attrs", F.lit("ID")))
-    transcript = F.coalesce(F.try_element_at("attrs", F.lit("transcript_id")), F.try_element_at("attrs", F.lit("Parent")))
-    return df.select("contig", "source", "ftype", "f_start", "f_end", "score", "strand", "frame", gene.alias("gene"), transcript.alias("transcript"), "attrs")
+    df = _gff_parents(df) if gff else df.withColumns({"gene": _attribute("gene_id"), "transcript": _attribute("transcript_id")})
+    return df.select("contig", "source", "ftype", "f_start", "f_end", "score", "strand", "frame", "gene", "transcript", "attrs")
+
+
+def _attribute(name: str) -> Column:
+    return F.try_element_at("attrs", F.lit(name))
+
+
+def _unescaped(text: Column) -> Column:
+    """Percent escapes undone; a plus sign is one."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
+def _gff_parents(df: DataFrame) -> DataFrame:
+    """Adds gene and transcript to lines with ``attrs``."""
+    parents = F.transform(F.split(_attribute("Parent"), ","), _unescaped)
+    df = df.withColumn("parent", F.explode_outer(parents)).withColumn("attrs", F.transform_values("attrs", lambda _, v: _unescaped(v)))
+    df = df.withColumn("id", _attribute("ID"))
+    named = df.filter("id is not null").groupBy("id").agg(F.min("parent").alias("parent"), F.min(_attribute("gene_id")).alias("gene_id"), F.min(_attribute("transcript_id")).alias("transcript_id"))
+    # parents that have no line are roots of their own
+    tree = named.select(F.col("id").alias("taxid"), "parent").unionByName(df.select(F.col("parent").alias("taxid")).filter("taxid is not null").distinct().join(named.select(F.col("id").alias("taxid")), "taxid", "left_anti").withColumn("parent", F.lit(None).cast("string")))
+    paths = ancestors(tree)
+    at = lambda n: F.max(F.when(F.col("level") == n, F.col("ancestor")))
+    chains = paths.groupBy(F.col("taxid").alias("parent")).agg(at(0).alias("root"), at(1).alias("second"))
+    label = lambda of, column, out: named.select(F.col("id").alias(of), F.col(column).alias(out))
+    chains = chains.join(label("root", "gene_id", "root_name"), "root", "left").join(label("second", "transcript_id", "second_name"), "second", "left").withColumn("known", F.lit(True))
+    is_parent = df.select(F.col("parent").alias("id")).filter("id is not null").distinct().withColumn("above", F.lit(True))
+    out = df.join(chains, "parent", "left").join(is_parent, "id", "left")
+    middle = F.col("second").isNull() & F.col("parent").isNotNull() & (F.col("above").isNotNull() | F.col("ftype").rlike("(?i)(rna|transcript)$"))
+    own = F.when(middle, F.coalesce(_attribute("transcript_id"), "id"))
+    gene = F.coalesce("root_name", F.when(F.col("parent").isNull(), _attribute("gene_id")), "root", F.when(F.col("parent").isNull(), F.col("id")), _attribute("gene_id"))
+    return out.withColumns({"gene": gene, "transcript": F.coalesce("second_name", "second", own)})
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """contig (first word of the header) and sequence."""
+    """contig (first word of the header) and sequence, a row each: for short sequences; ``read_genome`` is for chromosomes."""
     raw = spark.read.option("lineSep", ">").text(path).filter("trim(value) <> ''")
     head = F.regexp_extract("value", r"^([^\n]*)", 1)
     return raw.select(F.regexp_extract(head, r"^(\S+)", 1).alias("contig"), F.regexp_replace(F.expr("substring(value, length(regexp_extract(value, '^([^\\\\n]*)', 1)) + 1)"), r"\s", "").alias("sequence"))
@@ -135,8 +170,8 @@ def read_taxonomy_report(spark: SparkSession, path: str) -> DataFrame:
         "line_no", F.trim(f[0]).cast("double").alias("pct"), F.trim(f[1]).cast("long").alias("clade_reads"), F.trim(f[2]).cast("long").alias("reads"), F.trim(f[3]).cast("long").alias("minimizers"),
         F.trim(f[4]).cast("long").alias("distinct_minimizers"), F.trim(f[5]).alias("rank"), F.trim(f[6]).cast("long").alias("taxid"), F.ltrim(name).alias("name"), ((F.length(name) - F.length(F.ltrim(name))) / 2).cast("int").alias("depth"),
     )
-    up = d.select(F.col("line_no").alias("p_line"), F.col("depth").alias("p_depth"), F.col("taxid").alias("p_taxid"))
-    parent = d.join(F.broadcast(up), (F.col("p_depth") == F.col("depth") - 1) & (F.col("p_line") < F.col("line_no")), "left").groupBy(*d.columns).agg(F.max_by("p_taxid", "p_line").alias("parent"))
-    return parent
-
-
+    # a line's parent is the last line before it of one less depth: the lines' path, held while reading in order
+    order = Window.orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    deepest = d.agg(F.max("depth")).first()[0] or 0  # a taxonomy is a few dozen ranks deep
+    above = [F.last(F.when(F.col("depth") == k, F.col("taxid")), ignorenulls=True).over(order) for k in range(deepest)]
+    return d.withColumn("parent", F.coalesce(*[F.when(F.col("depth") == k + 1, a) for k, a in enumerate(above)], F.lit(None).cast("long")))

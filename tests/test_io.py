@@ -66,8 +66,17 @@ def test_alignments_annotation_genome(spark, tmp_path):
     assert f.first()["gene"] == "g1" and f.first()["attrs"]["note"] == "a b"
     t_out.write_gtf(f, str(tmp_path / "gtf"))
     assert spark.read.text(str(tmp_path / "gtf")).first()[0] == 'chr1\tx\texon\t1\t9\t.\t+\t.\tgene_id "g1"; transcript_id "t1";'
-    gff = put(tmp_path / "a.gff3", "chr1\tx\tmRNA\t1\t9\t.\t+\t.\tID=t1;Parent=g1\n")
-    assert t_in.read_annotation(spark, gff).first()["transcript"] == "g1"
+    lines = ["gene\tID=gene:1;gene_id=G1;Note=a%3Bb+c", "mRNA\tID=t1;Parent=gene:1;transcript_id=T1", "mRNA\tID=t2;Parent=gene:1", "exon\tID=e1;Parent=t1,t2", "CDS\tParent=t2", "exon\tParent=t9", "gene\tID=g2", "exon\tID=e2;Parent=g2", "rRNA\tID=r3;Parent=g2", "region\tName=x"]
+    gff = put(tmp_path / "a.gff3", "##gff-version 3\n" + "".join(f"chr1\tx\t{k}\t{i}\t9\t.\t+\t.\t{a}\n" for i, (k, a) in enumerate((x.split("\t") for x in lines), 1)))
+    back = t_in.read_annotation(spark, gff)
+    want = [(1, "gene", "G1", None), (2, "mRNA", "G1", "T1"), (3, "mRNA", "G1", "t2"), (4, "exon", "G1", "T1"), (4, "exon", "G1", "t2"), (5, "CDS", "G1", "t2"), (6, "exon", "t9", None), (7, "gene", "g2", None), (8, "exon", "g2", None), (9, "rRNA", "g2", "r3"), (10, "region", None, None)]
+    assert rows(back.select("f_start", "ftype", "gene", "transcript")) == sorted(want, key=str)
+    assert back.filter("f_start = 1").first()["attrs"]["Note"] == "a;b+c"
+    again = back.filter("f_start < 6").withColumn("gene", F.when(F.col("gene") == "G1", "G;1=a").otherwise(F.col("gene")))
+    t_out.write_gtf(again, str(tmp_path / "b.gff3"))
+    cols = ["ftype", "f_start", "gene", "transcript"]
+    assert (tmp_path / "b.gff3").read_text().startswith("##gff-version 3\nchr1\tx\tgene\t1\t9\t.\t+\t.\tID=gene:G%3B1%3Da;")
+    assert rows(t_in.read_annotation(spark, str(tmp_path / "b.gff3")).select(cols)) == rows(again.select(cols))
     fa = put(tmp_path / "a.fa", ">c1 desc\nACGT\nAC\n>c2\nTT\n")
     assert rows(t_in.read_fasta(spark, fa)) == [("c1", "ACGTAC"), ("c2", "TT")]
 
@@ -75,11 +84,13 @@ def test_alignments_annotation_genome(spark, tmp_path):
 def test_matrix_round_trip(spark, tmp_path):
     c = spark.createDataFrame([("d", "c1", "g1", 2), ("d", "c1", "g2", 1), ("d", "c2", "g1", 5)], "dataset string, cell string, gene string, umis int")
     t_out.write_mtx(c, str(tmp_path / "m"))
-    for name in ("matrix.mtx", "features.tsv", "barcodes.tsv"):
-        text = "".join(p.read_text() for p in sorted((tmp_path / "m" / name).glob("part-*")))
-        put(tmp_path / "n" / name, text)
-    assert (tmp_path / "n" / "matrix.mtx").read_text().split("\n")[1] == "2 2 3"
-    assert rows(t_in.read_mtx(spark, str(tmp_path / "n"), "d")) == [("d", "c1", "g1", 2.0), ("d", "c1", "g2", 1.0), ("d", "c2", "g1", 5.0)]
+    t_out.write_mtx(c, str(tmp_path / "z"), compress=True)
+    want = "%%MatrixMarket matrix coordinate real general\n2 2 3\n1 1 2\n2 1 1\n1 2 5\n"
+    assert (tmp_path / "m" / "matrix.mtx").read_text() == want == gzip.open(tmp_path / "z" / "matrix.mtx.gz", "rt").read()
+    assert (tmp_path / "m" / "features.tsv").read_text() == "g1\ng2\n" and gzip.open(tmp_path / "z" / "barcodes.tsv.gz", "rt").read() == "c1\nc2\n"
+    for folder in ("m", "z"):
+        assert rows(t_in.read_mtx(spark, str(tmp_path / folder), "d")) == [("d", "c1", "g1", 2.0), ("d", "c1", "g2", 1.0), ("d", "c2", "g1", 5.0)]
+        assert sorted(p.name for p in (tmp_path / folder).iterdir() if not p.name.startswith(".")) == [f"{n}{'.gz' * (folder == 'z')}" for n in ("barcodes.tsv", "features.tsv", "matrix.mtx")]
 
 
 def test_metrics_tree(spark, tmp_path):
