@@ -14,9 +14,12 @@ def letters(s) -> Column:
     return F.split(_c(s), "")
 
 
+COMPLEMENT = dict(zip("ACGTacgt", "TGCAtgca"))
+
+
 def revcomp(s) -> Column:
     """Reverse complement; N and other letters stay."""
-    return F.reverse(F.translate(_c(s), "ACGTacgt", "TGCAtgca"))
+    return F.reverse(F.translate(_c(s), "".join(COMPLEMENT), "".join(COMPLEMENT.values())))
 
 
 def hamming(a, b) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions import parse, ranges, seq
-from .operators import align, cells, intervals, match, readqc, sheets, tables, umi
+from .operators import align, cells, intervals, match, readqc, sheets, tables, trim, umi
 from .plans import layouts
 from .plans.shared import folder
 from .queries import _EXONS, _PEAKS, _exons, _fx, alignments, barcodes, counts, features, mols, query, reads, samples
@@ -39,6 +39,37 @@ def trim_adapter(spark, d):
     return reads(spark, d).repartition("pair_id").select("pair_id", seq.trim_adapter("r2_seq", "ACGTTGCA", 3, 0.2).cast("long").alias("kept"))
 
 
+_MATES = """i AS (SELECT pair_id, substr(r2_seq,1,30+pair_id%45) AS s FROM fx_reads),
+ p AS (SELECT pair_id, CASE pair_id%5 WHEN 1 THEN concat('NNN',substr(s,4)) WHEN 2 THEN concat('NNNNNNNN',substr(s,9)) ELSE s END || CASE WHEN pair_id%5=3 THEN '' ELSE 'AGATCGGAAGAGC' END AS r1, reverse(translate(s,'ACGT','TGCA')) || CASE WHEN pair_id%7=0 THEN 'AGTTCGG' ELSE 'CCCTGTC' END AS r2 FROM i),
+ o AS (SELECT pair_id, min(k) AS k FROM (SELECT pair_id, r1, r2, unnest(generate_series(30, least(length(r1),length(r2))-1)) AS k FROM p) x WHERE hamming(substr(r1,1,k), reverse(translate(substr(r2,1,k),'ACGT','TGCA'))) <= least(5, k*0.2) GROUP BY 1),
+ x AS (SELECT pair_id, mate, seq, unnest(generate_series(1, length(seq)-2)) AS i FROM (SELECT pair_id, 1 AS mate, r1 AS seq FROM p UNION ALL SELECT pair_id, 2, r2 FROM p) u),
+ y AS (SELECT pair_id, mate, i, least(length(seq)-i+1,8) AS m, substr(seq,i,8) AS r FROM x),
+ z AS (SELECT pair_id, mate, min(i) AS i FROM y WHERE hamming(substr(r,1,m), substr(CASE mate WHEN 1 THEN 'AGATCGGA' ELSE 'AGTTCGGT' END,1,m)) <= floor(m*0.2) GROUP BY 1, 2),
+ t AS (SELECT p.pair_id, o.k AS insert, r1, r2, coalesce(o.k, a.i-1, length(r1)) AS k1, coalesce(o.k, b.i-1, length(r2)) AS k2 FROM p LEFT JOIN o USING (pair_id) LEFT JOIN z a ON a.pair_id=p.pair_id AND a.mate=1 LEFT JOIN z b ON b.pair_id=p.pair_id AND b.mate=2),
+ f AS (SELECT pair_id, insert, substr(r1,1,k1) AS r1_seq, substr(r2,1,k2) AS r2_seq, k1 AS r1_left, CASE WHEN k1<length(r1) THEN CASE WHEN insert IS NULL THEN 'adapter' ELSE 'overlap' END END AS r1_trim, CASE WHEN k2<length(r2) THEN CASE WHEN insert IS NULL THEN 'adapter' ELSE 'overlap' END END AS r2_trim FROM t)"""
+
+
+def _trimmed(spark, d) -> DataFrame:
+    """Mates that run into their adapters at inserts of 30 to 74 bases, some with mismatches, some without a common insert."""
+    s, k = F.expr("substr(r2_seq, 1, 30 + pair_id % 45)"), F.col("pair_id")
+    one = F.when(k % 5 == 1, F.concat(F.lit("NNN"), F.substring("s", F.lit(4), F.length("s")))).when(k % 5 == 2, F.concat(F.lit("N" * 8), F.substring("s", F.lit(9), F.length("s")))).otherwise(F.col("s"))
+    pairs = reads(spark, d).select("pair_id", s.alias("s")).select(
+        "pair_id", F.concat(one, F.when(k % 5 == 3, "").otherwise("AGATCGGAAGAGC")).alias("r1_seq"), F.concat(seq.revcomp("s"), F.when(k % 7 == 0, "AGTTCGG").otherwise("CCCTGTC")).alias("r2_seq"),
+    )
+    pairs = pairs.withColumns({f"{m}_qual": F.repeat(F.lit("I"), F.length(f"{m}_seq")) for m in ("r1", "r2")})
+    return trim.trim_pairs(pairs, ("AGATCGGA", "AGTTCGGT"), 3, 0.2)
+
+
+@query("trim_pairs", f"WITH {_MATES} SELECT * FROM f")
+def trim_pairs(spark, d):
+    return _trimmed(spark, d).select("pair_id", "insert", "r1_seq", "r2_seq", F.length("r1_qual").alias("r1_left"), "r1_trim", "r2_trim")
+
+
+@query("trim_counts", f"WITH {_MATES} SELECT mate, reason, count(*) AS reads, CAST(sum(n) AS BIGINT) AS bases FROM (SELECT 'r1' AS mate, coalesce(r1_trim,'none') AS reason, length(r1_seq) AS n FROM f UNION ALL SELECT 'r2', coalesce(r2_trim,'none'), length(r2_seq) FROM f) GROUP BY 1, 2")
+def trim_counts(spark, d):
+    return trim.trim_counts(_trimmed(spark, d))
+
+
 @query("cigar_blocks", """SELECT pair_id, concat(pos,'-',pos+pair_id%7,',',pos+pair_id%7+31,'-',pos+pair_id%7+30+pair_id%5+3+2) AS blocks, pair_id%7+1+pair_id%5+1+2 AS spliced FROM fx_alignments""")
 def cigar_blocks(spark, d):
     i = F.col("pair_id")
