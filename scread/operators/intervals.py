@@ -10,20 +10,32 @@ from .align import lacks_flags
 
 BIN = 8192
 CHUNK = 65_536
+MAX_INDEX_ROWS = 1_000_000
+CROWDED_BIN, MAX_SALTS = 1_000_000, 1_000
 
 
-def overlap_join(reads: DataFrame, feats: DataFrame, width: int = BIN, stranded: bool = False) -> DataFrame:
+def overlap_join(reads: DataFrame, feats: DataFrame, width: int = BIN, stranded: bool = False, most: int = MAX_INDEX_ROWS) -> DataFrame:
     """Pairs with at least one common base: reads (contig, pos, end_pos), feats (contig, f_start, f_end).
 
     Two inequalities alone would plan as a nested loop. Both sides go into the bins they touch; a pair is
-    emitted in the bin of its later start only, so nothing is deduplicated.
+    emitted in the bin of its later start only, so nothing is deduplicated. Features that take at most ``most`` places in bins
+    are an index that is broadcast: reads then stay where they are. Beyond that both sides are shuffled by bin, and bins
+    with many reads are dealt out over salts, for each of which their features are repeated.
     """
     bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / width), F.floor(F.col(b) / width)))
     r, f = reads.withColumn("__bin", bins("pos", "end_pos")), feats.withColumn("__bin", bins("f_start", "f_end"))
     keys = ["contig", "__bin"] + (["strand"] if stranded else [])
+    if f.limit(most + 1).count() <= most:
+        j = r.join(F.broadcast(f), keys)
+    else:
+        crowded = r.groupBy("contig", "__bin").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWDED_BIN)
+        salts = F.broadcast(crowded.select("contig", "__bin", F.least(F.ceil(F.col("n") / CROWDED_BIN), F.lit(MAX_SALTS)).cast("int").alias("__salts")))  # at most a row per CROWDED_BIN reads
+        deal = lambda df: df.join(salts, ["contig", "__bin"], "left").withColumn("__salts", F.coalesce("__salts", F.lit(1)))
+        r = deal(r).withColumn("__salt", F.pmod(F.xxhash64("pos", "end_pos", F.monotonically_increasing_id()), F.col("__salts")).cast("int")).drop("__salts")
+        f = deal(f).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+        j = r.join(f, [*keys, "__salt"]).drop("__salt")
     return (
-        r.join(f, keys)
-        .filter((F.col("pos") <= F.col("f_end")) & (F.col("f_start") <= F.col("end_pos")))
+        j.filter((F.col("pos") <= F.col("f_end")) & (F.col("f_start") <= F.col("end_pos")))
         .filter(F.col("__bin") == F.floor(F.greatest("pos", "f_start") / width))
         .drop("__bin")
     )

@@ -39,10 +39,16 @@ def padded_neighbours(s: Column) -> Column:
     return F.concat(F.array(s), substitutions(s), longer, F.array(F.substring(s, F.lit(1), F.length(s) - 1)))
 
 
+def padded_rows(sheet: DataFrame, key: str) -> int:
+    """How many rows the padded neighbours of all keys have at most."""
+    n, length = sheet.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length(key)), F.lit(0))).first()
+    return n * (length * (len(ALPHABET) - 1) + len(ALPHABET) + 2)
+
+
 def sheet_keys(sheet: DataFrame) -> DataFrame:
-    """sequence, barcode: of rows with one sequence the last, by ``row_no`` if the sheet has it, else as read."""
-    last = F.max_by("barcode", "row_no") if "row_no" in sheet.columns else F.last("barcode")  # a sheet is one file, read in order
-    return sheet.groupBy("sequence").agg(last.alias("barcode"))
+    """sequence, barcode: of rows with one sequence the last, by ``row_no`` if the sheet has it, else in the order of its rows."""
+    rows = sheet if "row_no" in sheet.columns else sheet.withColumn("row_no", F.monotonically_increasing_id())
+    return rows.groupBy("sequence").agg(F.max_by("barcode", "row_no").alias("barcode"))
 
 
 def match_exact(df: DataFrame, seq: str, sheet: DataFrame, out: str) -> DataFrame:
@@ -72,8 +78,7 @@ def rescue_map(sheet: DataFrame) -> DataFrame:
 def match_rescue(df: DataFrame, seq: str, sheet: DataFrame, out: str) -> DataFrame:
     """Adds ``out``: the exact key, else the only key within padded distance 1 (``Corrected``), else null."""
     near = rescue_map(sheet).select(F.col("observed").alias("__seen"), F.col("hit").alias(out))
-    rows = sheet.count() * 64
-    return df.join(small(near, rows), F.col(seq) == F.col("__seen"), "left").drop("__seen")
+    return df.join(small(near, padded_rows(sheet, "sequence")), F.col(seq) == F.col("__seen"), "left").drop("__seen")
 
 
 def comparable(s: Column) -> Column:
@@ -144,6 +149,46 @@ def correct_cb(df: DataFrame, seq: str, qual: str | None, whitelist: DataFrame,
     return joined.withColumn(out, F.coalesce("__exact", F.when(top["w"] >= 0.975 * total, top["key"]))).drop("options", "__exact", "__w")
 
 
+def correct_segments(df: DataFrame, segments: list[tuple[str, str | None]], whitelist: DataFrame, mode: str, out: str = "cb", sample: str | None = None, sep: str = "") -> DataFrame:
+    """Adds ``out``: the corrected segments of a barcode, joined by ``sep``; null if one of them is rejected.
+
+    ``segments`` are the columns of each segment's sequence and quality (or null), in the order of ``whitelist``'s segment
+    1, 2, ...; modes as in ``correct_cb``. Each distinct (sample, segment, sequence) is corrected once, and distinct barcodes,
+    not reads, are taken apart and put together again; reads meet them in one join.
+    """
+    own, seqs = [sample] if sample else [], [s for s, _ in segments]
+    whole = df.groupBy(*own, *seqs).agg(F.count(F.lit(1)).alias("n"))
+    parts = F.posexplode(F.array(*[F.col(s) for s in seqs])).alias("at", "seq")
+    long = whole.select(*own, *seqs, "n", parts).withColumn("segment", F.col("at") + 1).drop("at")
+    keys = whitelist.select("segment", F.col("sequence").alias("key")).distinct()
+    own_segment = [*own, "segment"]
+    seen = long.groupBy(*own_segment, "seq").agg(F.sum("n").alias("n"))
+    exact = seen.join(keys.withColumn("seq", F.col("key")), ["segment", "seq"]).select(*own_segment, "seq", "key", "n")
+    options = exact.select(*own_segment, "seq", F.array(F.struct("key", F.lit(0).cast("long").alias("exact_reads"), F.lit(0).alias("place"))).alias("options"))
+    if mode != "Exact":
+        missing = seen.join(exact.select(*own_segment, "seq"), [*own_segment, "seq"], "left_anti")
+        near = missing.select(*own_segment, "seq", F.explode(F.array_distinct(substitutions(F.col("seq")))).alias("key")).join(keys, ["segment", "key"])
+        near = near.join(exact.select(*own_segment, "key", F.col("n").alias("exact_reads")), [*own_segment, "key"], "left").withColumn("exact_reads", F.coalesce("exact_reads", F.lit(0)))
+        place = F.array_position(F.zip_with(letters(F.col("seq")), letters(F.col("key")), lambda a, b: a != b), F.lit(True)).cast("int")
+        near = near.groupBy(*own_segment, "seq").agg(F.collect_list(F.struct("key", "exact_reads", place.alias("place"))).alias("options"))
+        options = options.unionByName(near.filter(F.size("options") == 1) if mode == "1MM" else near)
+    found = long.join(options, [*own_segment, "seq"]).groupBy(*own, *seqs).agg(F.sort_array(F.collect_list(F.struct("segment", "options"))).alias("__found")).filter(F.size("__found") == len(segments))
+    joined = df.join(found, [*own, *seqs], "left")
+
+    def best(k: int, qual: str | None) -> Column:
+        quality = phred(qual) if qual else None
+        error = (lambda at: F.when(at == 0, 1.0).otherwise(F.pow(F.lit(10.0), -F.element_at(quality, F.greatest(at, F.lit(1))) / 10))) if qual else (lambda at: F.lit(1.0))
+        weights = F.transform(F.get("__found", F.lit(k))["options"], lambda o: F.struct(((o["exact_reads"] + 1) * error(o["place"])).alias("w"), o["key"].alias("key")))
+        top, total = F.array_max(weights), F.aggregate(weights, F.lit(0.0), lambda s, o: s + o["w"])
+        return F.when(top["w"] >= 0.975 * total, top["key"])
+
+    corrected = [best(k, qual).alias(f"__s{k}") for k, (_, qual) in enumerate(segments)]
+    joined = joined.select("*", *corrected)
+    names = [f"__s{k}" for k in range(len(segments))]
+    none = F.exists(F.array(*names), lambda x: x.isNull())
+    return joined.withColumn(out, F.when(F.col("__found").isNotNull() & ~none, F.concat_ws(sep, *names))).drop("__found", *names)
+
+
 def demux_index(df: DataFrame, index: str, barcode: str, most: int = 1) -> DataFrame:
     """Reads whose index is within ``most`` mismatches of the barcode's reverse complement, equal length."""
     return df.filter(hamming(F.col(index), revcomp(F.lit(barcode))) <= most)

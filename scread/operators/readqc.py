@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from math import ceil
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +46,42 @@ def drop_reasons(pairs: DataFrame, **limits) -> DataFrame:
     return pairs.select(drop_reason(**limits).alias("reason")).filter("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("pairs"))
 
 
+def frequent(sequences: DataFrame, share: float) -> DataFrame:
+    """sequence, reads and share of the sequences of at least ``share`` of all rows (nulls are rows, but no sequence), exactly.
+
+    Each partition keeps a summary of 2 / ``share`` counters; their sums are too low by less than half the share,
+    so the true ones are among at most 2 / ``share`` candidates, which are broadcast and counted. Reads are not shuffled.
+    """
+    room = ceil(2 / share)
+
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        rows = 0
+        for batch in batches:
+            rows += len(batch)
+            counts = batch.column(0).drop_null().value_counts()
+            for text, n in zip(counts.field(0).to_pylist(), counts.field(1).to_pylist()):
+                held[text] += n
+            if len(held) > 4 * room:
+                held = _lowered(held, room)
+        held = _lowered(held, room)
+        yield pa.RecordBatch.from_arrays([pa.array([None, *held], pa.string()), pa.array([rows, *held.values()], pa.int64())], names=["sequence", "n"])
+
+    sums = sequences.mapInArrow(summary, "sequence string, n long").groupBy("sequence").agg(F.sum("n").alias("n"))
+    total = sums.filter("sequence is null").select(F.col("n").alias("total"))
+    candidates = sums.filter("sequence is not null").join(F.broadcast(total), F.col("n") >= F.col("total") * (share - 1 / (room + 1))).select("sequence", "total")
+    counted = sequences.join(F.broadcast(candidates), "sequence").groupBy("sequence", "total").agg(F.count(F.lit(1)).alias("reads"))
+    return counted.filter(F.col("reads") >= F.col("total") * share).select("sequence", "reads", (F.col("reads") / F.col("total")).alias("share"))
+
+
+def _lowered(held: Counter, room: int) -> Counter:
+    """At most ``room`` counters: all lose the count of the largest that is left out, which other rows than theirs outnumber ``room`` times."""
+    if len(held) <= room:
+        return held
+    cut = sorted(held.values(), reverse=True)[room]
+    return Counter({k: n - cut for k, n in held.items() if n > cut})
+
+
 def read_qc(reads: DataFrame, module: str, seq: str = "seq", qual: str = "qual", adapter: str = "AGATCGGAAGAG") -> DataFrame:
     """One table of a read-quality report.
 
@@ -70,9 +111,7 @@ def read_qc(reads: DataFrame, module: str, seq: str = "seq", qual: str = "qual",
         level = F.coalesce(*[F.when(F.col("c") > k, name) for k, name in steps], F.when(F.col("c") == 10, ">9").otherwise(F.col("c").cast("string")))
         return n.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("sequences"), F.sum("c").alias("reads"))
     if module == "overrepresented":
-        total = reads.agg(F.count(F.lit(1)).alias("total"))
-        n = reads.groupBy(F.col(seq).alias("sequence")).agg(F.count(F.lit(1)).alias("reads"))
-        return n.join(F.broadcast(total), F.col("reads") >= F.col("total") * 0.001).select("sequence", "reads", (F.col("reads") / F.col("total")).alias("share"))
+        return frequent(reads.select(F.col(seq).alias("sequence")), 0.001)
     if module == "adapter":
         first = F.instr(F.col(seq), adapter[:12])
         hits = reads.select(F.when(first > 0, first).alias("position"), F.length(seq).alias("len"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranges import expand_indices
 from ..functions.seq import header_indices, poly_a_start, revcomp
-from .match import padded_neighbours, rescue_map, small
+from .match import MAX_BROADCAST_ROWS, padded_neighbours, padded_rows, rescue_map, small
 
 KINDS = ("p5", "p7", "ligation", "rt")
 HASH_STATUS = {"n_correct": "Correct", "n_corrected": "Corrected", "n_upstream": "Corrected (Upstream)"}
@@ -47,7 +49,7 @@ def sci_demux(reads: DataFrame, barcodes: DataFrame, samples: DataFrame) -> Data
     Exact matches come first, then the only key within padded distance 1. Ligation tries ten letters exactly,
     nine exactly, then both with rescue; without a match it keeps the raw ten.
     """
-    n = barcodes.count() * 64
+    n = padded_rows(barcodes, "sequence")
     near = {k: rescue_map(barcodes.filter(F.col("type") == k)) for k in KINDS}
     p7, p5 = header_indices("comment")
     df = _tagged(reads, p7, near["p7"], n, "p7")
@@ -103,15 +105,52 @@ def match_hash(demuxed: DataFrame, hashes: DataFrame) -> DataFrame:
     near = near.filter("exact or n = 1").select(
         "sample_name", "__cand", F.struct(F.col("k.key").alias("seq"), F.col("k.name").alias("name"), F.when(F.col("exact"), "Correct").otherwise("Corrected").alias("status")).alias("__hit")
     )
-    n = hashes.count()
-    df = df.join(small(near, n * 64), ["sample_name", "__cand"], "left")
-    lists = keys.groupBy("sample_name").agg(F.collect_list(F.struct("key", "name")).alias("__keys"))
-    df = df.join(small(lists, n), "sample_name", "left")
-    inside = F.flatten(F.transform("__keys", lambda k: F.transform(F.regexp_extract_all(F.col("__upstream"), k["key"], F.lit(0)), lambda _: k)))
-    df = df.withColumn("__in", inside)
-    one = F.when((F.size("__in") == 1), F.element_at("__in", 1))
-    up = F.when(one.isNotNull(), F.struct(one["key"].alias("seq"), one["name"].alias("name"), F.lit("Corrected (Upstream)").alias("status")))
-    return df.withColumn("hash", F.coalesce("__hit", up)).drop("__s", "__cand", "__upstream", "__hit", "__keys", "__in")
+    df = df.join(small(near, padded_rows(hashes, "barcode")), ["sample_name", "__cand"], "left")
+    upstream = only_key(hashes)("sample_name", F.when(F.col("__hit").isNull(), F.col("__upstream")))
+    up = F.when(upstream["seq"].isNotNull(), F.struct(upstream["seq"].alias("seq"), upstream["name"].alias("name"), F.lit("Corrected (Upstream)").alias("status")))
+    return df.withColumn("hash", F.coalesce("__hit", up)).drop("__s", "__cand", "__upstream", "__hit")
+
+
+def only_key(hashes: DataFrame):
+    """An Arrow function of a sample and a text: (seq, name) of the sample's key that alone occurs in it, and once.
+
+    Occurrences of one key that overlap count as one, as a search that goes on behind each hit counts them; keys of different
+    rows count each. All keys of a sample are searched in one pass over the text, by an automaton of them.
+    """
+    rows = [(r["sample_name"], r["barcode"], r["hash_name"]) for r in hashes.filter(F.length("barcode") > 0).select("sample_name", "barcode", "hash_name").limit(MAX_BROADCAST_ROWS + 1).collect()]
+    if len(rows) > MAX_BROADCAST_ROWS:
+        raise ValueError(f"hash sheets of more than {MAX_BROADCAST_ROWS} keys")
+    made: dict[str, ahocorasick.Automaton] = {}
+
+    def automaton(sample: str) -> ahocorasick.Automaton:
+        if sample not in made:
+            made[sample] = ahocorasick.Automaton()
+            for owner, key, name in rows:
+                if owner == sample:
+                    made[sample].add_word(key, (*made[sample].get(key, ()), (key, name)))
+            made[sample].make_automaton()
+        return made[sample]
+
+    def search(sample: str | None, text: str | None) -> dict | None:
+        if sample is None or not text or not len(keys := automaton(sample)):
+            return None
+        found, until = None, -1
+        for end, owners in keys.iter(text):
+            key = owners[0][0]
+            if len(owners) > 1 or found and found[0] != key:
+                return None
+            if end - len(key) >= until:  # begins behind the last hit that counted
+                if found:
+                    return None
+                found, until = owners[0], end
+        return found and {"seq": found[0], "name": found[1]}
+
+    kind = pa.struct([("seq", pa.string()), ("name", pa.string())])
+
+    def find(samples: pa.Array, texts: pa.Array) -> pa.Array:
+        return pa.array([search(s, t) for s, t in zip(samples.to_pylist(), texts.to_pylist())], kind)
+
+    return F.arrow_udf(find, "seq string, name string")
 
 
 def drop_hash_reads(demuxed: DataFrame) -> DataFrame:

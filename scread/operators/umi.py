@@ -12,29 +12,35 @@ from pyspark.sql import functions as F
 from .match import substitutions
 
 
+def owners(df: DataFrame, *more: str) -> list[str]:
+    """Key columns: ``sample`` goes before the others where a frame has it, so one job takes many samples with equal barcodes."""
+    return [*(["sample"] if "sample" in df.columns else []), *more]
+
+
 def molecules(tagged: DataFrame) -> DataFrame:
-    """cell, gene, umi, n_reads; reads are aggregated before anything else looks at them."""
-    return tagged.groupBy("cell", "gene", "umi").agg(F.count(F.lit(1)).alias("n_reads"))
+    """(sample,) cell, gene, umi, n_reads; reads are aggregated before anything else looks at them."""
+    return tagged.groupBy(*owners(tagged, "cell", "gene", "umi")).agg(F.count(F.lit(1)).alias("n_reads"))
 
 
 def collapse_umis(mols: DataFrame, mode: str = "1MM_CR") -> DataFrame:
-    """cell, gene, umi, n_reads with UMIs one mismatch apart folded together.
+    """(sample,) cell, gene, umi, n_reads with UMIs one mismatch apart folded together.
 
     ``1MM_CR``: into the neighbour with the largest (reads, UMI) if that beats its own, on original counts, one
     hop. ``1MM_All``: connected components; the member with the largest (reads, UMI) stands for all.
     """
+    key = owners(mols, "cell", "gene")
     if mode == "-":
-        return mols.select("cell", "gene", "umi", "n_reads")
+        return mols.select(*key, "umi", "n_reads")
     if mode == "1MM_CR":
         # a pair of UMIs one letter apart agrees in the string with that letter masked: both meet under it
         masked = F.transform(F.sequence(F.lit(1), F.length("umi")), lambda i: F.concat(F.substring("umi", F.lit(1), i - 1), F.lit("*"), F.substring("umi", i + 1, F.length("umi"))))
-        alone = F.col("umi").isNull() | (F.count(F.lit(1)).over(Window.partitionBy("cell", "gene")) == 1)
-        n = mols.select("cell", "gene", "umi", "n_reads", alone.alias("alone"))
+        alone = F.col("umi").isNull() | (F.count(F.lit(1)).over(Window.partitionBy(*key)) == 1)
+        n = mols.select(*key, "umi", "n_reads", alone.alias("alone"))
         own = F.struct("n_reads", "umi")
-        seen = n.filter(~F.col("alone")).select("cell", "gene", own.alias("own"), F.explode(masked).alias("mask"))
-        best = seen.withColumn("best", F.max("own").over(Window.partitionBy("cell", "gene", "mask"))).groupBy("cell", "gene", "own").agg(F.max("best").alias("best"))
-        moved = best.groupBy("cell", "gene", F.col("best.umi").alias("umi")).agg(F.sum("own.n_reads").alias("n_reads"))
-        return n.filter("alone").select("cell", "gene", "umi", "n_reads").unionByName(moved)
+        seen = n.filter(~F.col("alone")).select(*key, own.alias("own"), F.explode(masked).alias("mask"))
+        best = seen.withColumn("best", F.max("own").over(Window.partitionBy(*key, "mask"))).groupBy(*key, "own").agg(F.max("best").alias("best"))
+        moved = best.groupBy(*key, F.col("best.umi").alias("umi")).agg(F.sum("own.n_reads").alias("n_reads"))
+        return n.filter("alone").select(*key, "umi", "n_reads").unionByName(moved)
 
     def components(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
         rows = sorted(rows, key=lambda r: (r[1], r[0]), reverse=True)
@@ -59,24 +65,26 @@ def collapse_umis(mols: DataFrame, mode: str = "1MM_CR") -> DataFrame:
             total[find(i)] = total.get(find(i), 0) + n
         return [(rows[i][0], n) for i, n in total.items()]
 
+    names = [*key, "umi", "n_reads"]
+
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held = None, []
+        at, held = None, []
         for batch in batches:
             out = []
-            for cell, gene, u, n in batch.itertuples(index=False):
-                if (cell, gene) != key:
-                    out += [(*key, *r) for r in components(held)] if held else []
-                    key, held = (cell, gene), []
+            for *own, u, n in batch.itertuples(index=False, name=None):
+                if own != at:
+                    out += [(*at, *r) for r in components(held)] if held else []
+                    at, held = own, []
                 held.append((u, n))
             if out:
-                yield pd.DataFrame(out, columns=["cell", "gene", "umi", "n_reads"])
+                yield pd.DataFrame(out, columns=names)
         if held:
-            yield pd.DataFrame([(*key, *r) for r in components(held)], columns=["cell", "gene", "umi", "n_reads"])
+            yield pd.DataFrame([(*at, *r) for r in components(held)], columns=names)
 
     # a group with one UMI has nothing to merge and stays out of Python; the others stream through it sorted
-    cols = mols.select("cell", "gene", "umi", "n_reads")
-    n = cols.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("cell", "gene")))
-    many = n.filter("k > 1").drop("k").repartition("cell", "gene").sortWithinPartitions("cell", "gene")
+    cols = mols.select(names)
+    n = cols.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy(*key)))
+    many = n.filter("k > 1").drop("k").repartition(*key).sortWithinPartitions(*key)
     return n.filter("k = 1").drop("k").unionByName(many.mapInPandas(merged, cols.schema))
 
 
@@ -84,7 +92,7 @@ def filter_multigene_umis(mols: DataFrame, mode: str = "MultiGeneUMI_CR") -> Dat
     """A UMI of a cell seen in several genes stays with the gene that has strictly most reads, or goes."""
     if mode == "-":
         return mols
-    w = Window.partitionBy("cell", "umi")
+    w = Window.partitionBy(*owners(mols, "cell", "umi"))
     top = F.max("n_reads").over(w)
     m = mols.withColumn("__top", top)
     m = m.withColumn("__ties", F.count_if(F.col("n_reads") == F.col("__top")).over(w))
@@ -92,7 +100,8 @@ def filter_multigene_umis(mols: DataFrame, mode: str = "MultiGeneUMI_CR") -> Dat
 
 
 def count_matrix(mols: DataFrame, dataset: str | None = None) -> DataFrame:
-    c = mols.groupBy("cell", "gene").agg(F.count(F.lit(1)).alias("umis"))
+    """(sample,) cell, gene, umis; ``dataset`` names a frame of one sample."""
+    c = mols.groupBy(*owners(mols, "cell", "gene")).agg(F.count(F.lit(1)).alias("umis"))
     return c.withColumn("dataset", F.lit(dataset)) if dataset else c
 
 

@@ -335,6 +335,13 @@ def overlap_join(spark, d):
     return intervals.overlap_join(a, features(spark, d), 1024).select("pair_id", "gene")
 
 
+@query("overlap_join_salted", "SELECT pair_id, gene FROM fx_alignments a JOIN fx_features f ON a.contig=f.contig AND pos<=f_end AND f_start<=end_pos WHERE flag&4=0")
+def overlap_join_salted(spark, d):
+    """The way of features that are too many to broadcast."""
+    a = alignments(spark, d).filter(align.lacks_flags(4))
+    return intervals.overlap_join(a, features(spark, d), 1024, most=0).select("pair_id", "gene")
+
+
 @query("rrna_share", """WITH h AS (SELECT pair_id, count(DISTINCT gene) AS n FROM fx_alignments a JOIN fx_features f ON a.contig=f.contig AND pos<=f_end AND f_start<=end_pos WHERE flag&4=0 AND nh=1 AND ftype='rRNA' GROUP BY 1),
  r AS (SELECT count(*) AS rrna FROM h WHERE n=1), u AS (SELECT count(*) AS "unique" FROM fx_alignments WHERE flag&4=0 AND nh=1) SELECT rrna, "unique", round(rrna/"unique",4) AS rrna_share FROM r, u""")
 def rrna_share(spark, d):
@@ -361,6 +368,30 @@ def _exons(spark, d) -> DataFrame:
     )
 
 
+_TWO_BLOCKS = """b AS (SELECT pair_id, contig, CASE WHEN flag&16<>0 THEN '-' ELSE '+' END AS strand, unnest([pos%30000+1, pos%30000+1+CASE WHEN pair_id%3=0 THEN 200 ELSE 100 END]) AS p0, pair_id%30 AS w FROM (SELECT *, CASE WHEN user_id_%2=0 THEN 'chr1' ELSE 'chr2' END AS contig FROM (SELECT * EXCLUDE (contig), pair_id AS user_id_ FROM fx_alignments) u) a WHERE flag&4=0),
+ bl AS (SELECT pair_id, contig, strand, cast(p0-p0%10 as int) AS s, cast(p0-p0%10+w as int) AS e FROM b)"""
+
+
+def _spliced(spark, d) -> DataFrame:
+    """Reads of two blocks of 1 to 30 bases, one or two exon lengths apart."""
+    a = alignments(spark, d).filter(align.lacks_flags(4))
+    p = F.col("pos") % 30000 + 1
+    q = p + F.when(F.col("pair_id") % 3 == 0, 200).otherwise(100)
+    block = lambda at: F.struct((at - at % 10).cast("int").alias("start"), (at - at % 10 + F.col("pair_id") % 30).cast("int").alias("end"))
+    return a.select(
+        F.col("pair_id").alias("read_id"), F.when(F.col("pair_id") % 2 == 0, "chr1").otherwise("chr2").alias("contig"), F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"),
+        F.array(block(p), block(q)).alias("blocks"),
+    )
+
+
+@query("assign_genes_exonic", f"WITH {_EXONS.replace('f_start, f_end FROM', 's0 AS f_start, s0+39 AS f_end FROM')}, {_TWO_BLOCKS}" + """, h AS (SELECT pair_id, transcript, gene FROM bl JOIN ex ON bl.contig=ex.contig AND bl.strand=ex.strand AND s>=f_start AND e<=f_end GROUP BY 1, 2, 3 HAVING count(DISTINCT s)=2)
+ SELECT pair_id AS read_id, array_to_string(list_sort(list(DISTINCT gene)),',') AS genes, 'exonic' AS level FROM h GROUP BY 1""")
+def assign_genes_exonic(spark, d):
+    """Mode Gene: both blocks of a read inside exons of one transcript, along its strand."""
+    out = intervals.assign_genes(_spliced(spark, d), _exons(spark, d), "Gene")
+    return out.select("read_id", F.array_join("genes", ",").alias("genes"), "level")
+
+
 @query("introns", f"WITH {_EXONS.replace('f_start, f_end FROM', 's0 AS f_start, s0+39 AS f_end FROM')}" + """, g AS (SELECT *, lead(f_start) OVER (PARTITION BY transcript ORDER BY f_start) AS nx FROM ex),
  i AS (SELECT gene, contig, strand, f_end+1-5 AS f_start, nx-1+5 AS f_end FROM g WHERE nx>f_end+1), a AS (SELECT *, max(f_end) OVER (PARTITION BY gene ORDER BY f_start, f_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM i),
  b AS (SELECT *, sum(CASE WHEN reach IS NULL OR f_start>reach+1 THEN 1 ELSE 0 END) OVER (PARTITION BY gene ORDER BY f_start, f_end ROWS UNBOUNDED PRECEDING) AS n FROM a), m AS (SELECT gene, contig, strand, min(f_start) AS f_start, max(f_end) AS f_end FROM b GROUP BY gene, contig, strand, n)
@@ -535,6 +566,26 @@ def filter_multigene_umis(spark, d):
     return umi.filter_multigene_umis(umi.collapse_umis(mols(spark, d)))
 
 
+@query("count_matrix_samples", """WITH mm AS (SELECT 'A' AS sample, cell, gene, umi, n_reads FROM fx_molecules UNION ALL SELECT 'B', cell, gene, umi, n_reads*(1+cast(gene AS INT)%3) FROM fx_molecules WHERE n_reads>1),
+ n AS (SELECT a.sample, a.cell, a.gene, a.umi, a.n_reads, max(struct_pack(r := b.n_reads, u := b.umi)) AS best FROM mm a LEFT JOIN mm b ON a.sample=b.sample AND a.cell=b.cell AND a.gene=b.gene AND hamming(a.umi,b.umi)=1 GROUP BY ALL),
+ t AS (SELECT sample, cell, gene, CASE WHEN best.r IS NOT NULL AND (best.r>n_reads OR (best.r=n_reads AND best.u>umi)) THEN best.u ELSE umi END AS umi, n_reads FROM n), m AS (SELECT sample, cell, gene, umi, CAST(sum(n_reads) AS BIGINT) AS n_reads FROM t GROUP BY ALL),
+ k AS (SELECT *, max(n_reads) OVER (PARTITION BY sample, cell, umi) AS top FROM m), j AS (SELECT *, count(*) FILTER (n_reads=top) OVER (PARTITION BY sample, cell, umi) AS ties FROM k)
+ SELECT sample, cell, gene, count(*) AS umis FROM j WHERE n_reads=top AND ties=1 GROUP BY 1, 2, 3""")
+def count_matrix_samples(spark, d):
+    """Two samples with equal barcodes in one frame of tagged reads, from reads to counts."""
+    m = mols(spark, d)
+    b = m.filter("n_reads > 1").withColumn("n_reads", F.col("n_reads") * (1 + F.col("gene").cast("int") % 3))
+    tagged = m.withColumn("sample", F.lit("A")).unionByName(b.withColumn("sample", F.lit("B"))).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_reads").cast("long"))))
+    return umi.count_matrix(umi.filter_multigene_umis(umi.collapse_umis(umi.molecules(tagged))))
+
+
+@query("collapse_umis_samples", """WITH mm AS (SELECT CASE WHEN n_reads%2=0 THEN 'A' ELSE 'B' END AS sample, cell, gene, umi, n_reads FROM fx_molecules), g AS (SELECT sample, cell, gene, CAST(sum(n_reads) AS BIGINT) AS n_reads FROM mm GROUP BY ALL) SELECT * FROM g""")
+def collapse_umis_samples(spark, d):
+    """Connected UMIs of two samples: no reads move between samples."""
+    m = mols(spark, d).withColumn("sample", F.when(F.col("n_reads") % 2 == 0, "A").otherwise("B"))
+    return umi.collapse_umis(m, "1MM_All").groupBy("sample", "cell", "gene").agg(F.sum("n_reads").alias("n_reads"))
+
+
 @query("count_matrix", _FILTER + "SELECT cell, gene, count(*) AS umis FROM k WHERE n_reads=top AND ties=1 GROUP BY 1, 2")
 def count_matrix(spark, d):
     return umi.count_matrix(umi.filter_multigene_umis(umi.collapse_umis(mols(spark, d))))

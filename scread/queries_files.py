@@ -84,7 +84,7 @@ def segment_whitelists(spark, d):
 def barcode_sheet(spark, d):
     path = folder(spark, "barcodes")
     barcodes(spark, d).write.option("sep", "\t").option("header", True).csv(path)
-    return t_in.read_barcodes(spark, path)
+    return t_in.read_barcodes(spark, path).select("type", "barcode", "sequence")
 
 
 @query("sample_sheet", "SELECT concat('S',cast(c_custkey AS VARCHAR)) AS sample_name, concat('r2_',cast(c_custkey AS VARCHAR)) AS fastq_cdna, concat('r1_',cast(c_custkey AS VARCHAR)) AS fastq_bc_umi, CASE WHEN c_nationkey%2=0 THEN cast(c_nationkey*100 AS VARCHAR) END AS expected_cells, CASE WHEN c_nationkey%3=0 THEN 'A01:H01' ELSE '' END AS p5, '' AS p7, '' AS rt FROM customer")

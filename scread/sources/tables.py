@@ -28,7 +28,14 @@ def samples_for(samples: DataFrame, experiment: str | None = None) -> DataFrame:
 
 
 def read_barcodes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("sep", "\t").csv(path).select(*[F.col(c).cast("string") for c in ("type", "barcode", "sequence")])
+    """type, barcode, sequence and row_no, the line: of keys with one sequence the last counts. Blank fields are null."""
+    lines = numbered_lines(spark, path)
+    head = lines.orderBy("line_no").first()
+    names = head["value"].rstrip("\r").split("\t") if head else []
+    f = F.split(F.rtrim("value", F.lit("\r")), "\t")
+    at = lambda c: F.nullif(F.get(f, F.lit(names.index(c))), F.lit("")) if c in names else F.lit(None).cast("string")
+    rows = lines.filter(F.col("value") != (head["value"] if head else "")).filter("value <> ''")
+    return rows.select(*[at(c).alias(c) for c in ("type", "barcode", "sequence")], F.col("line_no").alias("row_no"))
 
 
 def read_well_whitelist(spark: SparkSession, path: str) -> DataFrame:

@@ -4,7 +4,7 @@ import json
 from conftest import rows
 from pyspark.sql import functions as F
 
-from scread.operators import align, intervals, tables
+from scread.operators import align, intervals, match, tables
 from scread.sinks import fastq as fq_out
 from scread.sinks import tables as t_out
 from scread.sources import fastq, metrics
@@ -47,8 +47,9 @@ def test_sheets_and_lists(spark, tmp_path):
     assert rows(t_in.read_well_whitelist(spark, wl)) == [("ACGT", "A2")]
     a, b = put(tmp_path / "a.txt.gz", "AC\nGT\n"), put(tmp_path / "b.txt", "TT\n")
     assert rows(t_in.read_whitelist(spark, [a, b])) == [(1, "AC"), (1, "GT"), (2, "TT")]
-    bc = put(tmp_path / "b.tsv", "type\tbarcode\tsequence\np5\tA01\tACGT\n")
-    assert rows(t_in.read_barcodes(spark, bc)) == [("p5", "A01", "ACGT")]
+    bc = put(tmp_path / "b.tsv", "type\tbarcode\tsequence\np5\tZ01\tACGT\np5\tA01\tACGT\n")
+    assert rows(t_in.read_barcodes(spark, bc)) == [("p5", "A01", "ACGT", 3), ("p5", "Z01", "ACGT", 2)]
+    assert rows(match.sheet_keys(t_in.read_barcodes(spark, bc))) == [("ACGT", "A01")]
     h = put(tmp_path / "h.tsv", "hash_name\tbarcode\nh1\tACGT\n")
     s = spark.createDataFrame([("s1", h), ("s1", "other"), ("s2", None)], "sample_name string, hashing string")
     assert rows(t_in.read_hash_sheets(spark, s)) == [("s1", "h1", "ACGT")]

@@ -2,7 +2,7 @@ import numpy as np
 from conftest import rows
 from pyspark.sql import functions as F
 
-from scread.operators import cells, intervals, match, readqc, sheets, tables, taxonomy, umi
+from scread.operators import cells, intervals, match, readqc, sci, sheets, tables, taxonomy, umi
 
 EXON = "gene int, transcript string, contig string, strand string, f_start int, f_end int"
 
@@ -215,3 +215,51 @@ def test_last_key_of_a_sheet_wins(spark):
     df = spark.createDataFrame([("AC",), ("GT",), ("TT",)], "s string")
     for keys in (sheet, sheet.drop("row_no")):
         assert {r["s"]: r["hit"] and r["hit"]["name"] for r in match.match_exact(df, "s", keys, "hit").collect()} == {"AC": "a", "GT": "b", "TT": None}
+
+
+def test_overlap_ways(spark):
+    r = spark.createDataFrame([(i, "c", i * 7 % 500 + 1, i * 7 % 500 + 1 + i % 40) for i in range(300)] + [(999, "m", 5, 9)] * 3, "read_id int, contig string, pos int, end_pos int")
+    f = spark.createDataFrame([(i, "c", i * 11 + 1, i * 11 + 60) for i in range(40)] + [(77, "m", 1, 3000)], "gene int, contig string, f_start int, f_end int")
+    want = sorted((x["read_id"], y["gene"]) for x in r.collect() for y in f.collect() if x["contig"] == y["contig"] and x["pos"] <= y["f_end"] and y["f_start"] <= x["end_pos"])
+    kept = intervals.CROWDED_BIN
+    intervals.CROWDED_BIN = 20
+    try:
+        for most in (0, 10_000):
+            j = intervals.overlap_join(r, f, 64, most=most)
+            assert sorted(map(tuple, j.select("read_id", "gene").collect())) == want
+            plan = j._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan and "hashpartitioning" not in plan) == (most > 0)
+    finally:
+        intervals.CROWDED_BIN = kept
+
+
+def test_only_key(spark):
+    h = spark.createDataFrame([("s", "one", "AAAA"), ("s", "two", "AAT"), ("s", "dup", "GGG"), ("s", "dup2", "GGG"), ("s", "in", "CCAT"), ("t", "x", "AAT")], "sample_name string, hash_name string, barcode string")
+    df = spark.createDataFrame([(1, "s", "CAAAAC"), (2, "s", "CAAAAAAAC"), (3, "s", "CAAAAAC"), (4, "s", "CAAAAT"), (5, "s", "TGGGT"), (6, "s", "CCAAT"), (7, "t", "CAATC"), (8, "t", "AATAAT"), (9, "u", "AAT"), (10, "s", None), (11, "s", "CCATC")], "i int, sample_name string, t string")
+    got = {r["i"]: r["k"] and tuple(r["k"]) for r in df.select("i", sci.only_key(h)("sample_name", "t").alias("k")).collect()}
+    # a run of five letters holds the key once as a search goes on behind the hit, of seven once, of eight twice
+    assert got == {1: ("AAAA", "one"), 2: ("AAAA", "one"), 3: ("AAAA", "one"), 4: None, 5: None, 6: ("AAT", "two"), 7: ("AAT", "x"), 8: None, 9: None, 10: None, 11: ("CCAT", "in")}
+
+
+def test_segments(spark):
+    keys = spark.createDataFrame([(1, "AAAA"), (1, "AATT"), (2, "CC"), (2, "GG"), (2, "CG")], "segment int, sequence string")
+    df = spark.createDataFrame([(1, "AAAA", "IIII", "CC"), (2, "AAAT", "III!", "GG"), (3, "AAAT", "!!!I", "CC"), (4, "AAAC", "IIII", "TC"), (5, "TTTT", "IIII", "CC"), (6, None, None, "CC"), (7, "AAAA", "IIII", "CC"), (8, "AAAA", "IIII", "NC")], "i int, s1 string, q1 string, s2 string")
+    run = lambda mode: {r["i"]: r["cb"] for r in match.correct_segments(df, [("s1", "q1"), ("s2", None)], keys, mode, sep="_").collect()}
+    assert run("Exact") == {1: "AAAA_CC", 2: None, 3: None, 4: None, 5: None, 6: None, 7: "AAAA_CC", 8: None}
+    assert run("1MM") == {1: "AAAA_CC", 2: None, 3: None, 4: "AAAA_CC", 5: None, 6: None, 7: "AAAA_CC", 8: "AAAA_CC"}
+    # AAAT: AAAA (three exact reads) differs at the fourth base, AATT at the third, and the qualities decide
+    many = run("1MM_multi_Nbase_pseudocounts")
+    assert many[2] == "AAAA_GG" and many[3] is None or many[3] == "AATT_CC"
+    assert many[1] == many[7] == "AAAA_CC" and many[5] is None and many[6] is None
+
+
+def test_frequent(spark):
+    rows = [("hot",)] * 400 + [(f"r{i}",) for i in range(590)] + [("warm",)] * 10 + [(None,)] * 10
+    df = spark.createDataFrame(rows, "sequence string").repartition(7)
+    assert rows_of(readqc.frequent(df, 0.009)) == [("hot", 400), ("warm", 10)]
+    assert readqc.frequent(df.limit(0), 0.1).count() == 0
+    assert readqc._lowered(readqc.Counter({"a": 9, "b": 5, "c": 3, "d": 3}), 2) == {"a": 6, "b": 2}
+
+
+def rows_of(df):
+    return sorted((r["sequence"], r["reads"]) for r in df.collect())
