@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import revcomp
+from .kmers import kmer_hits
 
 
 def ancestors(tree: DataFrame, depth: int = 64) -> DataFrame:
@@ -43,7 +44,7 @@ def kmer_taxa(references: DataFrame, paths: DataFrame, k: int = 31) -> DataFrame
 
 def classify_reads(reads: DataFrame, kmers: DataFrame, paths: DataFrame, k: int = 31) -> DataFrame:
     """read_id and taxid: the taxon whose path to the root has most hits, ties to the lowest common ancestor, no hit null."""
-    hits = canonical_kmers(reads, "read_id", "seq", k).join(kmers, "kmer").groupBy("read_id", "taxid").agg(F.count(F.lit(1)).alias("hits"))
+    hits = kmer_hits(reads, kmers, k)
     up = hits.select("read_id", F.col("taxid").alias("ancestor"), "hits")
     score = hits.select("read_id", "taxid").join(paths, "taxid").join(up, ["read_id", "ancestor"]).groupBy("read_id", "taxid").agg(F.sum("hits").alias("score"))
     best = score.withColumn("top", F.max("score").over(Window.partitionBy("read_id"))).filter("score = top")
