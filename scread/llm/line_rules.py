@@ -14,9 +14,9 @@ from .common import n_words, stage
 
 SPACES = " \t\n\x0b\x0c\r"
 RUN = r"[\x20\x09-\x0D]+"
-MIN_DOCS = 10
+MIN_DOCS = 5
 DOC_SHARE = 0.0
-LEAST_LEFT = 0.3
+LEAST_LEFT = 0.75
 LONG_WORDS = 1 << 16
 
 
@@ -139,7 +139,7 @@ p AS (SELECT doc_id, host, text, count(DISTINCT q) AS n_repeat_words
 l AS (SELECT doc_id, host, text, trim(x, ' ') AS line FROM (SELECT doc_id, host, text,
   unnest(string_split(regexp_replace(lower(text), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))) AS x FROM d)),
 c AS (SELECT host, line, count(DISTINCT (doc_id, text)) AS n FROM l WHERE line <> '' GROUP BY ALL),
-f AS (SELECT host, line FROM c WHERE n > 10),
+f AS (SELECT host, line FROM c WHERE n > 5),
 x AS (SELECT doc_id, host, text, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS n_removed_words
   FROM l JOIN f USING (host, line) GROUP BY ALL),
 b AS (SELECT o.doc_id, len(w.ws) AS n_words, length(array_to_string(w.ws, '')) AS word_chars,
@@ -152,6 +152,6 @@ b AS (SELECT o.doc_id, len(w.ws) AS n_words, length(array_to_string(w.ws, '')) A
   LEFT JOIN x ON w.doc_id IS NOT DISTINCT FROM x.doc_id AND w.host = x.host AND w.text = x.text)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_removed_words > 0.3 * n_words AS kept
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_removed_words > 0.75 * n_words AS kept
 FROM b
 """
