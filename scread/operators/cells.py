@@ -88,6 +88,23 @@ def call_cells_quantile(cells: DataFrame, expected: int, q: float = 0.99, ratio:
     return cells.join(quantile_threshold(cells, expected, q, ratio), "dataset").filter(F.col("umis") >= F.col("threshold"))
 
 
+def ranked_between(cells: DataFrame, low: int, high: int) -> DataFrame:
+    """Cells of ranks ``low`` to ``high`` by UMIs, the most first, ties by name, per dataset.
+
+    The histogram of counts has the ranks that each count takes. Counts that lie inside come whole; only the names of a count
+    that a border cuts are ordered, no more of them than ``high`` a task.
+    """
+    h = cells.groupBy("dataset", "umis").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("dataset").orderBy(F.desc("umis")).rowsBetween(Window.unboundedPreceding, 0)
+    h = h.withColumn("__last", F.sum("n").over(upto)).withColumn("__first", F.col("__last") - F.col("n") + 1)
+    h = h.filter((F.col("__last") >= low) & (F.col("__first") <= high)).drop("n")
+    inside = (F.col("__first") >= low) & (F.col("__last") <= high)
+    whole = cells.join(h.filter(inside), ["dataset", "umis"], "left_semi").select(cells.columns)
+    cut = cells.join(h.filter(~inside), ["dataset", "umis"])
+    cut = cut.withColumn("__n", F.row_number().over(Window.partitionBy("dataset", "umis").orderBy("cell"))).filter(F.col("__n") <= high)
+    return whole.unionByName(cut.filter((F.col("__n") + F.col("__first") - 1).between(low, high)).select(cells.columns))
+
+
 def emptydrops_candidates(
     counts: DataFrame, expected: int, ambient: tuple[int, int] = (45_000, 90_000), least_umis: int = 500, least_share: float = 0.01, most: int = 20_000
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -99,14 +116,13 @@ def emptydrops_candidates(
     cells = cell_summary(counts)
     called = call_cells_quantile(cells, expected).select("dataset", "cell", "umis", "genes")
     w = Window.partitionBy("dataset").orderBy(F.desc("umis"), "cell")
-    ranked = cells.withColumn("rank", F.row_number().over(w))
-    empty = ranked.filter(F.col("rank").between(ambient[0], ambient[1])).select("dataset", "cell")
+    empty = ranked_between(cells, *ambient).select("dataset", "cell")
     profile = counts.join(empty, ["dataset", "cell"]).groupBy("dataset", "gene").agg(F.sum("umis").alias("a"))
     genes = counts.select("dataset", "gene").distinct().join(profile, ["dataset", "gene"], "left").fillna(0, ["a"])
     g = genes.groupBy("dataset").agg(F.count(F.lit(1)).alias("g"), F.sum("a").alias("total"))
     logp = genes.join(g, "dataset").filter("total > 0").select("dataset", "gene", F.log((F.col("a") + 1 / F.col("g")) / (F.col("total") + 1)).alias("logp"))
     floor = called.groupBy("dataset").agg(F.greatest(F.lit(float(least_umis)), F.median("umis") * least_share).alias("floor"))
-    tested = ranked.join(called.select("dataset", "cell"), ["dataset", "cell"], "left_anti").join(floor, "dataset").filter(F.col("umis") >= F.col("floor"))
+    tested = cells.join(called.select("dataset", "cell"), ["dataset", "cell"], "left_anti").join(floor, "dataset").filter(F.col("umis") >= F.col("floor"))
     tested = tested.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= most).select("dataset", "cell", "umis", "genes")
     joined = counts.join(tested.select("dataset", "cell"), ["dataset", "cell"]).join(logp, ["dataset", "gene"])
     observed = joined.groupBy("dataset", "cell").agg(F.sum(F.col("umis") * F.col("logp")).alias("loglik"))

@@ -245,6 +245,41 @@ def _corrected(spark, d, mode):
     return match.correct_cb(r, "o", None, barcodes(spark, d).filter("type = 'rt'").select("sequence"), mode).select("pair_id", "cb")
 
 
+_SEGMENTS = """WITH wl AS (SELECT CASE type WHEN 'p5' THEN 1 WHEN 'rt' THEN 2 ELSE 3 END AS g, sequence FROM fx_barcodes WHERE type IN ('p5','rt','p7')),
+ rd AS (SELECT pair_id, pair_id%2 AS sm, reverse(translate(split_part(comment,'+',2),'ACGT','TGCA')) AS s1, substr(r1_seq,25,10) AS s2, regexp_extract(comment,'([A-Z]+)[+]',1) AS s3 FROM fx_reads),
+ lg AS (SELECT pair_id, sm, 1 AS g, s1 AS o FROM rd UNION ALL SELECT pair_id, sm, 2, s2 FROM rd UNION ALL SELECT pair_id, sm, 3, s3 FROM rd),
+ ex AS (SELECT sm, g, o, count(*) AS c FROM lg JOIN wl USING (g) WHERE o=sequence GROUP BY 1, 2, 3),
+ nr AS (SELECT q.sm, q.g, q.o, sequence, coalesce(ex.c,0)+1 AS w FROM (SELECT DISTINCT sm, g, o FROM lg) q JOIN wl ON wl.g=q.g AND length(q.o)=length(sequence) AND hamming(q.o,sequence)=1 LEFT JOIN ex ON ex.sm=q.sm AND ex.g=q.g AND ex.o=sequence),
+ pk AS (SELECT sm, g, o, count(*) AS k, arg_max(sequence,w) AS best, max(w)/sum(w) AS s FROM nr GROUP BY 1, 2, 3),
+ fd AS (SELECT lg.pair_id, lg.g, CASE WHEN wl.sequence IS NOT NULL THEN wl.sequence WHEN {} THEN pk.best END AS cb FROM lg LEFT JOIN wl ON wl.g=lg.g AND wl.sequence=lg.o LEFT JOIN pk ON pk.sm=lg.sm AND pk.g=lg.g AND pk.o=lg.o)
+ SELECT pair_id, CASE WHEN count(cb)=3 THEN string_agg(cb,'_' ORDER BY g) END AS cb FROM fd GROUP BY 1"""
+
+
+def _segmented(spark, d, mode):
+    """Barcodes of three segments, in two samples; no qualities, so weights are reads alone."""
+    r = reads(spark, d).select(
+        "pair_id", (F.col("pair_id") % 2).alias("sm"), seq.revcomp(F.substring_index("comment", "+", -1)).alias("s1"), F.substring("r1_seq", 25, 10).alias("s2"), F.regexp_extract("comment", "([A-Z]+)[+]", 1).alias("s3"),
+    )
+    segment = F.when(F.col("type") == "p5", 1).when(F.col("type") == "rt", 2).when(F.col("type") == "p7", 3)
+    keys = barcodes(spark, d).select(segment.alias("segment"), "sequence").filter("segment is not null")
+    return match.correct_segments(r, [("s1", None), ("s2", None), ("s3", None)], keys, mode, sample="sm", sep="_").select("pair_id", "cb")
+
+
+@query("correct_segments_exact", _SEGMENTS.format("false"))
+def correct_segments_exact(spark, d):
+    return _segmented(spark, d, "Exact")
+
+
+@query("correct_segments_1mm", _SEGMENTS.format("pk.k=1"))
+def correct_segments_1mm(spark, d):
+    return _segmented(spark, d, "1MM")
+
+
+@query("correct_segments_posterior", _SEGMENTS.format("pk.s>=0.975"))
+def correct_segments_posterior(spark, d):
+    return _segmented(spark, d, "1MM_multi_Nbase_pseudocounts")
+
+
 _INDEX = "WITH k AS (SELECT reverse(translate(sequence,'ACGT','TGCA')) AS b FROM fx_barcodes WHERE type='p5' AND barcode='C01') SELECT {} FROM fx_reads, k WHERE length(split_part(comment,'+',2))=length(b) AND hamming(split_part(comment,'+',2),b)<=1"
 
 
@@ -591,12 +626,35 @@ def count_matrix(spark, d):
     return umi.count_matrix(umi.filter_multigene_umis(umi.collapse_umis(mols(spark, d))))
 
 
-@query("em_multigene")
+# expectation-maximisation as a recursion: a row is a gene's share after a turn, and a cell whose shares moved by less than a hundredth has no further turn
+_EM = """, st AS (SELECT cell, genes, count(*) AS n, row_number() OVER () AS sid FROM (SELECT cell, umi, list_sort(list(DISTINCT gene)) AS genes FROM {} GROUP BY 1, 2) u GROUP BY 1, 2),
+ el AS (SELECT cell, sid, n, len(genes) AS k, unnest(genes) AS gene FROM st), ba AS (SELECT cell, gene, CAST(sum(CASE WHEN k=1 THEN n ELSE 0 END) AS DOUBLE) AS u FROM el GROUP BY 1, 2),
+ em AS (SELECT 0 AS it, cell, gene, u, u+1 AS theta, false AS done FROM ba
+  UNION ALL SELECT it+1, cell, gene, u, new, max(abs(new-theta)/greatest(theta,1e-12)) OVER (PARTITION BY cell)<0.01 FROM (
+   SELECT it, cell, gene, any_value(u) AS u, any_value(theta) AS theta, any_value(u)+coalesce(sum(n*theta/den),0) AS new FROM (
+    SELECT em.it, em.cell, em.gene, em.u, em.theta, el.n, CASE WHEN el.sid IS NOT NULL THEN sum(em.theta) OVER (PARTITION BY em.cell, el.sid) END AS den
+    FROM em LEFT JOIN el ON el.cell=em.cell AND el.gene=em.gene AND el.k>1 WHERE NOT em.done AND em.it<100) q GROUP BY 1, 2, 3) y),
+ sh AS (SELECT cell, gene, arg_max(theta, it) AS umis FROM em GROUP BY 1, 2)"""
+
+
+@query("em_multigene", "WITH RECURSIVE " + _CR[5:] + _EM.format("m") + " SELECT cell, gene, round(umis,4) AS umis FROM sh")
 def em_multigene(spark, d):
-    """Rows only: an iteration that SQL does not express; a unit test holds it against a plain loop."""
     m = umi.collapse_umis(mols(spark, d))
     sets = m.groupBy("cell", "umi").agg(F.collect_set("gene").alias("genes")).groupBy("cell", "genes").agg(F.count(F.lit(1)).alias("n"))
-    return umi.em_multigene(sets)
+    return umi.em_multigene(sets).select("cell", "gene", F.round("umis", 4).alias("umis"))
+
+
+@query("splice_aware_em", "WITH RECURSIVE " + """ht AS (SELECT cell, umi, gene AS transcript, n_reads, concat('g',cast(gene AS INT)//2) AS g, CASE WHEN cast(gene AS INT)%2=0 THEN 'S' ELSE 'U' END AS st0 FROM fx_molecules WHERE n_reads<=3),
+ sp AS (SELECT cell, umi, g, sum(n_reads) AS reads, CASE WHEN count(DISTINCT st0)>1 THEN 'A' ELSE min(st0) END AS status FROM ht GROUP BY 1, 2, 3), bt AS (SELECT * FROM sp QUALIFY reads=max(reads) OVER (PARTITION BY cell, umi)),
+ mm AS (SELECT cell, umi, concat(g,'-',status) AS gene FROM bt)""" + _EM.format("mm") + """ SELECT cell, split_part(gene,'-',1) AS gene, round(coalesce(sum(umis) FILTER (split_part(gene,'-',2)='S'),0),4) AS "S", round(coalesce(sum(umis) FILTER (split_part(gene,'-',2)='U'),0),4) AS "U", round(coalesce(sum(umis) FILTER (split_part(gene,'-',2)='A'),0),4) AS "A" FROM sh GROUP BY 1, 2""")
+def splice_aware_em(spark, d):
+    """UMIs whose best genes tie, so that their counts are shared by the iteration."""
+    m = mols(spark, d).filter("n_reads <= 3")
+    hits = m.withColumn("read_id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_reads").cast("long"))))
+    hits = hits.select("cell", "umi", F.concat("gene", F.lit("/"), "read_id").alias("read_id"), F.concat(F.lit("t"), "gene").alias("transcript_id"), "gene")
+    t2g = hits.select("transcript_id", F.concat(F.lit("g"), F.floor(F.col("gene").cast("int") / 2)).alias("gene_id"), F.when(F.col("gene").cast("int") % 2 == 0, "S").otherwise("U").alias("status")).distinct()
+    out = umi.splice_aware_counts(hits.drop("gene"), t2g)
+    return out.select("cell", "gene", *[F.round(c, 4).alias(c) for c in "SUA"])
 
 
 _CURVE = """WITH r AS (SELECT cb, contig AS gene, as_score%16 AS umi, cast(concat('0x',substr(md5(cast(pair_id AS VARCHAR)),1,7)) AS BIGINT)/268435456.0 AS u FROM fx_alignments WHERE flag&4=0), f AS (SELECT unnest(generate_series(1,10))/10.0 AS fraction),

@@ -60,9 +60,9 @@ def _trimmed(spark, d) -> DataFrame:
     return trim.trim_pairs(pairs, ("AGATCGGA", "AGTTCGGT"), 3, 0.2)
 
 
-@query("trim_pairs", f"WITH {_MATES} SELECT * FROM f")
+@query("trim_pairs", f"WITH {_MATES} SELECT * REPLACE (coalesce(insert,-1) AS insert) FROM f")
 def trim_pairs(spark, d):
-    return _trimmed(spark, d).select("pair_id", "insert", "r1_seq", "r2_seq", F.length("r1_qual").alias("r1_left"), "r1_trim", "r2_trim")
+    return _trimmed(spark, d).select("pair_id", F.coalesce("insert", F.lit(-1)).cast("long").alias("insert"), "r1_seq", "r2_seq", F.length("r1_qual").cast("long").alias("r1_left"), "r1_trim", "r2_trim")
 
 
 @query("trim_counts", f"WITH {_MATES} SELECT mate, reason, count(*) AS reads, CAST(sum(n) AS BIGINT) AS bases FROM (SELECT 'r1' AS mate, coalesce(r1_trim,'none') AS reason, length(r1_seq) AS n FROM f UNION ALL SELECT 'r2', coalesce(r2_trim,'none'), length(r2_seq) FROM f) GROUP BY 1, 2")
@@ -156,9 +156,11 @@ def merge_lanes(spark, d):
     return tables.merge_lanes(lanes).select("sample", "p5", F.array_join("fastq_cdna", ",").alias("fastq_cdna"), F.array_join("fastq_index", ",").alias("fastq_index"))
 
 
-@query("check_sample_sheet", "WITH n AS (SELECT count(*) AS n FROM fx_samples) SELECT 'sample sheet' AS rule, unnest(['experiment_name','sample_name','species','n_expected_cells','path_bcl or path_fastq']) AS key, 'missing column' AS detail FROM n WHERE n>0")
+@query("check_sample_sheet", "WITH n AS (SELECT count(*) AS n FROM customer) SELECT 'sample sheet' AS rule, unnest(['species','n_expected_cells']) AS key, 'missing column' AS detail FROM n WHERE n>0")
 def check_sample_sheet(spark, d):
-    return sheets.check_sample_sheet(samples(spark, d))
+    """Customers as samples of their nations' experiments, with FASTQ paths but two columns short."""
+    c = _table(spark, d, "customer")
+    return sheets.check_sample_sheet(c.select(F.col("c_nationkey").alias("experiment_name"), F.col("c_custkey").alias("sample_name"), F.concat(F.lit("r"), "c_custkey").alias("path_fastq"), *[F.substring("c_name", 1, 3).alias(k) for k in ("p5", "p7", "rt")]))
 
 
 @query("check_ranges", """WITH s AS (SELECT p_partkey, chr(65+cast(p_partkey%8 AS INT)) AS a, chr(65+cast(p_size%8 AS INT)) AS b, p_partkey%12+1 AS c FROM part), x AS (SELECT *, a>b AS bad FROM s)
