@@ -22,10 +22,10 @@ from .common import stage
 from .labelled import calibrate, finish, with_label
 
 LEVEL = 19
-# bounds of what is learned from the labelled sample: dictionary sizes, the toxic texts that a window needs, and the
-# windows of each kind that reach the driver
-ORDINARY_BYTES, TOXIC_BYTES, FRAME_BYTES = 4096, 16_384, 40
-LEAST_DOCS = 2
+# bounds of what is learned from the labelled sample: dictionary sizes, the toxic texts, evidence (a part of the logarithm of
+# the number of windows) and log odds from which a window is toxic, and the windows of each kind that reach the driver
+ORDINARY_BYTES, TOXIC_BYTES, FRAME_BYTES = 4096, 4096, 40
+LEAST_DOCS, EVIDENCE, LEAST_ODDS = 2, 0.7, 4.5
 MAX_WINDOWS = 20_000
 CACHED_WINDOWS = 300_000
 LOW, HIGH = -2, 12
@@ -45,9 +45,9 @@ def train_dictionaries(windows: list[tuple[str, int, int]], n_toxic: int, n_ordi
     """(ordinary, toxic) dictionary contents from (window, toxic texts with it, ordinary texts with it).
 
     The ordinary one is chosen by zstandard's trainer, to which a window counts at most 20 times. The toxic one
-    adds the windows whose evidence passes the logarithm of their number, which chance alone lets about one window pass
-    at any size of the corpus; the strongest lie nearest the end, where they are cheapest to refer to. Both end in
-    the frame of the windows, which 200 toxic and 400 ordinary windows choose.
+    adds the windows with high odds whose evidence passes a part of the logarithm of their number, a bar that chance
+    hardly passes at any size of the corpus; the strongest lie nearest the end, where they are cheapest to refer to. Both
+    end in the frame of the windows, which 200 toxic and 400 ordinary windows choose.
     """
     odds = {w: log((t + 0.5) / (n_toxic + 1)) - log((o + 0.5) / (n_ordinary + 1)) for w, t, o in windows}
     ordinary = sorted((-o, w) for w, t, o in windows if odds[w] <= 1 and o)
@@ -57,8 +57,9 @@ def train_dictionaries(windows: list[tuple[str, int, int]], n_toxic: int, n_ordi
     except zstandard.ZstdError:  # too few samples to train on: their own bytes
         content = b" ".join(dict.fromkeys(samples))[-ORDINARY_BYTES:]
     content = content.rjust(2 * FRAME_BYTES, b" ")
-    share, bar = n_toxic / max(1, n_toxic + n_ordinary), log(max(2, len(windows)))
-    strong = [(evidence(t, o, share), w) for w, t, o in windows if t >= LEAST_DOCS and n_ordinary]
+    share, bar = n_toxic / max(1, n_toxic + n_ordinary), EVIDENCE * log(max(2, len(windows)))
+    least_odds = min(LEAST_ODDS, 0.6 * log(2 * n_ordinary + 2))  # few ordinary texts can't show high odds
+    strong = [(evidence(t, o, share), w) for w, t, o in windows if t >= LEAST_DOCS and n_ordinary and odds[w] > least_odds]
     toxic = [w.encode() for e, w in sorted(strong) if e > bar]
     extra = b"".join(b" " + w + b" " for w in toxic)[-TOXIC_BYTES:]
     # of some frames from the ordinary content, the one under which the two kinds of windows differ most
