@@ -46,9 +46,9 @@ def padded_rows(sheet: DataFrame, key: str) -> int:
 
 
 def sheet_keys(sheet: DataFrame) -> DataFrame:
-    """sequence, barcode: of rows with one sequence the last, by ``row_no`` if the sheet has it, else in the order of its rows."""
-    rows = sheet if "row_no" in sheet.columns else sheet.withColumn("row_no", F.monotonically_increasing_id())
-    return rows.groupBy("sequence").agg(F.max_by("barcode", "row_no").alias("barcode"))
+    """sequence, barcode: of rows with one sequence the last, by ``row_no`` as readers number it; a frame without it is taken as read."""
+    last = F.max_by("barcode", "row_no") if "row_no" in sheet.columns else F.last("barcode")  # a stream's plan takes no row ids
+    return sheet.groupBy("sequence").agg(last.alias("barcode"))
 
 
 def match_exact(df: DataFrame, seq: str, sheet: DataFrame, out: str) -> DataFrame:

@@ -19,7 +19,7 @@ def demultiplex(spark: SparkSession, sheet: str, barcodes: str, out: str, hashes
 
     ``demuxed`` is written once and read by all that follows: ``fastq`` per sample, ``discarded`` reads,
     ``whitelists`` per barcode type and ``qc`` tables. With ``hashes``, the sheet's column of hash sheets, reads of
-    hashes are counted and left out of the FASTQ files. Gzip files can't be split: ``partitions`` deals the pairs out.
+    hashes are counted and left out of the FASTQ files. Files that can't be read from the middle are one task each: ``partitions`` deals their pairs out.
     """
     samples, keys = t_in.read_samplesheet(spark, sheet), t_in.read_barcodes(spark, barcodes)
     pairs = fastq.read_fastq_pairs(spark, samples)
