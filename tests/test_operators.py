@@ -181,20 +181,20 @@ def test_emptydrops_against_plain_simulation(spark):
         lp.setdefault(r["dataset"], {})[r["gene"]] = r["logp"]
     want = set(plain)
     for d in ("a", "b"):
-        mine = [r for r in candidates.collect() if r["dataset"] == d]
+        mine = sorted((r for r in candidates.collect() if r["dataset"] == d), key=lambda r: r["cell"])
         v = np.array([lp[d][g] for g in sorted(lp[d])])
         p = np.exp(v) / np.exp(v).sum()
         ps = []
         for r in mine:
             ll = sum(n * lp[d][g] for dd, c, g, n in rows if c == r["cell"])
             assert abs(ll - r["loglik"]) < 1e-6
-            ps.append((1 + (rng.multinomial(r["umis"], p, 2000) @ v <= ll).sum()) / 2001)
+            ps.append((1 + (rng.multinomial(r["umis"], p, 20_000) @ v <= ll + 1e-9).sum()) / 20_001)
         q, low = np.empty(len(ps)), 1.0
         for i in np.argsort(ps)[::-1]:
             low = min(low, ps[i] * len(ps) / sum(x <= ps[i] for x in ps))
             q[i] = low
         want |= {r["cell"] for r, x in zip(mine, q) if x <= 0.05}
-    got = {r["cell"] for r in cells.call_cells_emptydrops(counts, 100, fdr=0.05, simulations=2000, **options).collect()}
+    got = {r["cell"] for r in cells.call_cells_emptydrops(counts, 100, fdr=0.05, simulations=20_000, **options).collect()}
     # two independent simulations: a verdict at the limit may differ
     assert len(got ^ want) <= 2 and {f"{d}{c}" for d in "ab" for c in range(8, 16)} <= got and len(got) < 2 * 60
     few = cells.call_cells_emptydrops(counts, 100, ambient=(5_000, 9_000))
@@ -263,3 +263,12 @@ def test_frequent(spark):
 
 def rows_of(df):
     return sorted((r["sequence"], r["reads"]) for r in df.collect())
+
+
+def test_ranked_between(spark):
+    rng = np.random.default_rng(2)
+    rows_ = [(d, f"c{i:03d}", int(rng.integers(1, 12))) for d in "ab" for i in range(90)]
+    df = spark.createDataFrame(rows_, "dataset string, cell string, umis int")
+    for low, high in ((1, 5), (20, 61), (88, 400), (91, 99)):
+        want = sorted(r for d in "ab" for r in sorted((x for x in rows_ if x[0] == d), key=lambda x: (-x[2], x[1]))[low - 1 : high])
+        assert sorted(map(tuple, cells.ranked_between(df, low, high).collect())) == want
