@@ -24,7 +24,7 @@ from .labelled import calibrate, finish, with_label
 LEVEL = 19
 # bounds of what is learned from the labelled sample: dictionary sizes, the toxic texts, evidence (a part of the logarithm of
 # the number of windows) and log odds from which a window is toxic, and the windows of each kind that reach the driver
-ORDINARY_BYTES, TOXIC_BYTES, FRAME_BYTES = 4096, 4096, 40
+ORDINARY_BYTES, TOXIC_BYTES, FRAME_BYTES = 4096, 2048, 40
 LEAST_DOCS, EVIDENCE, LEAST_ODDS = 2, 0.7, 4.5
 MAX_WINDOWS = 20_000
 CACHED_WINDOWS = 300_000
