@@ -106,12 +106,12 @@ def ranked_between(cells: DataFrame, low: int, high: int) -> DataFrame:
 
 
 def emptydrops_candidates(
-    counts: DataFrame, expected: int, ambient: tuple[int, int] = (45_000, 90_000), least_umis: int = 500, least_share: float = 0.01, most: int = 20_000
+    counts: DataFrame, expected: int, ambient: tuple[int, int] = (45_000, 90_000), least_umis: int = 500, least_share: float = 0.01, most: int | None = 20_000
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(called, profile, candidates): the quantile's cells, ``logp`` of each gene in the ambient barcodes, and the tested barcodes with ``loglik``.
 
     The ambient barcodes are those of the ranks ``ambient``; counts are smoothed by one over all genes. Candidates
-    have at least ``least_umis`` and ``least_share`` of the called cells' median, at most ``most`` a dataset.
+    have at least ``least_umis`` and ``least_share`` of the called cells' median, at most ``most`` a dataset (null: all).
     """
     cells = cell_summary(counts)
     called = call_cells_quantile(cells, expected).select("dataset", "cell", "umis", "genes")
@@ -123,7 +123,9 @@ def emptydrops_candidates(
     logp = genes.join(g, "dataset").filter("total > 0").select("dataset", "gene", F.log((F.col("a") + 1 / F.col("g")) / (F.col("total") + 1)).alias("logp"))
     floor = called.groupBy("dataset").agg(F.greatest(F.lit(float(least_umis)), F.median("umis") * least_share).alias("floor"))
     tested = cells.join(called.select("dataset", "cell"), ["dataset", "cell"], "left_anti").join(floor, "dataset").filter(F.col("umis") >= F.col("floor"))
-    tested = tested.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= most).select("dataset", "cell", "umis", "genes")
+    if most is not None:
+        tested = tested.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= most)
+    tested = tested.select("dataset", "cell", "umis", "genes")
     joined = counts.join(tested.select("dataset", "cell"), ["dataset", "cell"]).join(logp, ["dataset", "gene"])
     observed = joined.groupBy("dataset", "cell").agg(F.sum(F.col("umis") * F.col("logp")).alias("loglik"))
     return called, logp, tested.join(observed, ["dataset", "cell"])

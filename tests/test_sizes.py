@@ -23,3 +23,28 @@ def test_genes_beyond_ints(spark, high_keys):
 
 def test_nearest_gene_beyond_ints(spark, high_keys):
     assert QUERIES["nearest_gene"](spark, high_keys).collect() == []  # all genes lie behind the reads
+
+
+def test_coord_sort_with_few_samples(spark, sf):
+    """Ranges that are cut from few sampled lines, so that no two runs of the sort need agree on them."""
+    names = ("spark.sql.execution.rangeExchange.sampleSizePerPartition", "spark.sql.adaptive.coalescePartitions.enabled")
+    kept = [spark.conf.get(n) for n in names]
+    for n, value in zip(names, ("1", "false")):
+        spark.conf.set(n, value)
+    try:
+        found = QUERIES["coord_sort"](spark, sf).orderBy("place").collect()
+    finally:
+        for n, value in zip(names, kept):
+            spark.conf.set(n, value)
+    assert len(found) == spark.read.parquet(f"{sf}/events.parquet").count()
+    assert [r["place"] for r in found] == list(range(1, len(found) + 1))
+    assert [r[1:] for r in found] == sorted(r[1:] for r in found)
+
+
+def test_emptydrops_candidates_are_all_there(spark, tmp_path):
+    """More barcodes in one dataset than the operator's default tests."""
+    i = F.col("id")
+    drops = spark.range(20_500).select(F.lit("A").alias("l_returnflag"), (i * 4 + 1).alias("l_orderkey"), i.alias("l_suppkey"), (i % 300).alias("l_partkey"), F.lit(60.0).alias("l_quantity"))
+    cells = spark.range(3).select(F.lit("A").alias("l_returnflag"), (i * 4).alias("l_orderkey"), i.alias("l_suppkey"), i.alias("l_partkey"), F.lit(1000.0).alias("l_quantity"))
+    drops.unionByName(cells).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert QUERIES["emptydrops_candidates"](spark, str(tmp_path)).count() == 20_500
