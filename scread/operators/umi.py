@@ -9,7 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .match import substitutions
+from ..plans.shared import dealt
+
+TASK_ROWS = 250_000  # molecules of a task, which a mask a letter multiplies
 
 
 def owners(df: DataFrame, *more: str) -> list[str]:
@@ -35,7 +37,7 @@ def collapse_umis(mols: DataFrame, mode: str = "1MM_CR") -> DataFrame:
         # a pair of UMIs one letter apart agrees in the string with that letter masked: both meet under it
         masked = F.transform(F.sequence(F.lit(1), F.length("umi")), lambda i: F.concat(F.substring("umi", F.lit(1), i - 1), F.lit("*"), F.substring("umi", i + 1, F.length("umi"))))
         alone = F.col("umi").isNull() | (F.count(F.lit(1)).over(Window.partitionBy(*key)) == 1)
-        n = mols.select(*key, "umi", "n_reads", alone.alias("alone"))
+        n = dealt(mols.select(*key, "umi", "n_reads"), key, TASK_ROWS).withColumn("alone", alone)
         own = F.struct("n_reads", "umi")
         seen = n.filter(~F.col("alone")).select(*key, own.alias("own"), F.explode(masked).alias("mask"))
         best = seen.withColumn("best", F.max("own").over(Window.partitionBy(*key, "mask"))).groupBy(*key, "own").agg(F.max("best").alias("best"))
@@ -53,13 +55,13 @@ def collapse_umis(mols: DataFrame, mode: str = "1MM_CR") -> DataFrame:
                 i = root[i]
             return i
 
-        for u, i in place.items():
-            for at in range(len(u)):
-                for c in "ACGTN":
-                    j = place.get(u[:at] + c + u[at + 1 :])
-                    if j is not None:
-                        a, b = find(i), find(j)
-                        root[max(a, b)] = min(a, b)
+        # UMIs one letter apart are alike without it: the first of them stands for all that follow
+        for at in range(max(len(u) for u in place if u is not None)):
+            first: dict[str, int] = {}
+            for u, i in place.items():
+                if u is not None and at < len(u) and (j := first.setdefault(u[:at] + u[at + 1 :], i)) != i:
+                    a, b = find(i), find(j)
+                    root[max(a, b)] = min(a, b)
         total: dict[int, int] = {}
         for i, (_, n) in enumerate(rows):
             total[find(i)] = total.get(find(i), 0) + n
@@ -82,9 +84,9 @@ def collapse_umis(mols: DataFrame, mode: str = "1MM_CR") -> DataFrame:
             yield pd.DataFrame([(*at, *r) for r in components(held)], columns=names)
 
     # a group with one UMI has nothing to merge and stays out of Python; the others stream through it sorted
-    cols = mols.select(names)
+    cols = dealt(mols.select(names), key, TASK_ROWS)
     n = cols.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy(*key)))
-    many = n.filter("k > 1").drop("k").repartition(*key).sortWithinPartitions(*key)
+    many = n.filter("k > 1").drop("k").sortWithinPartitions(*key)
     return n.filter("k = 1").drop("k").unionByName(many.mapInPandas(merged, cols.schema))
 
 
@@ -94,7 +96,7 @@ def filter_multigene_umis(mols: DataFrame, mode: str = "MultiGeneUMI_CR") -> Dat
         return mols
     w = Window.partitionBy(*owners(mols, "cell", "umi"))
     top = F.max("n_reads").over(w)
-    m = mols.withColumn("__top", top)
+    m = dealt(mols, owners(mols, "cell", "umi"), TASK_ROWS).withColumn("__top", top)
     m = m.withColumn("__ties", F.count_if(F.col("n_reads") == F.col("__top")).over(w))
     return m.filter("n_reads = __top and __ties = 1").drop("__top", "__ties")
 
@@ -110,12 +112,14 @@ def _em(unique: dict, sets: list[tuple], most: int = 100, least_change: float =
     genes = sorted(set(unique) | {g for s, _ in sets for g in s})
     at = {g: i for i, g in enumerate(genes)}
     base = np.array([unique.get(g, 0) for g in genes], float)
-    members = [(np.array([at[g] for g in s]), n) for s, n in sets]
+    sizes = np.array([len(m) for m, _ in sets], int)
+    members = np.array([at[g] for m, _ in sets for g in m], int)
+    starts, weight = np.cumsum(sizes) - sizes, np.repeat(np.array([n for _, n in sets], float), sizes)
     theta = base + 1
     for _ in range(most):
-        new = base.copy()
-        for i, n in members:
-            new[i] += n * theta[i] / theta[i].sum()
+        part = theta[members]
+        whole = np.repeat(np.add.reduceat(part, starts), sizes) if len(sets) else part
+        new = base + np.bincount(members, weight * part / whole, len(genes))
         change = np.max(np.abs(new - theta) / np.maximum(theta, 1e-12)) if len(theta) else 0
         theta = new
         if change < least_change:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -20,3 +20,16 @@ def folder(spark: SparkSession, name: str) -> str:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to a new folder, for frames that are read several times."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def dealt(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """The rows dealt by keys over as many tasks as hold about ``rows`` each, so that a task's memory doesn't grow with the table."""
+    df = written(df, "dealt")
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows)), *keys)
