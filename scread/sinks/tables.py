@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.tables import CANONICAL, order_metrics, stack_ragged
+from ..plans.shared import written
 from .files import write_one_file
 
 
@@ -59,17 +60,17 @@ def _numbered(df: DataFrame, column: str, number: str) -> DataFrame:
 
     Values are range-partitioned; a place is the one inside a partition plus the sizes of those before it.
     """
-    keys = df.select(column).distinct().repartitionByRange(column).withColumn("__p", F.spark_partition_id())
+    keys = written(df.select(column).distinct().repartitionByRange(column).withColumn("__p", F.spark_partition_id()), "keys")  # another run may cut its ranges elsewhere
     w = Window.partitionBy("__p").orderBy(column)
     keys = keys.withColumn("__i", F.row_number().over(w))
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     sizes = keys.groupBy("__p").agg(F.max("__i").alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    return keys.join(F.broadcast(sizes.select("__p", "__before")), "__p").select(column, (F.col("__i") + F.col("__before")).alias(number))
+    return written(keys.join(F.broadcast(sizes.select("__p", "__before")), "__p").select(column, (F.col("__i") + F.col("__before")).alias(number)), "numbered")
 
 
 def write_mtx(counts: DataFrame, path: str, compress: bool = False) -> None:
     """matrix.mtx, features.tsv and barcodes.tsv, a file each (with .gz, block-compressed), in coordinate order by cell, then gene."""
-    end = ".gz" if compress else ""
+    end, counts = ".gz" if compress else "", written(counts, "counts")
     genes, barcodes = _numbered(counts, "gene", "g"), _numbered(counts, "cell", "c")
     body = counts.join(genes, "gene").join(barcodes, "cell").select(F.col("g").cast("long").alias("g"), F.col("c").cast("long").alias("c"), "umis")
     text = lambda df, at, column: df.repartitionByRange(at).sortWithinPartitions(at).select(F.col(column).cast("string").alias("value"))
