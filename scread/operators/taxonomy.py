@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import revcomp
+from ..plans.shared import folder
 from .kmers import kmer_hits
 
 
@@ -34,12 +35,31 @@ def canonical_kmers(seqs: DataFrame, key: str, seq: str, k: int = 31) -> DataFra
     return each.withColumn("kmer", F.least("kmer", revcomp("kmer")))
 
 
+def depth_first(paths: DataFrame) -> DataFrame:
+    """taxid, path (from the root to it) and place of each taxon, a taxon before all below it."""
+    path = F.transform(F.array_sort(F.collect_list(F.struct("level", "ancestor"))), lambda x: x["ancestor"])
+    each = paths.groupBy("taxid").agg(path.alias("path"))
+    return each.withColumn("place", F.row_number().over(Window.orderBy("path")))  # a row per taxon
+
+
 def kmer_taxa(references: DataFrame, paths: DataFrame, k: int = 31) -> DataFrame:
-    """kmer to the lowest common ancestor of the references (taxid, sequence) that hold it."""
-    own = canonical_kmers(references, "taxid", "sequence", k).distinct()
-    n = own.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
-    shared = own.join(paths, "taxid").groupBy("kmer", "ancestor").agg(F.count(F.lit(1)).alias("c"), F.max("level").alias("level"))
-    return shared.join(n, "kmer").filter("c = n").groupBy("kmer").agg(F.max_by("ancestor", "level").alias("taxid"))
+    """kmer to the lowest common ancestor of the references (taxid, sequence) that hold it.
+
+    The ancestor of all is that of the first and the last in depth-first order, so one aggregation finds both, and only
+    k-mers of several taxa meet paths. The k-mers are written once and no join has all of them on a side to broadcast.
+    """
+    order = depth_first(paths)
+    placed = references.join(order.select("taxid", "place"), "taxid", "left").select(F.struct("taxid", "place").alias("of"), "sequence")
+    own = canonical_kmers(placed, "of", "sequence", k).select("kmer", "of.taxid", "of.place")
+    path = folder(references.sparkSession, "kmers")
+    own.groupBy("kmer").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.min("taxid").alias("taxid"), F.bool_or(F.col("place").isNull()).alias("unknown")).write.parquet(path)
+    found = references.sparkSession.read.parquet(path).filter("not unknown")  # a reference outside the tree shares no ancestor
+    one, many = found.filter("first = last").select("kmer", "taxid"), found.filter("first <> last")
+    ends = many.select("first", "last").distinct()
+    for end in ("first", "last"):
+        ends = ends.join(order.select(F.col("place").alias(end), F.col("path").alias(f"{end}_path")), end)
+    common = ends.select("first", "last", F.try_element_at(F.array_intersect("first_path", "last_path"), F.lit(-1)).alias("taxid")).filter("taxid is not null")
+    return one.unionByName(many.select("kmer", "first", "last").hint("merge").join(common, ["first", "last"]).select("kmer", "taxid"))
 
 
 def classify_reads(reads: DataFrame, kmers: DataFrame, paths: DataFrame, k: int = 31) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from scread.operators import taxonomy, umi
 from scread.queries import QUERIES
 
 
@@ -48,3 +49,34 @@ def test_emptydrops_candidates_are_all_there(spark, tmp_path):
     cells = spark.range(3).select(F.lit("A").alias("l_returnflag"), (i * 4).alias("l_orderkey"), i.alias("l_suppkey"), i.alias("l_partkey"), F.lit(1000.0).alias("l_quantity"))
     drops.unionByName(cells).write.parquet(f"{tmp_path}/lineitem.parquet")
     assert QUERIES["emptydrops_candidates"](spark, str(tmp_path)).count() == 20_500
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kmers_are_not_broadcast(spark, tmp_path):
+    """The size of exploded k-mers is estimated as that of their references; they no join may have them on a side."""
+    refs = spark.createDataFrame([(1, "ACGTTGCAAC" * 5), (2, "ACGTTGCAAC" * 4 + "G"), (3, "TTTTTTTTTTGGGGGGGGGGTTTTTTTTTTGGG"), (9, "TTTTTTTTTTGGGGGGGGGGTTTTTTTTTTGG")], "taxid long, sequence string")
+    refs.write.parquet(f"{tmp_path}/refs")
+    refs = spark.read.parquet(f"{tmp_path}/refs")
+    paths = taxonomy.ancestors(spark.createDataFrame([(1, 5), (2, 5), (3, 6), (5, 7), (6, 7), (7, 7)], "taxid long, parent long"))
+    known = taxonomy.kmer_taxa(refs, paths)
+    assert "Join [kmer" not in _plan(known)
+    kmer = lambda s: min(s, s[::-1].translate(str.maketrans("ACGT", "TGCA")))
+    got = {r["kmer"]: r["taxid"] for r in known.collect()}
+    assert got[kmer("ACGTTGCAAC" * 3 + "A")] == 5 and got[kmer("TTTTTTTTTTGGGGGGGGGGTTTTTTTTTTGGG"[-31:])] == 3
+    assert kmer("TTTTTTTTTTGGGGGGGGGGTTTTTTTTTTG") not in got  # also of a taxon outside the tree
+    assert got[kmer(("ACGTTGCAAC" * 4 + "G")[-31:])] == 2 and 7 not in got.values()
+
+
+def test_molecules_are_dealt_by_their_number(spark):
+    """More molecules make more tasks, not larger ones."""
+    mols = spark.range(400).select((F.col("id") % 20).cast("string").alias("cell"), F.lit("g").alias("gene"), F.conv(F.col("id"), 10, 4).alias("umi"), F.lit(1).cast("long").alias("n_reads"))
+    kept, umi.TASK_ROWS = getattr(umi, "TASK_ROWS", None), 10
+    try:
+        found = [umi.collapse_umis(mols, "1MM_CR"), umi.collapse_umis(mols, "1MM_All"), umi.filter_multigene_umis(mols)]
+    finally:
+        umi.TASK_ROWS = kept
+    assert all("REPARTITION_BY_NUM" in _plan(df) and ", 40)" in _plan(df) for df in found)
+    assert all(df.agg(F.sum("n_reads")).first()[0] == 400 for df in found)
