@@ -108,6 +108,20 @@ def inserts(one: np.ndarray, n1: np.ndarray, two: np.ndarray, n2: np.ndarray, le
     return found
 
 
+def single_cuts(adapter: str, least: int, error: float):
+    """An Arrow function of sequences: bases to keep of each, null of null."""
+
+    def cuts(reads: pa.Array) -> pa.Array:
+        parts = []
+        for at in range(0, len(reads), _BLOCK):
+            block = reads.slice(at, _BLOCK)
+            letters, lengths = _bytes_of(block)
+            parts.append(pa.array(adapter_cuts(letters, lengths, adapter.encode(), least, error), pa.int32(), mask=block.is_null().to_numpy(zero_copy_only=False)))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.int32())
+
+    return F.arrow_udf(cuts, "int")
+
+
 def pair_cuts(adapters: tuple[str | None, str | None], least: int, error: float, min_insert: int, most: int, share: float):
     """An Arrow function of both mates' sequences: insert (null: none) and bases to keep of each."""
 

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from scread.operators import taxonomy, umi
+from scread.functions import seq
+from scread.operators import taxonomy, trim, umi
 from scread.queries import QUERIES
 
 
@@ -80,3 +81,10 @@ def test_molecules_are_dealt_by_their_number(spark):
         umi.TASK_ROWS = kept
     assert all("REPARTITION_BY_NUM" in _plan(df) and ", 40)" in _plan(df) for df in found)
     assert all(df.agg(F.sum("n_reads")).first()[0] == 400 for df in found)
+
+
+def test_adapter_by_batches(spark):
+    """The query's way of trimming against the plain expression, nulls and short reads included."""
+    reads = spark.createDataFrame([("ACGTACGTTGCAGG",), ("TTTTACG",), ("TTTTAC",), ("AC",), ("",), (None,), ("GGNNACGTTGGA",)], "s string")
+    both = reads.select(trim.single_cuts("ACGTTGCA", 3, 0.2)("s").alias("a"), seq.trim_adapter("s", "ACGTTGCA", 3, 0.2).alias("b")).collect()
+    assert [r["a"] for r in both] == [r["b"] for r in both] and both[5]["a"] is None
