@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.shared import written
 from .files import FastqPairs
 
+TASK_PAIRS = 100_000
+
 
 def _record(name: Column, comment: Column, seq: str, qual: str) -> Column:
     head = F.when(F.coalesce(comment, F.lit("")) == "", name).otherwise(F.concat(name, F.lit(" "), comment))
@@ -16,17 +19,19 @@ def _record(name: Column, comment: Column, seq: str, qual: str) -> Column:
 def write_fastq(pairs: DataFrame, path: str, by: str = "sample", files: int = 1) -> None:
     """``path/<by>=x/mate=R1`` and ``R2`` as block-compressed gzip; mates are in step, file by file.
 
-    One pass over one partitioned and sorted frame writes both mates. Pairs go by lane, pair_id and name. ``files``
-    spreads a large sample over that many file pairs.
+    The pairs are written once and cut into ranges of their order, about ``TASK_PAIRS`` each; a task writes both mates of its
+    ranges, and the commit joins what tasks wrote of a file. Pairs go by lane, pair_id and name. ``files`` spreads a
+    large sample over that many file pairs.
     """
     part = F.pmod(F.xxhash64("pair_id"), F.lit(files))
     order = [by, "part", *(c for c in ("lane",) if c in pairs.columns), "pair_id", "name"]
     comment = F.col("comment") if "comment" in pairs.columns else F.lit("")
     folder = F.concat(F.lit(f"{by}="), F.coalesce(F.col(by).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")), F.lit("/mate={mate}/part="), "part")
-    df = pairs.withColumn("part", part).repartition(by, "part").sortWithinPartitions(*order)
-    out = df.select(folder.alias("folder"), *(_record(F.col("name"), comment, f"{m}_seq", f"{m}_qual").alias(m) for m in ("r1", "r2")))
+    records = [_record(F.col("name"), comment, f"{m}_seq", f"{m}_qual").alias(m) for m in ("r1", "r2")]
+    df = written(pairs.withColumn("part", part).select(*order, *records), "pairs")
+    df = df.repartitionByRange(max(1, -(-df.count() // TASK_PAIRS)), *order).sortWithinPartitions(*order)
     pairs.sparkSession.dataSource.register(FastqPairs)
-    out.write.format("fastq_pair_files").mode("append").option("path", path).save()
+    df.select(folder.alias("folder"), "r1", "r2").write.format("fastq_pair_files").mode("append").option("path", path).save()
 
 
 def discarded_log(discarded: DataFrame) -> DataFrame:

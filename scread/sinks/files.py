@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from ..sources.storage import locate
+from ..sources.storage import locate, size
 
 MEMBER = 65_280
 COPY = 16 * 2**20
@@ -80,7 +80,10 @@ class _Written(WriterCommitMessage):
 
 
 class _PairsWriter(DataSourceArrowWriter):
-    """Rows folder, r1, r2 (records), neighbours by folder: a pair of files a folder and task, ``folder`` with mate=R1 and mate=R2 inside."""
+    """Rows folder, r1, r2 (records), in the order of the partitions neighbours by folder: a pair of files a folder, ``folder`` with mate=R1 and mate=R2 inside.
+
+    A task writes its part of each file; the commit moves it, or joins the parts of several tasks in the order of the partitions.
+    """
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
@@ -100,7 +103,7 @@ class _PairsWriter(DataSourceArrowWriter):
                     at = folders[start]
                     for f in open_now:
                         f.close()
-                    mates = [(f"{own}/{len(files) + i}", f"{self.path}/{at.replace('{mate}', m)}/reads-{task.partitionId():05d}-{uuid.uuid4().hex[:8]}.fastq.gz") for i, m in enumerate(("R1", "R2"))]
+                    mates = [(f"{own}/{len(files) + i}", f"{self.path}/{at.replace('{mate}', m)}") for i, m in enumerate(("R1", "R2"))]
                     files += mates
                     open_now = [_Out(kept, True) for kept, _ in mates]
                 for f, mate in zip(open_now, ("r1", "r2")):
@@ -113,13 +116,32 @@ class _PairsWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[_Written | None]) -> None:
         system, _ = locate(self.path)
+        parts: dict[str, list[tuple[int, int, str]]] = {}
         for m in messages:
-            for kept, final in m.files if m else ():
-                inner = locate(final)[1]
-                system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-                system.move(locate(kept)[1], inner)
+            for i, (kept, folder) in enumerate(m.files if m else ()):
+                parts.setdefault(folder, []).append((m.task, i, kept))
+        for folder, kept in parts.items():
+            whole = f"{folder}/reads-{min(kept)[0]:05d}-{uuid.uuid4().hex[:8]}.fastq.gz"
+            one = kept[0][2] if len(kept) == 1 else self._joined([k for _, _, k in sorted(kept)])
+            inner = locate(whole)[1]
+            system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+            system.move(locate(one)[1], inner)
         self.abort(messages)
 
+    def _joined(self, parts: list[str]) -> str:
+        """A file of the members of block-compressed ones, ``COPY`` bytes at a time; only the last keeps the member that ends it."""
+        out = f"{self.kept}/joined-{uuid.uuid4().hex}"
+        with locate(out)[0].open_output_stream(locate(out)[1]) as whole:
+            for part in parts:
+                left = size(part) - len(LAST_MEMBER)
+                with locate(part)[0].open_input_stream(locate(part)[1]) as f:
+                    while left:
+                        data = f.read(min(COPY, left))
+                        whole.write(data)
+                        left -= len(data)
+            whole.write(LAST_MEMBER)
+        return out
+
     def abort(self, messages: list[_Written | None]) -> None:
         system, inner = locate(self.kept)
         system.delete_dir_contents(inner, missing_dir_ok=True)

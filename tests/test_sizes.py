@@ -1,11 +1,15 @@
 """Queries on tables that are larger, or have larger keys, than the test data."""
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
 from scread.functions import seq
 from scread.operators import taxonomy, trim, umi
 from scread.queries import QUERIES
+from scread.sinks import fastq as fq_out
+from scread.sources import storage
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +96,22 @@ def test_adapter_by_batches(spark):
 
 def test_indices_are_expanded_by_many_tasks(spark, sf):
     assert "REPARTITION_BY_NUM" in _plan(QUERIES["expand_indices"](spark, sf))
+
+
+def test_a_sample_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The ranges of one sample's pairs are tasks of their own; their parts are one file, in order and in step."""
+    monkeypatch.setattr(fq_out, "TASK_PAIRS", 100, raising=False)
+    text = lambda x: F.lit(x)
+    df = spark.range(1000).select(
+        F.col("id").alias("pair_id"), F.when(F.col("id") < 970, "a").alias("sample"), F.concat(F.lit("n"), "id").alias("name"), text("ACGT").alias("r1_seq"), text("IIII").alias("r1_qual"), text("AC").alias("r2_seq"), text("II").alias("r2_qual")
+    )
+    fq_out.write_fastq(df, str(tmp_path))
+    for sample, want in (("a", range(970)), ("__HIVE_DEFAULT_PARTITION__", range(970, 1000))):
+        for mate in ("R1", "R2"):
+            (path,) = (tmp_path / f"sample={sample}" / f"mate={mate}" / "part=0").glob("*.gz")
+            with storage.open_input(str(path)) as f:
+                parts = [data for _, data in storage.pieces(f, storage.BLOCKS, 0)]
+            assert b"".join(parts).decode() == gzip.open(path, "rt").read()
+            assert b"".join(parts).decode().split("\n")[0:-1:4] == [f"@n{i}" for i in want]
+            assert max(p.count(b"\n") for p in parts) < 4 * 500  # a member never holds rows of two tasks
+    assert not list(tmp_path.glob("_writing*"))
