@@ -19,11 +19,14 @@ def demultiplex(spark: SparkSession, sheet: str, barcodes: str, out: str, hashes
 
     ``demuxed`` is written once and read by all that follows: ``fastq`` per sample, ``discarded`` reads,
     ``whitelists`` per barcode type and ``qc`` tables. With ``hashes``, the sheet's column of hash sheets, reads of
-    hashes are counted and left out of the FASTQ files. Files that can't be read from the middle are one task each: ``partitions`` deals their pairs out.
+    hashes are counted and left out of the FASTQ files. Files that can't be read from the middle are one task each: ``partitions`` deals
+    their pairs out, unless as many tasks read them.
     """
     samples, keys = t_in.read_samplesheet(spark, sheet), t_in.read_barcodes(spark, barcodes)
     pairs = fastq.read_fastq_pairs(spark, samples)
-    demuxed = sci.sci_demux(pairs.repartition(partitions) if partitions else pairs, keys, samples)
+    if partitions and pairs.rdd.getNumPartitions() < partitions:
+        pairs = pairs.repartition(partitions)
+    demuxed = sci.sci_demux(pairs, keys, samples)
     if hashes:
         demuxed = sci.match_hash(demuxed, t_in.read_hash_sheets(spark, t_in.samples_for(spark.read.option("header", True).csv(sheet)), hashes))
     demuxed.write.parquet(f"{out}/demuxed")
