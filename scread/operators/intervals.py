@@ -28,11 +28,7 @@ def overlap_join(reads: DataFrame, feats: DataFrame, width: int = BIN, stranded:
     if f.limit(most + 1).count() <= most:
         j = r.join(F.broadcast(f), keys)
     else:
-        crowded = r.groupBy("contig", "__bin").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWDED_BIN)
-        salts = F.broadcast(crowded.select("contig", "__bin", F.least(F.ceil(F.col("n") / CROWDED_BIN), F.lit(MAX_SALTS)).cast("int").alias("__salts")))  # at most a row per CROWDED_BIN reads
-        deal = lambda df: df.join(salts, ["contig", "__bin"], "left").withColumn("__salts", F.coalesce("__salts", F.lit(1)))
-        r = deal(r).withColumn("__salt", F.pmod(F.xxhash64("pos", "end_pos", F.monotonically_increasing_id()), F.col("__salts")).cast("int")).drop("__salts")
-        f = deal(f).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+        r, f = _dealt(r, f, ["contig", "__bin"], ["pos", "end_pos"])
         j = r.join(f, [*keys, "__salt"]).drop("__salt")
     return (
         j.filter((F.col("pos") <= F.col("f_end")) & (F.col("f_start") <= F.col("end_pos")))
@@ -41,6 +37,15 @@ def overlap_join(reads: DataFrame, feats: DataFrame, width: int = BIN, stranded:
     )
 
 
+def _dealt(many: DataFrame, few: DataFrame, keys: list[str], by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with ``__salt``: rows of ``many`` whose keys are crowded are dealt out, those of ``few`` repeated for each salt."""
+    crowded = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWDED_BIN)
+    salts = F.broadcast(crowded.select(*keys, F.least(F.ceil(F.col("n") / CROWDED_BIN), F.lit(MAX_SALTS)).cast("int").alias("__salts")))  # at most a row per CROWDED_BIN reads
+    deal = lambda df: df.join(salts, keys, "left").withColumn("__salts", F.coalesce("__salts", F.lit(1)))
+    many = deal(many).withColumn("__salt", F.pmod(F.xxhash64(*by, F.monotonically_increasing_id()), F.col("__salts")).cast("int")).drop("__salts")
+    return many, deal(few).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+
+
 def assign_unambiguous(aln: DataFrame, feats: DataFrame) -> DataFrame:
     """Unique mapped lines that overlap exactly one gene of ``feats``: pair_id and gene."""
     hits = overlap_join(aln.filter(lacks_flags(4) & (F.col("nh") == 1)).select("pair_id", "contig", "pos", "end_pos"), feats)
@@ -143,10 +148,12 @@ def chunk_contigs(contigs: DataFrame, size: int = CHUNK) -> DataFrame:
 def extract_seqs(ranges: DataFrame, chunks: DataFrame, size: int = CHUNK) -> DataFrame:
     """id and sequence of ranges (id, contig, f_start, f_end, strand, part): parts in order, reverse strand complemented.
 
-    ``chunks`` has contig, chunk, at and chunk_seq; a chunk may come in several rows.
+    ``chunks`` has contig, chunk, at and chunk_seq; a chunk may come in several rows. They hold the genome, whatever size is
+    estimated, so they are never broadcast: both sides meet by chunk, and chunks of many ranges are repeated.
     """
     each = ranges.withColumn("chunk", F.explode(F.sequence(F.floor((F.col("f_start") - 1) / size), F.floor((F.col("f_end") - 1) / size))))
-    j = each.join(chunks, ["contig", "chunk"])
+    each, chunks = _dealt(each, chunks, ["contig", "chunk"], ["id", "part"])
+    j = each.join(chunks.hint("merge"), ["contig", "chunk", "__salt"])
     a = F.greatest(F.col("f_start") - F.col("at"), F.lit(1)).cast("int")
     b = F.least(F.col("f_end") - F.col("at"), F.length("chunk_seq")).cast("int")
     j = j.withColumn("piece", F.substring("chunk_seq", a, b - a + 1))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scread.functions import seq
-from scread.operators import taxonomy, trim, umi
+from scread.operators import intervals, taxonomy, trim, umi
 from scread.queries import QUERIES
 from scread.sinks import fastq as fq_out
 from scread.sources import storage
@@ -115,3 +115,15 @@ def test_a_sample_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
             assert b"".join(parts).decode().split("\n")[0:-1:4] == [f"@n{i}" for i in want]
             assert max(p.count(b"\n") for p in parts) < 4 * 500  # a member never holds rows of two tasks
     assert not list(tmp_path.glob("_writing*"))
+
+
+def test_a_genome_is_not_broadcast(spark, monkeypatch):
+    """A scan's rows are estimated by its few ranges; chunks that more ranges touch than a task takes are repeated."""
+    monkeypatch.setattr(intervals, "CROWDED_BIN", 3)
+    bases = "".join("ACGT"[(i * i + i // 7) % 4] for i in range(60))
+    chunks = intervals.chunk_contigs(spark.createDataFrame([("c1", bases), ("c2", bases[::-1])], "contig string, sequence string"), 10)
+    at = [(f"r{i}", "c1" if i % 3 else "c2", 1 + i % 13, 9 + i % 29, "+", 1) for i in range(40)]
+    got = intervals.extract_seqs(spark.createDataFrame(at, "id string, contig string, f_start int, f_end int, strand string, part int"), chunks, 10)
+    assert "SortMergeJoin [contig" in _plan(got)
+    want = {r[0]: (bases if r[1] == "c1" else bases[::-1])[r[2] - 1 : r[3]] for r in at}
+    assert dict(map(tuple, got.collect())) == {k: v for k, v in want.items() if v}
