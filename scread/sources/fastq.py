@@ -22,6 +22,7 @@ from .storage import STREAM, cut, first_piece, kind, open_input, pieces
 
 BATCH = 8192
 SPLIT_BYTES = 64 * 2**20
+MAX_SPANS = 1_000  # all spans are known to each task, so their number has a bound
 MARK = 2_048
 READ_AT_ONCE = 2**20
 
@@ -180,7 +181,7 @@ def _spans(spark: SparkSession, files: list[tuple], split_bytes: int) -> list[tu
     marks: dict[str, list[tuple]] = {}
     totals: dict[str, int] = {}
     if tasks:
-        asked = spark.createDataFrame(tasks, "path string, how string, start long, stop long").repartition(min(len(tasks), 10_000), "path", "start")
+        asked = spark.createDataFrame(tasks, "path string, how string, start long, stop long").repartition(min(len(tasks), MAX_SPANS), "path", "start")
         found = asked.mapInPandas(_counted, "path string, start long, n long, record long, place long, within long").collect()  # a row per 2,048 records
         base = 0
         for r in sorted(found, key=lambda r: (r["path"], r["start"], r["record"])):
@@ -189,14 +190,14 @@ def _spans(spark: SparkSession, files: list[tuple], split_bytes: int) -> list[tu
                 totals[r["path"]] = base + r["n"]
             if r["place"] >= 0:
                 marks.setdefault(r["path"], []).append((base + r["record"], r["place"], r["within"]))
-    out = []
+    out, most = [], max(1, MAX_SPANS // max(1, len(dealt)))
     for sample, lane, *paths in files:
         paths = [str(p) for p in paths]
         if not all(p in totals for p in paths) or not paths:
             out.append((sample, lane, 0, None, [(p, hows[p], 0, 0, 0) for p in paths]))
             continue
         total = min(totals[p] for p in paths)
-        each = max(1, -(-total // max(len(ranges[p]) for p in paths)))
+        each = max(1, -(-total // min(max(len(ranges[p]) for p in paths), most)))
         for first in range(0, total, each):
             places = []
             for p in paths:
@@ -210,7 +211,7 @@ def read_fastq_multi(spark: SparkSession, files: list[tuple], mates: tuple[str,
     """``files``: (sample, lane, path of each mate). Reading stops where the shortest mate ends.
 
     pair_id is a record's ordinal in its set. Plain and block-compressed files are cut into ranges of about
-    ``split_bytes``; a set with a gzip file of another kind, which can't be read from the middle, is one partition:
+    ``split_bytes``, larger ones beyond ``MAX_SPANS`` tasks (which read in batches whatever their range); a set with a gzip file of another kind, which can't be read from the middle, is one partition:
     ``repartition`` then for wide work.
     """
     spark.dataSource.register(FastqSource)

@@ -9,7 +9,7 @@ from scread.functions import seq
 from scread.operators import intervals, taxonomy, trim, umi
 from scread.queries import QUERIES
 from scread.sinks import fastq as fq_out
-from scread.sources import storage
+from scread.sources import fastq, storage
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +127,13 @@ def test_a_genome_is_not_broadcast(spark, monkeypatch):
     assert "SortMergeJoin [contig" in _plan(got)
     want = {r[0]: (bases if r[1] == "c1" else bases[::-1])[r[2] - 1 : r[3]] for r in at}
     assert dict(map(tuple, got.collect())) == {k: v for k, v in want.items() if v}
+
+
+def test_a_long_file_is_not_read_by_ever_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fastq, "MAX_SPANS", 5, raising=False)
+    paths = [tmp_path / "R1", tmp_path / "R2"]
+    for k, path in enumerate(paths, 1):
+        path.write_text("".join(f"@r{i}\n{'ACGT' * 20 * k}\n+\n{'IIII' * 20 * k}\n" for i in range(9000)))
+    pairs = fastq.read_fastq_multi(spark, [("s", "l", *paths)], ("r1", "r2"), split_bytes=65_536)
+    assert pairs.rdd.getNumPartitions() == 5
+    assert [(r["pair_id"], r["name"]) for r in pairs.orderBy("pair_id").collect()] == [(i, f"r{i}") for i in range(9000)]
