@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import align, cells, intervals, sci, tables, umi
-from .plans.shared import folder
+from .plans.shared import folder, written
 from .queries import DEMUX, _CELLS, _exons, _fx, alignments, barcodes, counts, demuxed, features, query, reads, samples
 from .queries_columns import _SPLICI, _genome
 from .sinks import fastq as fq_out
@@ -179,7 +179,7 @@ def gff_round_trip(spark, d):
 @query("gff_exon_overlap", "WITH g AS (" + _GFF + """) SELECT pair_id, gene, count(DISTINCT transcript) AS transcripts FROM fx_alignments a JOIN g ON a.contig=g.contig AND pos<=f_end AND f_start<=end_pos WHERE flag&4=0 AND ftype='exon' GROUP BY 1, 2""")
 def gff_exon_overlap(spark, d):
     """Alignments by the genes of the exons of a GFF file."""
-    exons = gff_round_trip(spark, d).filter("ftype = 'exon'").select("contig", "f_start", "f_end", "gene", "transcript")
+    exons = written(gff_round_trip(spark, d).filter("ftype = 'exon'").select("contig", "f_start", "f_end", "gene", "transcript"), "exons")  # counted, then joined
     mapped = alignments(spark, d).filter(align.lacks_flags(4)).select("pair_id", "contig", "pos", "end_pos")
     return intervals.overlap_join(mapped, exons).groupBy("pair_id", "gene").agg(F.count_distinct("transcript").alias("transcripts"))
 
