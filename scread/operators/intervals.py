@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import revcomp
+from ..plans.shared import tasks
 from .align import lacks_flags
 
 BIN = 8192
 CHUNK = 65_536
 MAX_INDEX_ROWS = 1_000_000
-CROWDED_BIN, MAX_SALTS = 1_000_000, 1_000
+CROWDED_BIN, MAX_SALTS = 250_000, 1_000
+TASK_READS = 100_000
 
 
 def overlap_join(reads: DataFrame, feats: DataFrame, width: int = BIN, stranded: bool = False, most: int = MAX_INDEX_ROWS) -> DataFrame:
@@ -38,12 +40,15 @@ def overlap_join(reads: DataFrame, feats: DataFrame, width: int = BIN, stranded:
 
 
 def _dealt(many: DataFrame, few: DataFrame, keys: list[str], by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a join with ``__salt``: rows of ``many`` whose keys are crowded are dealt out, those of ``few`` repeated for each salt."""
+    """Both sides of a join with ``__salt``: rows of ``many`` whose keys are crowded are dealt out, those of ``few`` repeated for each salt.
+
+    The number of tasks goes by rows: tasks that are put together by bytes hold millions.
+    """
     crowded = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWDED_BIN)
     salts = F.broadcast(crowded.select(*keys, F.least(F.ceil(F.col("n") / CROWDED_BIN), F.lit(MAX_SALTS)).cast("int").alias("__salts")))  # at most a row per CROWDED_BIN reads
     deal = lambda df: df.join(salts, keys, "left").withColumn("__salts", F.coalesce("__salts", F.lit(1)))
-    many = deal(many).withColumn("__salt", F.pmod(F.xxhash64(*by, F.monotonically_increasing_id()), F.col("__salts")).cast("int")).drop("__salts")
-    return many, deal(few).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+    salted = deal(many).withColumn("__salt", F.pmod(F.xxhash64(*by, F.monotonically_increasing_id()), F.col("__salts")).cast("int")).drop("__salts")
+    return salted.repartition(tasks(many, CROWDED_BIN), *keys, "__salt"), deal(few).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
 
 
 def assign_unambiguous(aln: DataFrame, feats: DataFrame) -> DataFrame:
@@ -69,27 +74,35 @@ def assign_genes(reads: DataFrame, exons: DataFrame, mode: str = "Gene") -> Data
     ``reads``: read_id, contig, strand, blocks; ``exons``: contig, f_start, f_end, strand, gene, transcript.
     ``Gene``: all blocks inside exons of one transcript, same strand. ``GeneFull_Ex50pAS``: first at least half of
     the bases exonic, then any overlap with the gene body, sense; reads wholly exonic on the other strand are left out.
+    Hits are dealt by read over as many tasks as hold about ``TASK_READS`` reads each.
     """
+    n = tasks(reads, TASK_READS)
+    by_read = lambda df: df.repartition(n, "read_id")
     each = reads.select("read_id", "contig", F.col("strand").alias("r_strand"), F.size("blocks").alias("n_blocks"), F.explode("blocks").alias("b"))
     each = each.select("read_id", "contig", "r_strand", "n_blocks", F.col("b.start").alias("pos"), F.col("b.end").alias("end_pos"))
     if mode == "Gene":
         hits = overlap_join(each, exons).filter((F.col("strand") == F.col("r_strand")) & (F.col("pos") >= F.col("f_start")) & (F.col("end_pos") <= F.col("f_end")))
-        whole = hits.groupBy("read_id", "n_blocks", "transcript", "gene").agg(F.count_distinct("pos").alias("n")).filter("n = n_blocks")
+        whole = by_read(hits.select("read_id", "n_blocks", "transcript", "gene", "pos")).groupBy("read_id", "n_blocks", "transcript", "gene").agg(F.count_distinct("pos").alias("n")).filter("n = n_blocks")
         return whole.groupBy("read_id").agg(F.array_sort(F.collect_set("gene")).alias("genes")).withColumn("level", F.lit("exonic"))
     merged = reduce_intervals(exons, ["gene", "contig", "strand"])
-    total = each.groupBy("read_id").agg(F.sum(F.col("end_pos") - F.col("pos") + 1).alias("bases"))
     common = F.least("end_pos", "f_end") - F.greatest("pos", "f_start") + 1
-    exonic = overlap_join(each, merged).groupBy("read_id", "gene", (F.col("strand") == F.col("r_strand")).alias("sense")).agg(F.sum(common).alias("ex"))
-    exonic = exonic.join(total, "read_id")
-    anti = exonic.filter(~F.col("sense") & (F.col("ex") == F.col("bases"))).select("read_id").distinct()
-    one = exonic.filter(F.col("sense") & (2 * F.col("ex") >= F.col("bases"))).select("read_id", "gene", F.lit(1).alias("rank"))
     bodies = exons.groupBy("gene", "contig", "strand").agg(F.min("f_start").alias("f_start"), F.max("f_end").alias("f_end"))
-    two = overlap_join(each, bodies).filter(F.col("strand") == F.col("r_strand")).select("read_id", "gene", F.lit(2).alias("rank")).distinct()
+    same, none = F.col("strand") == F.col("r_strand"), F.lit(None)
+    # what is known of a read meets in one aggregation: bases in exons by gene and strand, bodies along the strand, its own bases
+    row = lambda df, gene, sense, kind, n: df.select("read_id", gene.alias("gene"), sense.cast("boolean").alias("sense"), F.lit(kind).alias("kind"), n.cast("long").alias("n"))
+    facts = row(overlap_join(each, merged), F.col("gene"), same, "exon", common)
+    facts = facts.unionByName(row(overlap_join(each, bodies).filter(same), F.col("gene"), same, "body", F.lit(0)))
+    facts = facts.unionByName(row(each, none.cast(exons.schema["gene"].dataType), none, "read", F.col("end_pos") - F.col("pos") + 1))
+    sums = by_read(facts).groupBy("read_id", "kind", "gene", "sense").agg(F.sum("n").alias("n"))
+    whole = sums.groupBy("read_id").agg(F.max(F.when(F.col("kind") == "read", F.col("n"))).alias("bases"), F.collect_list(F.when(F.col("kind") != "read", F.struct("kind", "gene", "sense", "n"))).alias("all"))
+    named = lambda test: F.array_sort(F.array_distinct(F.transform(F.filter("all", test), lambda x: x["gene"])))
+    one = named(lambda x: (x["kind"] == "exon") & x["sense"] & (2 * x["n"] >= F.col("bases")))
     # a read wholly exonic against the strand counts only where it is exonic along it too
-    found = one.unionByName(two.join(anti, "read_id", "left_anti"))
-    best = found.groupBy("read_id").agg(F.min("rank").alias("best"), F.collect_set(F.struct("rank", "gene")).alias("all"))
-    genes = F.array_sort(F.array_distinct(F.transform(F.filter("all", lambda x: x["rank"] == F.col("best")), lambda x: x["gene"])))
-    return best.select("read_id", genes.alias("genes"), F.when(F.col("best") == 1, "exonic").otherwise("intronic").alias("level"))
+    anti = F.coalesce(F.exists("all", lambda x: (x["kind"] == "exon") & ~x["sense"] & (x["n"] == F.col("bases"))), F.lit(False))
+    two = named(lambda x: x["kind"] == "body")
+    best = whole.select("read_id", one.alias("one"), two.alias("two"), anti.alias("anti")).filter("size(one) > 0 or (size(two) > 0 and not anti)")
+    exonic = F.size("one") > 0
+    return best.select("read_id", F.when(exonic, F.col("one")).otherwise(F.col("two")).alias("genes"), F.when(exonic, "exonic").otherwise("intronic").alias("level"))
 
 
 def cell_read_stats(reads: DataFrame, exons: DataFrame, mito: tuple[str, ...] = ("chrM", "M", "MT")) -> DataFrame:

@@ -29,7 +29,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def tasks(df: DataFrame, rows: int) -> int:
+    """How many tasks hold about ``rows`` each."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
+
+
 def dealt(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     """The rows dealt by keys over as many tasks as hold about ``rows`` each, so that a task's memory doesn't grow with the table."""
     df = written(df, "dealt")
-    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows)), *keys)
+    return df.repartition(tasks(df, rows), *keys)

@@ -1,6 +1,7 @@
 """Queries on tables that are larger, or have larger keys, than the test data."""
 
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +138,30 @@ def test_a_long_file_is_not_read_by_ever_more_tasks(spark, tmp_path, monkeypatch
     pairs = fastq.read_fastq_multi(spark, [("s", "l", *paths)], ("r1", "r2"), split_bytes=65_536)
     assert pairs.rdd.getNumPartitions() == 5
     assert [(r["pair_id"], r["name"]) for r in pairs.orderBy("pair_id").collect()] == [(i, f"r{i}") for i in range(9000)]
+
+
+def test_hits_are_dealt_by_reads(spark, monkeypatch):
+    """More reads make more tasks, not larger ones; genes and levels are those of a plain search."""
+    monkeypatch.setattr(intervals, "TASK_READS", 10, raising=False)
+    rng = random.Random(4)
+    exons = [(g, "c", g * 17 + 1 + k * 30, g * 17 + 1 + k * 30 + rng.randint(5, 25), rng.choice("+-")) for g in range(12) for k in range(2)]
+    exons = [(g, c, a, b, exons[2 * g][4]) for g, c, a, b, _ in exons]
+    reads = []
+    for i in range(400):
+        a = rng.randint(1, 250)
+        reads.append((i, "c", rng.choice("+-"), [(a, a + 9), (a + 20, a + 20 + rng.randint(0, 12))]))
+    e = spark.createDataFrame([(*x, f"t{x[0]}") for x in exons], "gene int, contig string, f_start int, f_end int, strand string, transcript string")
+    r = spark.createDataFrame(reads, "read_id int, contig string, strand string, blocks array<struct<start:int,end:int>>")
+    want = {}
+    for i, _, strand, blocks in reads:
+        bases = {p for a, b in blocks for p in range(a, b + 1)}
+        inside = lambda g: {p for x in exons if x[0] == g for p in range(x[2], x[3] + 1)}
+        body = lambda g: any(min(x[2] for x in exons if x[0] == g) <= b and a <= max(x[3] for x in exons if x[0] == g) for a, b in blocks)
+        sense = [g for g in range(12) if exons[2 * g][4] == strand]
+        one, two = [g for g in sense if 2 * len(bases & inside(g)) >= len(bases)], [g for g in sense if body(g)]
+        against = any(bases <= inside(g) for g in range(12) if g not in sense)
+        if one or two and not against:
+            want[i] = (one, "exonic") if one else (two, "intronic")
+    got = intervals.assign_genes(r, e, "GeneFull_Ex50pAS")
+    assert got.rdd.getNumPartitions() >= 40 and intervals.assign_genes(r, e).rdd.getNumPartitions() >= 40
+    assert {x["read_id"]: (x["genes"], x["level"]) for x in got.collect()} == want and {x[1] for x in want.values()} == {"exonic", "intronic"}
