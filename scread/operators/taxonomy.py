@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import revcomp
-from ..plans.shared import folder
-from .kmers import kmer_hits
+from ..plans.shared import folder, written
+from .kmers import kmer_hits, reference_hits
+from .match import small
 
 
 def ancestors(tree: DataFrame, depth: int = 64) -> DataFrame:
@@ -62,16 +63,60 @@ def kmer_taxa(references: DataFrame, paths: DataFrame, k: int = 31) -> DataFrame
     return one.unionByName(many.select("kmer", "first", "last").hint("merge").join(common, ["first", "last"]).select("kmer", "taxid"))
 
 
+def nodes(paths: DataFrame) -> DataFrame:
+    """taxid, place, last, path, known of each taxon, depth first: those below it have the places up to ``last``; path is places from the root to it.
+
+    An ancestor without a path of its own is a root that isn't known. A row a taxon, written once.
+    """
+    roots = paths.select(F.col("ancestor").alias("taxid")).distinct().join(paths.select("taxid"), "taxid", "left_anti")
+    every = paths.select("taxid", "ancestor", "level", F.lit(True).alias("known")).unionByName(roots.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("level"), F.lit(False).alias("known")))
+    order = written(depth_first(every).select("taxid", "place"), "places")
+    above = every.join(order.toDF("ancestor", "above"), "ancestor")
+    up = above.groupBy("taxid").agg(F.array_sort(F.collect_list("above")).alias("path"), F.first("known").alias("known"))
+    size = every.groupBy(F.col("ancestor").alias("taxid")).agg(F.count(F.lit(1)).cast("int").alias("size"))
+    each = order.join(up, "taxid").join(size, "taxid")
+    return written(each.select("taxid", "place", (F.col("place") + F.col("size") - 1).alias("last"), "path", "known"), "nodes")
+
+
+def _common(df: DataFrame, tree: DataFrame) -> DataFrame:
+    """``df`` with the place of the lowest common ancestor of the places ``first`` and ``last``; rows without one are left out."""
+    for end in ("first", "last"):
+        df = df.join(tree.select(F.col("place").alias(end), F.col("path").alias(f"{end}_path")), end)
+    place = F.when(F.col("first") == F.col("last"), F.col("first")).otherwise(F.try_element_at(F.array_intersect("first_path", "last_path"), F.lit(-1)))
+    return df.withColumn("place", place).filter("place is not null").drop("first_path", "last_path")
+
+
+def voted(hits: DataFrame, tree: DataFrame) -> DataFrame:
+    """read_id and taxid of the reads of (read_id, place, hits) that have one.
+
+    The score of a taxon is a running sum in depth-first order: hits of a taxon count from its place to the last below it.
+    """
+    own = hits.groupBy("read_id", "place").agg(F.sum("hits").alias("hits")).join(tree.select("place", "last", "known"), "place")
+    begin = F.struct(F.col("place").alias("at"), F.col("hits").alias("change"), F.when(F.col("known"), F.col("place")).alias("of"))
+    end = F.struct((F.col("last") + 1).alias("at"), (-F.col("hits")).alias("change"), F.lit(None).cast("int").alias("of"))
+    read = Window.partitionBy("read_id")
+    score = own.select("read_id", F.inline(F.array(begin, end))).withColumn("score", F.sum("change").over(read.orderBy("at"))).filter("of is not null")
+    best = score.withColumn("top", F.max("score").over(read)).filter("score = top").groupBy("read_id").agg(F.min("of").alias("first"), F.max("of").alias("last"))
+    return _common(best, tree).join(tree.select("place", "taxid"), "place").select("read_id", "taxid")
+
+
 def classify_reads(reads: DataFrame, kmers: DataFrame, paths: DataFrame, k: int = 31) -> DataFrame:
     """read_id and taxid: the taxon whose path to the root has most hits, ties to the lowest common ancestor, no hit null."""
-    hits = kmer_hits(reads, kmers, k)
-    up = hits.select("read_id", F.col("taxid").alias("ancestor"), "hits")
-    score = hits.select("read_id", "taxid").join(paths, "taxid").join(up, ["read_id", "ancestor"]).groupBy("read_id", "taxid").agg(F.sum("hits").alias("score"))
-    best = score.withColumn("top", F.max("score").over(Window.partitionBy("read_id"))).filter("score = top")
-    n = best.groupBy("read_id").agg(F.count(F.lit(1)).alias("n"))
-    common = best.join(paths, "taxid").groupBy("read_id", "ancestor").agg(F.count(F.lit(1)).alias("c"), F.max("level").alias("level"))
-    taxon = common.join(n, "read_id").filter("c = n").groupBy("read_id").agg(F.max_by("ancestor", "level").alias("taxid"))
-    return reads.select("read_id").join(taxon, "read_id", "left")
+    tree = _tree(paths)
+    hits = kmer_hits(reads, kmers, k).repartition("read_id").join(tree.select("taxid", "place"), "taxid")
+    return reads.select("read_id").join(voted(hits, tree), "read_id", "left")
+
+
+def classify_by_references(reads: DataFrame, references: DataFrame, paths: DataFrame, k: int = 31) -> DataFrame:
+    """``classify_reads`` by the lowest common ancestor of the references (taxid, sequence) that hold a k-mer, without a table of k-mers."""
+    tree = _tree(paths)
+    placed = references.join(tree.filter("known").select("taxid", "place"), "taxid", "left").select("place", F.col("sequence").alias("seq"))
+    return reads.select("read_id").join(voted(_common(reference_hits(reads, placed, k), tree), tree), "read_id", "left")
+
+
+def _tree(paths: DataFrame) -> DataFrame:
+    tree = nodes(paths)
+    return small(tree, tree.count())
 
 
 def clade_counts(taxa: DataFrame, paths: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
@@ -99,13 +101,14 @@ FROM lineitem GROUP BY 1, 2, 3
 FIXTURES = {"fx_barcodes": BARCODES, "fx_reads": READS, "fx_samples": SAMPLES, "fx_counts": COUNTS, "fx_alignments": ALIGNMENTS, "fx_features": FEATURES, "fx_molecules": MOLECULES, "fx_runs": RUNS, "fx_droplets": DROPLETS}
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def fixture(spark: SparkSession, sf_dir: str, name: str, dealt: Callable[[DataFrame], DataFrame] = lambda table: table) -> DataFrame:
+    """The fixture of the tables it names, each ``dealt`` before the SQL's expressions are evaluated."""
     sql = FIXTURES[name]
     used = [t for t in TABLES if f" {t} " in f" {sql} ".replace("\n", " ").replace(")", " ").replace("(", " ")]
     text = sql.replace("{", "{{").replace("}", "}}")
     for t in used:
         text = text.replace(f"FROM {t}", f"FROM {{{t}}}")
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    return spark.sql(text, **{t: dealt(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in used})
 
 
 def with_fixtures(sql: str) -> str:
