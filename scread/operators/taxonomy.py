@@ -66,8 +66,10 @@ def kmer_taxa(references: DataFrame, paths: DataFrame, k: int = 31) -> DataFrame
 def nodes(paths: DataFrame) -> DataFrame:
     """taxid, place, last, path, known of each taxon, depth first: those below it have the places up to ``last``; path is places from the root to it.
 
-    An ancestor without a path of its own is a root that isn't known. A row a taxon, written once.
+    An ancestor without a path of its own is a root that isn't known. A row a taxon, written once, as are the paths: the plan of a
+    doubling is long, and each use of it would be planned again.
     """
+    paths = written(paths, "paths")
     roots = paths.select(F.col("ancestor").alias("taxid")).distinct().join(paths.select("taxid"), "taxid", "left_anti")
     every = paths.select("taxid", "ancestor", "level", F.lit(True).alias("known")).unionByName(roots.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("level"), F.lit(False).alias("known")))
     order = written(depth_first(every).select("taxid", "place"), "places")
